@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.classify import map_profile_levels
 from ..functions.keys import match_keys
 from ..functions.text import or_label, squash_ws
+from ..session import durable
 from .dedup import first_rows, greedy_dedupe
 from .merge import exclude_seen, score_jobs
 
@@ -54,6 +55,7 @@ def tiered_window_topk(
     it has a row. The newest row of a user therefore decides the window, and one scan is
     enough. Needs ``user_id``, ``posted_at`` and ``keys``.
     """
+    matches = durable(matches)
     newest = matches.groupBy("user_id").agg(F.max("posted_at").alias("_newest"))
     days = F.coalesce(
         *[
@@ -154,7 +156,8 @@ def recent_digest(
         return tiered_window_topk(exclude_seen(pairs, applied, sent), as_of, newest_first)
 
     sizes = cells.groupBy(*key).agg((F.count("*") > CELL_PREFIX).alias("cut"))
-    first = digest(wants, first_rows(cells, key, newest_first, CELL_PREFIX))
+    # At most one prefix for each of the few (role, level) pairs, so it fits a broadcast.
+    first = digest(wants, F.broadcast(first_rows(cells, key, newest_first, CELL_PREFIX)))
     full = first.groupBy("user_id").agg(F.count("*").alias("n")).filter(F.col("n") == MATCHES)
     cut_users = wants.join(sizes.filter("cut"), key).select("user_id").distinct()
     again = cut_users.join(full, "user_id", "left_anti")

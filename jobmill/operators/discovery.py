@@ -57,7 +57,7 @@ def _ai_variant(slug: Column) -> Column:
 
 
 def _valid_distinct(variants: Sequence[Column]) -> Column:
-    return F.array_distinct(F.array_compact(F.transform(F.array(*variants), valid_slug)))
+    return F.array_distinct(F.array_compact(F.transform(F.array(*variants), lambda s: valid_slug(s))))
 
 
 def slug_variants(col: Column) -> Column:
@@ -93,7 +93,7 @@ def name_variants(name: Column) -> Column:
     """Slugs under which a company of this name may run its board."""
     cleaned = squash_ws(F.translate(name, "|()/:", "     "))
     pieces = F.filter(F.transform(F.split(cleaned, "[-,]"), squash_ws), lambda p: F.length(p) >= 2)
-    bases = F.array_compact(F.transform(F.concat(F.array(cleaned), pieces), _name_slug))
+    bases = F.array_compact(F.transform(F.concat(F.array(cleaned), pieces), lambda n: _name_slug(n)))
 
     def spell(base: Column) -> Column:
         return _valid_distinct(
