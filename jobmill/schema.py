@@ -1,58 +1,37 @@
-"""Table schemas."""
-
-from pyspark.sql import types as T
-
-
-def _schema(ddl: str) -> T.StructType:
-    return T.StructType.fromDDL(ddl)
-
-
-#: one canonical posting, as every adapter returns it
-POSTING = _schema(
-    """source string not null, source_id string, title string not null,
-    company string not null, location string, remote boolean, is_usa boolean,
-    url string not null, description string, salary_min int, salary_max int,
-    experience_level string, roles array<string>, posted_at timestamp,
-    dedup_hash string not null, ingest_seq bigint, source_rank int"""
+"""Table schemas as DDL text."""
+
+#: one canonical posting, as every adapter returns it; ``source_rank`` is added per run
+POSTING = (
+    "source string, source_id string, title string, company string, location string, "
+    "remote boolean, is_usa boolean, url string, description string, salary_min int, "
+    "salary_max int, experience_level string, roles array<string>, posted_at timestamp, "
+    "dedup_hash string, ingest_seq bigint"
 )
 
 #: the persisted posting: canonical columns plus the merge state
-JOB = T.StructType(
-    POSTING.fields
-    + _schema(
-        """id string not null, scraped_at timestamp, is_active boolean,
-        embedding array<float>"""
-    ).fields
-)
+JOB = f"{POSTING}, id string, scraped_at timestamp, is_active boolean, embedding array<float>"
 
 #: one landed response body per row
-RAW_PAYLOAD = _schema(
-    """source string, run_id string, fetch_seq bigint, request_key string,
-    status int, content_type string, body string"""
-)
-
-PROFILE = _schema(
-    """id string, email string, tier string, job_alerts_enabled boolean,
-    target_roles array<string>, target_levels array<string>, resume_text string,
-    resume_embedding array<float>"""
+RAW_PAYLOAD = (
+    "source string, run_id string, fetch_seq bigint, request_key string, status int, "
+    "content_type string, body string"
 )
 
-APPLICATION = _schema(
-    """user_id string, job_id string, status string, applied_at timestamp,
-    interview_count int"""
+PROFILE = (
+    "id string, email string, tier string, job_alerts_enabled boolean, "
+    "target_roles array<string>, target_levels array<string>, resume_text string, "
+    "resume_embedding array<float>"
 )
 
-JOB_SCORE = _schema(
-    """user_id string, job_id string, similarity double, grade string,
-    computed_at timestamp"""
+APPLICATION = (
+    "user_id string, job_id string, status string, applied_at timestamp, interview_count int"
 )
 
-ALERT_SENT = _schema("user_id string, job_id string")
+JOB_SCORE = "user_id string, job_id string, similarity double, grade string, computed_at timestamp"
 
-#: what a batch of an embedder must return
-EMBEDDING_RESULT = _schema("batch_no bigint, position int, embedding array<float>")
+ALERT_SENT = "user_id string, job_id string"
 
-PROBE_STATE = _schema(
-    """company string, zero_count int, last_attempt date, wd_version string,
-    slug string, known_targets map<string,struct<wd_version:string,slug:string>>"""
+PROBE_STATE = (
+    "company string, zero_count int, last_attempt date, wd_version string, slug string, "
+    "known_targets map<string, struct<wd_version: string, slug: string>>"
 )

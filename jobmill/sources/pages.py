@@ -37,6 +37,7 @@ from .readers import (
     cards,
     detail_enrich,
     embedded_object,
+    first_nonempty_payload,
     json_items,
     json_ld_place,
     json_ld_posting,
@@ -459,8 +460,6 @@ def bamboohr(embeds: DataFrame, careers: DataFrame) -> DataFrame:
         (F.coalesce("isRemote", F.lit(False)) | (_c("locationType") == "2")).alias("_remote"),
         F.lit(1).alias("priority"),
     )
-    from .readers import first_nonempty_payload
-
     both = _without_demo(listed).unionByName(_without_demo(json_rows))
     rows = first_nonempty_payload(both).withColumns(
         {"title": js_trim(F.col("title")), "location": js_trim(F.col("location"))}
@@ -573,20 +572,33 @@ def result_cards(payloads: DataFrame, host: str) -> DataFrame:
     return rows.filter("title <> '' AND companyName <> '' AND url <> ''")
 
 
+_PAGE = ["run_id", "request_key", "fetch_seq"]
+_FOUND = [
+    *_PAGE, "id", "title", "companyName", "location", "postedDate", "salary", "url", "description",
+    "isRemote", "ingest_seq",
+]
+
+
 def _ld_search_rows(payloads: DataFrame) -> DataFrame:
     """JSON-LD postings at any depth, in the field names of the search forms."""
     scripts = blocks(payloads, '(?is)<script[^>]*type="application/ld\\+json"[^>]*>(.*?)</script>')
     objects = scripts.select(
-        "ingest_seq", F.posexplode(nested_objects(F.col("block"), [], "JobPosting")).alias("p", "json")
+        "run_id",
+        "request_key",
+        "fetch_seq",
+        "ingest_seq",
+        F.posexplode(nested_objects(F.col("block"), [], "JobPosting")).alias("p", "json"),
     )
     schema = (
         "identifier: string, url: string, title: string, hiringOrganization: struct<name: string>, "
         "jobLocation: string, datePosted: string, baseSalary: string, description: string"
     )
-    rows = objects.select(F.col("ingest_seq") * 4096 + F.col("p"), F.from_json("json", schema).alias("o"))
-    rows = rows.toDF("ingest_seq", "o").select("ingest_seq", "o.*")
+    seq = F.shiftleft("fetch_seq", 32) + F.pmod("ingest_seq", F.lit(1 << 32)) * 65536 + F.col("p")
+    rows = objects.select(*_PAGE, seq.alias("ingest_seq"), F.from_json("json", schema).alias("o"))
+    rows = rows.select(*_PAGE, "ingest_seq", "o.*")
     place = strip_html(F.col("jobLocation"), "line")
     return rows.select(
+        *_PAGE,
         "ingest_seq",
         F.coalesce(F.from_json("identifier", "value: string")["value"], "identifier", "url").alias("id"),
         "title",
@@ -608,10 +620,10 @@ _SEARCH_COLUMNS = {
 
 def dice_pages(payloads: DataFrame, as_of: Column) -> DataFrame:
     """Search pages: JSON-LD when a page has any, else its result cards."""
-    names = ["id", "title", "companyName", "location", "postedDate", "salary", "url", "description", "isRemote", "ingest_seq"]
-    ld = _ld_search_rows(payloads.filter(F.col("body").contains("JobPosting"))).select(*names)
-    cards_ = result_cards(payloads.filter(~F.col("body").contains("JobPosting")), "https://www.dice.com").select(*names)
-    rows = ld.unionByName(cards_).withColumns({n: F.lit(None).cast(t) for n, t in _SEARCH_COLUMNS.items()})
+    ld = _ld_search_rows(payloads).select(*_FOUND, F.lit(0).alias("priority"))
+    found = result_cards(payloads, "https://www.dice.com").select(*_FOUND, F.lit(1).alias("priority"))
+    rows = first_nonempty_payload(ld.unionByName(found), _PAGE)
+    rows = rows.withColumns({n: F.lit(None).cast(t) for n, t in _SEARCH_COLUMNS.items()})
     return search_jobs(rows, as_of)
 
 
@@ -625,12 +637,11 @@ def simplyhired(payloads: DataFrame, as_of: Column) -> DataFrame:
     pages = payloads.filter(
         ~F.col("body").rlike("(?i)just a moment|enable javascript and cookies to continue|_cf_chl_opt")
     )
-    names = ["id", "title", "companyName", "location", "postedDate", "salary", "url", "description", "isRemote", "ingest_seq"]
-    ld = _ld_search_rows(pages).select(*names, F.lit(0).alias("priority"))
+    ld = _ld_search_rows(pages).select(*_FOUND, F.lit(0).alias("priority"))
     state = pages.withColumn("state", embedded_object(F.col("body"), _STATE_MARKERS))
     state = state.withColumn(
         "found", nested_objects(F.col("state"), [["title"], ["companyName", "company"], ["url", "link"]])
-    ).select("fetch_seq", F.posexplode("found").alias("pos", "json"))
+    ).select(*_PAGE, F.posexplode("found").alias("pos", "json"))
     schema = (
         "id: string, jobKey: string, title: string, companyName: string, company: string, location: string, "
         "formattedLocation: string, url: string, link: string, datePosted: string, postedDate: string, "
@@ -640,6 +651,7 @@ def simplyhired(payloads: DataFrame, as_of: Column) -> DataFrame:
     place = F.coalesce(o["location"], o["formattedLocation"], F.lit(""))
     link = F.coalesce(o["url"], o["link"])
     in_state = state.withColumn("o", F.from_json("json", schema)).select(
+        *_PAGE,
         F.coalesce(o["id"], o["jobKey"], link).alias("id"),
         o["title"].alias("title"),
         F.coalesce(o["companyName"], o["company"]).alias("companyName"),
@@ -652,8 +664,8 @@ def simplyhired(payloads: DataFrame, as_of: Column) -> DataFrame:
         (F.shiftleft("fetch_seq", 32) + F.col("pos")).alias("ingest_seq"),
         F.lit(1).alias("priority"),
     )
-    cards_ = result_cards(pages, "https://www.simplyhired.com").select(*names, F.lit(2).alias("priority"))
-    rows = ld.unionByName(in_state).unionByName(cards_)
+    found = result_cards(pages, "https://www.simplyhired.com").select(*_FOUND, F.lit(2).alias("priority"))
+    rows = first_nonempty_payload(ld.unionByName(in_state).unionByName(found), _PAGE)
     pay = parse_salary(F.col("salary"), "numbers")
     rows = rows.withColumns(
         {
@@ -676,9 +688,7 @@ def simplyhired(payloads: DataFrame, as_of: Column) -> DataFrame:
             "description": _or_null(F.col("description")),
         }
     )
-    # A page that has JSON-LD rarely has the other forms too; the URL settles overlaps.
-    first = dedupe_by(rows, ["url"], ["priority", "ingest_seq"])
-    return finalize(first, "simplyhired")
+    return dedupe_by(finalize(rows, "simplyhired"), ["url"], ["ingest_seq"])
 
 
 # -- Listing plus detail JSON ---------------------------------------------------------------
