@@ -57,10 +57,15 @@ def _decode_numeric(col: Column, pattern: str, base: int) -> Column:
         shown = F.decode(F.unhex(F.lpad(F.hex(number), 4, "0")), "UTF-16BE")
         return F.when(surrogate, F.lit("")).otherwise(shown)
 
-    codes = F.transform(F.regexp_extract_all(col, F.lit(f"(?i){pattern}"), F.lit(1)), char)
-    pieces = F.split(col, f"(?i){pattern.replace('(', '(?:')}", -1)
-    joined = F.zip_with(pieces, codes, lambda p, c: F.concat(p, F.coalesce(c, F.lit(""))))
-    return F.when(col.contains("&#"), F.array_join(joined, "")).otherwise(col)
+    def decoded(text: Column) -> Column:
+        found = F.regexp_extract_all(text, F.lit(f"(?i){pattern}"), F.lit(1))
+        pieces = F.split(text, f"(?i){pattern.replace('(', '(?:')}", -1)
+        joined = F.zip_with(
+            pieces, F.transform(found, char), lambda p, c: F.concat(p, F.coalesce(c, F.lit("")))
+        )
+        return F.when(text.contains("&#"), F.array_join(joined, "")).otherwise(text)
+
+    return let(col, decoded)
 
 
 # Named references in the order they are decoded. ``&amp;`` comes first,

@@ -207,5 +207,5 @@ def probe_status(attempts: DataFrame) -> DataFrame:
 def crawl_index_rows(payloads: DataFrame) -> DataFrame:
     """``request_key, url`` of JSON-lines bodies; broken lines are skipped."""
     lines = payloads.select("request_key", F.explode(F.split("body", "\n")).alias("line"))
-    row = F.from_json("line", "url string")
+    row = F.from_json("line", "struct<url: string>")
     return lines.select("request_key", row["url"].alias("url")).filter("url IS NOT NULL")

@@ -14,6 +14,7 @@ from ..functions.classify import classify_experience, infer_roles
 from ..functions.keys import posting_hash
 from ..functions.location import infer_remote, is_usa
 from ..operators.dedup import dedupe_by
+from ..settle import settle
 
 TITLES = [
     "Software Engineer", "Software Engineer 2026 New Grad", "Software Engineer, Internal Tools",
@@ -111,7 +112,8 @@ def classified_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Postings with level, roles, flags and hash; senior ones keep a null level."""
     raw = raw_postings(spark, sf_dir)
     title, place = F.col("title"), F.col("location")
-    return raw.withColumns(
+    return raw.transform(
+        settle,
         {
             "remote": infer_remote(place),
             "experience_level": classify_experience(title, F.col("description")),

@@ -40,6 +40,7 @@ from ..functions.text import (
     strip_html,
 )
 from ..operators.dedup import dedupe_by
+from ..settle import settle
 from .canonical import finalize
 from .readers import absolute_url, detail_enrich, json_items
 
@@ -68,7 +69,7 @@ def adzuna(payloads: DataFrame, link_suffix: str = "") -> DataFrame:
     )
     rows = dedupe_by(json_items(payloads, item, ["results"]), ["id"], ["ingest_seq"])
     name = F.col("company.display_name")
-    rows = rows.withColumns(
+    rows = rows.transform(settle, 
         {
             "source_id": F.col("id"),
             "_hash_company": F.coalesce(name, F.lit("")),
@@ -81,7 +82,7 @@ def adzuna(payloads: DataFrame, link_suffix: str = "") -> DataFrame:
             "company": F.coalesce(name, F.lit("Unknown")),
         }
     )
-    rows = rows.withColumns(
+    rows = rows.transform(settle, 
         {
             "remote": infer_remote(F.col("location")),
             "dedup_hash": posting_hash(F.col("_hash_company"), F.col("title"), F.col("location")),
@@ -97,7 +98,7 @@ def remoteok(payloads: DataFrame) -> DataFrame:
     )
     rows = json_items(payloads, item, [""]).filter(_c("slug") != "")
     rows = rows.filter(tech_prefilter(F.col("position"), kind="remote_board"))
-    rows = rows.withColumns(
+    rows = rows.transform(settle, 
         {
             "source_id": F.col("id"),
             "title": _c("position"),
@@ -119,7 +120,7 @@ def arbeitnow(payloads: DataFrame) -> DataFrame:
     )
     rows = json_items(payloads, item, ["data"])
     rows = rows.filter(tech_prefilter(F.col("title"), F.col("tags"), kind="tagged"))
-    rows = rows.withColumns(
+    rows = rows.transform(settle, 
         {
             "source_id": F.col("slug"),
             "company": F.col("company_name"),
@@ -139,7 +140,7 @@ def themuse(payloads: DataFrame, details: DataFrame) -> DataFrame:
     )
     rows = json_items(payloads, item, ["results"]).filter(F.col("id").try_cast("bigint").isNotNull())
     name = F.col("company.name")
-    rows = rows.withColumns(
+    rows = rows.transform(settle, 
         {
             "source_id": F.col("id"),
             "title": _c("name"),
@@ -151,13 +152,13 @@ def themuse(payloads: DataFrame, details: DataFrame) -> DataFrame:
             "company": F.coalesce(name, F.lit("Unknown")),
         }
     )
-    rows = rows.withColumns(
+    rows = rows.transform(settle, 
         {
             "remote": infer_remote(F.col("location")),
             "dedup_hash": posting_hash(F.col("_hash_company"), F.col("title"), F.col("location")),
         }
     )
-    text = F.from_json("body", "contents: string")["contents"]
+    text = F.from_json("body", "struct<contents: string>")["contents"]
     pages = details.select(F.col("request_key").alias("source_id"), clean_unicode(text).alias("detail_text"))
     return finalize(detail_enrich(rows, pages, ["source_id"]), "themuse")
 
@@ -172,7 +173,7 @@ _FLAT = (
 def jobspy(payloads: DataFrame) -> DataFrame:
     """Flat records; the source name carries the site. One row per hash."""
     rows = json_items(payloads, _FLAT, ["", "jobs"]).filter((_c("title") != "") & (_c("company") != ""))
-    rows = rows.withColumns(
+    rows = rows.transform(settle, 
         {
             "source_id": F.col("jobUrl"),
             "location": _c("location"),
@@ -194,7 +195,7 @@ def record_export(payloads: DataFrame, source: str) -> DataFrame:
     rows = json_items(payloads, _FLAT, ["", "jobs"]).withColumn("source_id", F.coalesce("id", "job_url"))
     rows = dedupe_by(rows.filter(_c("source_id") != ""), ["source_id"], ["ingest_seq"])
     flagged = F.lower(_c("is_remote")) == "true"
-    rows = rows.withColumns(
+    rows = rows.transform(settle, 
         {
             "title": _c("title"),
             "company": _c("company"),
@@ -224,7 +225,7 @@ def greenhouse(payloads: DataFrame, boards: DataFrame | None = None) -> DataFram
     else:
         rows = rows.join(boards.select("request_key", "board_name"), "request_key", "left")
     text = strip_html(_c("content"), "flat")
-    rows = rows.withColumns(
+    rows = rows.transform(settle, 
         {
             "source_id": F.col("id"),
             "company": F.coalesce(
@@ -246,7 +247,7 @@ def lever(payloads: DataFrame) -> DataFrame:
         "hostedUrl: string, descriptionPlain: string, description: string, createdAt: bigint"
     )
     rows = json_items(payloads, item, [""]).filter(tech_prefilter(F.col("text")))
-    rows = rows.withColumns(
+    rows = rows.transform(settle, 
         {
             "source_id": _c("id"),
             "title": F.col("text"),
@@ -259,7 +260,7 @@ def lever(payloads: DataFrame) -> DataFrame:
             "posted_at": F.timestamp_millis(F.nullif("createdAt", F.lit(0))),
         }
     )
-    rows = rows.withColumns(
+    rows = rows.transform(settle, 
         {
             "experience_level": classify_experience(F.col("title"), F.col("description")),
             "remote": infer_remote(F.col("location")),
@@ -279,7 +280,7 @@ def ashby(payloads: DataFrame, names: DataFrame) -> DataFrame:
     rows = json_items(payloads, item, ["jobs"]).join(
         names.select("request_key", "company_name"), "request_key", "left"
     )
-    rows = rows.withColumns(
+    rows = rows.transform(settle, 
         {
             "source_id": js_trim(_c("id")),
             "title": js_trim(_c("title")),
@@ -293,7 +294,7 @@ def ashby(payloads: DataFrame, names: DataFrame) -> DataFrame:
     rows = rows.filter("title <> '' AND source_id <> '' AND url <> ''")
     rows = rows.filter(F.coalesce("isListed", F.lit(True)))
     rows = rows.filter(~_c("employmentType").isin("PartTime", "Contract") & ~is_non_us(F.col("location")))
-    rows = rows.withColumns(
+    rows = rows.transform(settle, 
         {
             "experience_level": classify_experience(F.col("title"), F.col("description")),
             "remote": F.coalesce("isRemote", F.lit(False))
@@ -331,7 +332,7 @@ def workable(payloads: DataFrame) -> DataFrame:
     sections = [strip_html(_c(n)) for n in ("description", "requirementsSection", "benefitsSection")]
     signal = F.array_join(F.filter(F.array(*sections), lambda s: s != ""), "\n")
     remote_place = F.exists(F.array_compact(F.transform("locations", short_country)), infer_remote)
-    rows = rows.withColumns(
+    rows = rows.transform(settle, 
         {
             "source_id": blank_to_null(F.col("id")),
             "title": blank_to_null(F.col("title")),
@@ -344,7 +345,7 @@ def workable(payloads: DataFrame) -> DataFrame:
             "posted_at": parse_datetime(F.coalesce("created", "updated")),
         }
     )
-    rows = rows.withColumns(
+    rows = rows.transform(settle, 
         {
             "location": F.col("_place"),
             "remote": (F.lower(js_trim(_c("workplace"))) == "remote")
@@ -386,7 +387,7 @@ def recruitee(payloads: DataFrame) -> DataFrame:
     own_link = (
         F.when(link.rlike("^(?i)[a-z][a-z0-9+.-]*:"), link).when(link.startswith("/"), F.concat(site, link))
     )
-    rows = rows.withColumns(
+    rows = rows.transform(settle, 
         {
             "_codes": codes,
             "_text": text,
@@ -403,7 +404,7 @@ def recruitee(payloads: DataFrame) -> DataFrame:
             ),
         }
     ).filter("url IS NOT NULL AND coalesce(_codes, '') <> 'reject'")
-    rows = rows.withColumns(
+    rows = rows.transform(settle, 
         {
             "location": F.col("_place"),
             "description": _or_null(F.col("_text")),
@@ -425,7 +426,7 @@ def smartrecruiters(payloads: DataFrame, details: DataFrame) -> DataFrame:
         "location: struct<city: string, region: string, country: string, remote: boolean, fullLocation: string>"
     )
     rows = json_items(payloads, item, ["content"])
-    rows = rows.withColumns(
+    rows = rows.transform(settle, 
         {
             "source_id": first_named(F.col("id"), F.col("uuid")),
             "title": blank_to_null(F.col("name")),
@@ -434,7 +435,7 @@ def smartrecruiters(payloads: DataFrame, details: DataFrame) -> DataFrame:
     rows = dedupe_by(rows, ["request_key", "source_id"], ["ingest_seq"])
     rows = rows.filter(tech_prefilter(F.col("title"), kind="signal"))
     country = F.col("location.country")
-    rows = rows.withColumns(
+    rows = rows.transform(settle, 
         {
             "_place": F.coalesce(
                 blank_to_null(F.col("location.fullLocation")),
@@ -453,7 +454,7 @@ def smartrecruiters(payloads: DataFrame, details: DataFrame) -> DataFrame:
         F.lit("https://jobs.smartrecruiters.com/"), F.url_encode(owner), F.lit("/"), F.col("source_id"),
         F.when(slug != "", F.concat(F.lit("-"), slug)).otherwise(""),
     )
-    rows = rows.withColumns(
+    rows = rows.transform(settle, 
         {
             "experience_level": level_from_board_id(F.col("experienceLevel.id"), F.col("title")),
             "url": F.when(~ref.contains("api.smartrecruiters.com"), ref).otherwise(built),
@@ -464,7 +465,7 @@ def smartrecruiters(payloads: DataFrame, details: DataFrame) -> DataFrame:
         }
     ).filter("company IS NOT NULL")
     sections = ", ".join(f"{s}: struct<text: string>" for s in _SECTIONS)
-    ad = F.from_json("body", f"jobAd: struct<sections: struct<{sections}>>")["jobAd"]["sections"]
+    ad = F.from_json("body", f"struct<jobAd: struct<sections: struct<{sections}>>>")["jobAd"]["sections"]
     parts = F.array_compact(F.array(*[blank_to_null(strip_html(ad[s]["text"])) for s in _SECTIONS]))
     pages = details.select(
         F.col("request_key").alias("source_id"), F.array_join(parts, "\n\n").alias("detail_text")
@@ -477,7 +478,7 @@ def careerjet(payloads: DataFrame) -> DataFrame:
     item = "url: string, title: string, description: string, locations: string, company: string"
     rows = json_items(payloads, item, ["jobs"]).filter(_c("url") != "")
     rows = dedupe_by(rows, ["url"], ["ingest_seq"])
-    rows = rows.withColumns(
+    rows = rows.transform(settle, 
         {
             "source_id": F.col("url"),
             "title": _c("title"),
@@ -508,7 +509,7 @@ def handshake(payloads: DataFrame) -> DataFrame:
     kind = F.lower(F.coalesce("employment_type", "employment_type_name", F.lit("")))
     intern = kind.contains("intern") | F.lower("title").contains("intern")
     text = F.when(_c("description").contains("<"), strip_html(_c("description"))).otherwise(_c("description"))
-    rows = rows.withColumns(
+    rows = rows.transform(settle, 
         {
             "company": F.coalesce("employer_name", "company_name", "employer.name", F.lit("Unknown")),
             "location": F.when(place != "", place).otherwise(_c("location")),
@@ -523,7 +524,7 @@ def handshake(payloads: DataFrame) -> DataFrame:
         }
     ).filter("url <> ''")
     level = classify_experience(F.col("title"), F.col("description"))
-    rows = rows.withColumns(
+    rows = rows.transform(settle, 
         {
             "experience_level": F.when(F.col("_intern"), "internship").otherwise(level),
             "remote": F.lower(_c("remote_work_type")).contains("remote") | infer_remote(F.col("location")),
@@ -546,7 +547,7 @@ def usajobs(payloads: DataFrame) -> DataFrame:
     )
     pay = F.try_element_at("PositionRemuneration", F.lit(1))
     annual = parse_annual(pay["RateIntervalCode"], pay["MinimumRange"], pay["MaximumRange"])
-    rows = rows.withColumns(
+    rows = rows.transform(settle, 
         {
             "title": _c("PositionTitle"),
             "company": _c("OrganizationName", "US Government"),
@@ -559,7 +560,7 @@ def usajobs(payloads: DataFrame) -> DataFrame:
             "posted_at": parse_datetime(F.col("PublicationStartDate")),
         }
     ).filter("title <> '' AND url <> ''")
-    rows = rows.withColumns(
+    rows = rows.transform(settle, 
         {
             "experience_level": level_from_grade(
                 F.col("UserArea.Details.LowGrade"), F.col("title"), F.col("description")
@@ -623,10 +624,10 @@ def workatastartup(hits: DataFrame, pages: DataFrame, details: DataFrame) -> Dat
     rows = rows.withColumn("experience_level", level).filter("experience_level IS NOT NULL")
     rows = dedupe_by(rows, ["source_id"], ["_tier", "ingest_seq"])
     link = F.concat(F.lit("https://www.workatastartup.com/jobs/"), "source_id")
-    rows = rows.withColumns({"url": F.coalesce("url", link), "location": _or_null(F.col("location"))})
+    rows = rows.transform(settle, {"url": F.coalesce("url", link), "location": _or_null(F.col("location"))})
     page = F.from_json(
         decode_entities(page_attribute(F.col("body"))),
-        "props: struct<job: struct<descriptionHtml: string>>",
+        "struct<props: struct<job: struct<descriptionHtml: string>>>",
     )
     texts = details.select(
         F.col("request_key").alias("source_id"),
@@ -645,9 +646,9 @@ def rippling(boards: DataFrame, details: DataFrame) -> DataFrame:
     place = "array<struct<name: string, workplaceType: string>>"
     job = f"id: string, name: string, url: string, locations: {place}"
     schema = (
-        "props: struct<pageProps: struct<jobBoard: struct<title: string, boardURL: string>, "
+        "struct<props: struct<pageProps: struct<jobBoard: struct<title: string, boardURL: string>, "
         "dehydratedState: struct<queries: array<struct<queryKey: string, "
-        f"state: struct<data: struct<items: array<struct<{job}>>>>>>>>>"
+        f"state: struct<data: struct<items: array<struct<{job}>>>>>>>>>>"
     )
     state = F.from_json(next_data(F.col("body")), schema)["props"]["pageProps"]
     queries = F.filter(
@@ -663,7 +664,7 @@ def rippling(boards: DataFrame, details: DataFrame) -> DataFrame:
         F.posexplode(F.try_element_at(queries, F.lit(1))["state"]["data"]["items"]).alias("pos", "item"),
     )
     rows = rows.select("request_key", "board_title", "board_url", (F.shiftleft("fetch_seq", 32) + F.col("pos")).alias("ingest_seq"), "item.*")
-    rows = rows.withColumns({"title": blank_to_null(F.col("name")), "job_id": blank_to_null(F.col("id"))})
+    rows = rows.transform(settle, {"title": blank_to_null(F.col("name")), "job_id": blank_to_null(F.col("id"))})
     rows = rows.filter("title IS NOT NULL AND job_id IS NOT NULL").filter(has_tech_signal(F.col("title")))
     rows = rows.filter(classify_experience(F.col("title")).isNotNull())
     rows = dedupe_by(rows, ["request_key", "job_id"], ["ingest_seq"], keep="last")
@@ -671,7 +672,7 @@ def rippling(boards: DataFrame, details: DataFrame) -> DataFrame:
         "uuid: string, url: string, companyName: string, createdOn: string, "
         f"workLocations: {place}, description: struct<company: string, role: string>"
     )
-    detail = F.from_json("body", f"pageProps: struct<apiData: struct<jobPost: struct<{post}>>>")
+    detail = F.from_json("body", f"struct<pageProps: struct<apiData: struct<jobPost: struct<{post}>>>>")
     pages = details.select(
         F.split("request_key", "/")[0].alias("request_key"),
         F.split("request_key", "/")[1].alias("job_id"),
@@ -680,7 +681,7 @@ def rippling(boards: DataFrame, details: DataFrame) -> DataFrame:
     rows = rows.join(pages, ["request_key", "job_id"], "left")
     parts = [_or_null(strip_html(F.col(f"post.description.{p}"), "sections")) for p in ("company", "role")]
     places = F.when(F.size("post.workLocations") > 0, F.col("post.workLocations")).otherwise(F.col("locations"))
-    rows = rows.withColumns(
+    rows = rows.transform(settle, 
         {
             "description": _or_null(F.array_join(F.array_compact(F.array(*parts)), "\n\n")),
             "_places": places,
@@ -689,7 +690,7 @@ def rippling(boards: DataFrame, details: DataFrame) -> DataFrame:
     names = F.array_distinct(F.array_compact(F.transform("_places", lambda p: blank_to_null(p["name"]))))
     on_remote = F.exists("_places", lambda p: p["workplaceType"] == "REMOTE")
     default_url = F.concat(F.lit("https://ats.rippling.com/"), "request_key", F.lit("/jobs/"), "job_id")
-    rows = rows.withColumns(
+    rows = rows.transform(settle, 
         {
             "location": _or_null(F.array_join(names, " | ")),
             "company": F.coalesce(
@@ -717,7 +718,7 @@ def builtin_api(payloads: DataFrame) -> DataFrame:
     rows = json_items(payloads, item, ["jobs", "data.jobs", "results"])
     text = F.substring("description", 1, 5000)
     parts = F.array_compact(F.array(_or_null(_c("city")), _or_null(_c("state"))))
-    rows = rows.withColumns(
+    rows = rows.transform(settle, 
         {
             "source_id": F.col("id"),
             "title": js_trim(_c("title")),
@@ -751,7 +752,7 @@ def search_jobs(rows: DataFrame, as_of: Column) -> DataFrame:
     names = F.transform("workplaceTypes", lambda t: F.lower(t))
     raw_url = F.coalesce("detailsPageUrl", "url", F.lit(""))
     pay = parse_salary(F.col("salary"), "numbers")
-    rows = rows.withColumns(
+    rows = rows.transform(settle, 
         {
             "title": js_trim(_c("title")),
             "description": js_trim(F.coalesce("summary", "description", F.lit(""))),
@@ -768,7 +769,7 @@ def search_jobs(rows: DataFrame, as_of: Column) -> DataFrame:
             ),
         }
     )
-    rows = rows.withColumns(
+    rows = rows.transform(settle, 
         {
             "source_id": F.coalesce("guid", "id", "url"),
             "remote": F.col("_remote") | infer_remote(F.col("location")),

@@ -15,6 +15,7 @@ from ..functions.dates import parse_datetime
 from ..functions.keys import posting_hash
 from ..functions.location import infer_remote, is_non_us, is_usa
 from ..functions.text import blank_to_null
+from ..settle import settle
 
 _OPTIONAL = {
     "source_id": "string",
@@ -45,14 +46,14 @@ def finalize(df: DataFrame, source: str | Column) -> DataFrame:
     extra = {n: F.lit(None).cast(t) for n, t in _OPTIONAL.items() if n not in have}
     if "roles" not in have:
         extra["roles"] = infer_roles(F.col("title"))
-    out = out.withColumns(extra) if extra else out
+    out = out.transform(settle, extra) if extra else out
     tail = {
         "remote": F.coalesce("remote", F.lit(False)),
         "is_usa": is_usa(F.col("location"), F.col("remote")),
     }
     if "dedup_hash" not in have:
         tail["dedup_hash"] = posting_hash(F.col("company"), F.col("title"), F.col("location"))
-    return out.withColumns(tail).select(*_COLUMNS)
+    return out.transform(settle, tail).select(*_COLUMNS)
 
 
 def normalize_posting(df: DataFrame, source: str | Column) -> DataFrame:
@@ -79,11 +80,11 @@ def normalize_posting(df: DataFrame, source: str | Column) -> DataFrame:
     )
     no_roles = F.array().cast("array<string>")
     fields["_given"] = F.coalesce("roles", no_roles) if "roles" in have else no_roles
-    out = df.withColumns(fields).withColumn("remote", F.col("_remote") | infer_remote(F.col("location")))
+    out = df.transform(settle, fields).withColumn("remote", F.col("_remote") | infer_remote(F.col("location")))
     out = out.filter("title IS NOT NULL AND company IS NOT NULL AND url IS NOT NULL")
     foreign = is_non_us(F.col("location")) & ~is_usa(F.col("location"), F.col("remote"))
     out = out.filter(~foreign).filter(passes_early_career(F.col("title"), F.col("_content")))
-    out = out.withColumns(
+    out = out.transform(settle, 
         {
             "experience_level": classify_experience(F.col("title"), F.col("_content")),
             "roles": F.when(F.size("_given") > 0, normalize_roles(F.col("_given"))).otherwise(

@@ -19,6 +19,7 @@ from ..functions.text import (
     squash_ws,
 )
 from ..operators.dedup import dedupe_by
+from ..settle import settle
 from .canonical import finalize
 from .readers import in_document, json_items, markdown_lines, markdown_table
 
@@ -30,7 +31,7 @@ _LISTING = (
 
 def _listed(payloads: DataFrame, flag: str) -> DataFrame:
     rows = json_items(payloads, _LISTING, [""])
-    return rows.filter(F.coalesce(flag, F.lit(True))).withColumns(
+    return rows.filter(F.coalesce(flag, F.lit(True))).transform(settle, 
         {
             "source_id": F.col("id"),
             "company": F.col("company_name"),
@@ -42,7 +43,7 @@ def _listed(payloads: DataFrame, flag: str) -> DataFrame:
 
 def visible_list(payloads: DataFrame, source: str, level: str) -> DataFrame:
     """``pittcsc`` and ``simplify_internships``: one fixed level, hidden entries dropped."""
-    rows = _listed(payloads, "is_visible").withColumns(
+    rows = _listed(payloads, "is_visible").transform(settle, 
         {
             "location": F.coalesce("_first", F.lit("")),
             "description": F.col("notes"),
@@ -58,7 +59,7 @@ def active_list(payloads: DataFrame, source: str, as_of: Column, level: str | No
     inferred = classify_experience(F.col("title"))
     choice = F.when(inferred == "internship", "internship").otherwise("new_grad")
     remote = F.exists("locations", lambda p: F.lower(p).contains("remote"))
-    rows = _listed(payloads, "active").withColumns(
+    rows = _listed(payloads, "active").transform(settle, 
         {
             "location": F.coalesce("_first", F.lit("Remote")),
             "remote": F.coalesce(remote, F.lit(False)),
@@ -83,13 +84,13 @@ def _curated(
     Senior titles count as new grad, unless ``keep`` names the only levels to keep.
     """
     names = ("company", "title", "url")
-    rows = rows.withColumns({n: js_trim(F.coalesce(n, F.lit(""))) for n in (*names, "location")})
+    rows = rows.transform(settle, {n: js_trim(F.coalesce(n, F.lit(""))) for n in (*names, "location")})
     rows = rows.filter("company <> '' AND title <> '' AND url <> ''")
     rows = rows.filter(~is_non_us(F.col("location")))
     level = classify_experience(F.col("title"))
     if keep is None:
         level = F.coalesce(level, F.lit("new_grad"))
-    rows = rows.withColumns(
+    rows = rows.transform(settle, 
         {
             "experience_level": level,
             "source_id": F.col("url") if source_id is None else F.coalesce(source_id, "url"),
@@ -131,7 +132,7 @@ def curated_json(payloads: DataFrame, source: str) -> DataFrame:
         parse_datetime(F.col("date_posted")),
         parse_datetime(F.col("job_posted_at_datetime_utc")),
     )
-    rows = rows.withColumns(
+    rows = rows.transform(settle, 
         {
             "company": F.coalesce("company_name", "company", "employer_name"),
             "title": F.coalesce("title", "job_title"),
@@ -148,7 +149,7 @@ def repeated_company_table(payloads: DataFrame, source: str, as_of: Column) -> D
     rows = markdown_table(
         payloads, ["company", "title", "location", "model", "posted"], repeat="\u21b3"
     )
-    rows = rows.withColumns(
+    rows = rows.transform(settle, 
         {
             "url": extract_first_url(F.col("title")),
             "company": extract_cell_text(F.col("company")),
@@ -167,7 +168,7 @@ def apply_cell_table(payloads: DataFrame, source: str, as_of: Column) -> DataFra
 
 
 def _cells_to_text(rows: DataFrame) -> DataFrame:
-    return rows.withColumns(
+    return rows.transform(settle, 
         {
             "url": extract_first_url(F.col("apply")),
             **{n: extract_cell_text(F.col(n)) for n in ("company", "title", "location")},
@@ -256,7 +257,7 @@ def headed_table(payloads: DataFrame, as_of: Column, readme: bool = False) -> Da
         return F.try_element_at("cells", index)
 
     places = {"company": (0, 0), "title": (1, 1), "location": (2, 2), "apply": (3, 4), "posted": (4, 5)}
-    rows = _cells_to_text(rows.withColumns({k: cell(k, *v) for k, v in places.items()}))
+    rows = _cells_to_text(rows.transform(settle, {k: cell(k, *v) for k, v in places.items()}))
     return _curated(
         rows.filter("location <> ''"),
         "speedyapply_swe_newgrad",
@@ -298,7 +299,7 @@ def last_link_table(payloads: DataFrame, as_of: Column) -> DataFrame:
     def cell(name: str) -> Column:
         return F.coalesce(F.try_element_at("cells", F.nullif(head[name], F.lit(0))), F.lit(""))
 
-    rows = rows.withColumns(
+    rows = rows.transform(settle, 
         {
             "title": extract_cell_text(cell("title")),
             "location": extract_cell_text(cell("location")),

@@ -29,6 +29,7 @@ from ..functions.text import (
     strip_html,
 )
 from ..operators.dedup import dedupe_by
+from ..settle import settle
 from .boards import search_jobs
 from .canonical import finalize, normalize_posting
 from .readers import (
@@ -94,7 +95,7 @@ def _with_detail(
     text = strip_html(ld["description"] if fallback is None else F.coalesce(ld["description"], fallback))
     if fallback is not None:
         text = F.coalesce(_or_null(text), "summary")
-    rows = rows.withColumns(
+    rows = rows.transform(settle, 
         {
             "description": F.coalesce(text, F.lit("")),
             "title": F.coalesce(blank_to_null(ld["title"]), "title"),
@@ -104,7 +105,7 @@ def _with_detail(
             "_kind": F.lower(F.coalesce(ld["jobLocationType"], F.lit(""))),
         }
     )
-    rows = rows.withColumns(
+    rows = rows.transform(settle, 
         {
             "roles": infer_target_roles(F.concat_ws("\n", "title", *[_c(s) for s in signal], "description")),
             "remote": remote,
@@ -157,7 +158,7 @@ def breezy(payloads: DataFrame, names: DataFrame, details: DataFrame) -> DataFra
         F.try_element_at(F.array_compact(F.transform("_places", shown)), F.lit(1)),
     )
     rows = _boards(rows.withColumn("_owner", blank_to_null(F.col("company.name"))).withColumn("_places", places), names)
-    rows = rows.withColumn("_best", best).withColumns(
+    rows = rows.withColumn("_best", best).transform(settle, 
         {
             "source_id": first_named(F.col("id"), F.col("friendly_id")),
             "title": blank_to_null(F.col("name")),
@@ -185,7 +186,7 @@ def icims(payloads: DataFrame, names: DataFrame, details: DataFrame) -> DataFram
         return squash_ws(strip_html(tag(F.try_element_at(hits, F.lit(-1)), "dd")))
 
     url = first_match(block, '(?i)<a href="([^"]+/jobs/\\d+/[^"]+/job\\?[^"]*)"')
-    rows = _boards(rows, names).withColumns(
+    rows = _boards(rows, names).transform(settle, 
         {
             "url": url,
             "title": _or_null(strip_html(tag(block, "h3"))),
@@ -214,7 +215,7 @@ def jazzhr(payloads: DataFrame, names: DataFrame, details: DataFrame) -> DataFra
     )
     facts = F.filter(F.transform(facts, lambda f: strip_html(f)), lambda f: f != "")
     url = blank_to_null(first_match(block, '(?i)<a href="([^"]+)"'))
-    rows = _boards(rows, names).withColumns(
+    rows = _boards(rows, names).transform(settle, 
         {
             "url": url,
             "title": _or_null(strip_html(tag(block, "h3"))),
@@ -244,7 +245,7 @@ def jobvite(payloads: DataFrame, names: DataFrame, details: DataFrame) -> DataFr
         .when(href.startswith("/"), F.concat(host, href))
         .otherwise(F.concat(host, F.lit("/"), href))
     )
-    rows = _boards(rows, names).withColumns(
+    rows = _boards(rows, names).transform(settle, 
         {
             "url": url,
             "title": _text(block, '(?is)<a href="[^"]+">(.*?)</a>'),
@@ -266,7 +267,7 @@ def oraclecloud(payloads: DataFrame, sites: DataFrame, details: DataFrame) -> Da
     rows = pages.select(
         "request_key", "fetch_seq", F.posexplode("requisitionList").alias("pos", "item")
     ).select("request_key", (F.shiftleft("fetch_seq", 32) + F.col("pos")).alias("ingest_seq"), "item.*")
-    rows = rows.withColumns({"source_id": blank_to_null(F.col("Id")), "title": blank_to_null(F.col("Title"))})
+    rows = rows.transform(settle, {"source_id": blank_to_null(F.col("Id")), "title": blank_to_null(F.col("Title"))})
     rows = rows.filter("source_id IS NOT NULL AND title IS NOT NULL")
     rows = _gated(rows, ["title"])
     rows = dedupe_by(rows, ["request_key", "source_id"], ["ingest_seq"], keep="last")
@@ -278,7 +279,7 @@ def oraclecloud(payloads: DataFrame, sites: DataFrame, details: DataFrame) -> Da
         f"workLocation: {place}, otherWorkLocations: {place}"
     )
     d = F.coalesce(
-        F.from_json("body", f"items: array<struct<{detail}>>")["items"][0], F.from_json("body", f"struct<{detail}>")
+        F.from_json("body", f"struct<items: array<struct<{detail}>>>")["items"][0], F.from_json("body", f"struct<{detail}>")
     )
     parts = F.split("request_key", "/")
     found = details.select(parts[0].alias("request_key"), parts[1].alias("source_id"), d.alias("d"))
@@ -290,7 +291,7 @@ def oraclecloud(payloads: DataFrame, sites: DataFrame, details: DataFrame) -> Da
         places,
         lambda p: F.coalesce(address(p["TownOrCity"], p["Region2"], p["Country"]), blank_to_null(p["LocationName"])),
     )
-    rows = rows.withColumns(
+    rows = rows.transform(settle, 
         {
             "description": strip_html(F.array_join(F.array_compact(sections), "\n\n")),
             "title": F.coalesce(blank_to_null(F.col("d.Title")), "title"),
@@ -306,7 +307,7 @@ def oraclecloud(payloads: DataFrame, sites: DataFrame, details: DataFrame) -> Da
         }
     )
     kind = F.lower(F.concat_ws(" ", "WorkplaceType", "d.WorkplaceType"))
-    rows = rows.withColumns(
+    rows = rows.transform(settle, 
         {
             "remote": kind.contains("remote") | F.lower(_c("location")).contains("remote"),
             "roles": infer_target_roles(F.concat_ws("\n", "title", "description")),
@@ -333,7 +334,7 @@ def personio(payloads: DataFrame) -> DataFrame:
         F.lit("https://"), F.col("request_key"), F.lit(".jobs.personio.de/job/"), number, F.lit("?language=en")
     )
     more = F.regexp_extract(block, "(?is)<additionalOffices>(.*?)</additionalOffices>", 1)
-    rows = rows.withColumns(
+    rows = rows.transform(settle, 
         {
             "title": F.coalesce(tag_text(block, "title"), tag_text(block, "name")),
             "location": tag_text(block, "office"),
@@ -346,7 +347,7 @@ def personio(payloads: DataFrame) -> DataFrame:
     rows = rows.filter(keep_office(F.col("location"), F.col("description"), F.col("_more")))
     by_title = infer_roles(F.col("title"))
     path = F.regexp_extract("url", "^[a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*([^?#]*)", 1)
-    rows = rows.withColumns(
+    rows = rows.transform(settle, 
         {
             "remote": office_remote(F.col("location"), F.col("description"), F.col("_more")),
             "source_id": first_match(path, "([^/]+)/*$"),
@@ -362,7 +363,7 @@ def personio(payloads: DataFrame) -> DataFrame:
 def dice_rss(payloads: DataFrame) -> DataFrame:
     rows = blocks(payloads, "(?s)<item>(.*?)</item>")
     block = F.col("block")
-    rows = rows.withColumns(
+    rows = rows.transform(settle, 
         {
             "title": plain_tag(block, "title"),
             "url": plain_tag(block, "link"),
@@ -372,7 +373,7 @@ def dice_rss(payloads: DataFrame) -> DataFrame:
             "posted_at": parse_datetime(plain_tag(block, "pubDate")),
         }
     ).filter("title <> '' AND url <> ''")
-    rows = rows.withColumns(
+    rows = rows.transform(settle, 
         {
             "source_id": F.element_at(F.split("url", "/"), -1),
             "remote": infer_remote(F.col("location")),
@@ -461,12 +462,12 @@ def bamboohr(embeds: DataFrame, careers: DataFrame) -> DataFrame:
         F.lit(1).alias("priority"),
     )
     both = _without_demo(listed).unionByName(_without_demo(json_rows))
-    rows = first_nonempty_payload(both).withColumns(
+    rows = first_nonempty_payload(both).transform(settle, 
         {"title": js_trim(F.col("title")), "location": js_trim(F.col("location"))}
     )
     generic = F.lower("title").rlike("|".join(GENERIC_TITLES))
     rows = rows.filter("title <> '' AND url <> ''").filter(~generic & ~is_non_us(F.col("location")))
-    rows = rows.withColumns(
+    rows = rows.transform(settle, 
         {
             "company": humanize_slug(F.col("request_key")),
             "remote": F.col("_remote") | infer_remote(F.col("location")),
@@ -487,7 +488,7 @@ def builtin_pages(payloads: DataFrame) -> DataFrame:
     )
     graph = F.from_json(
         script,
-        "`@graph`: array<struct<`@type`: string, itemListElement: array<struct<url: string, description: string>>>>",
+        "struct<`@graph`: array<struct<`@type`: string, itemListElement: array<struct<url: string, description: string>>>>>",
     )["@graph"]
     items = F.try_element_at(F.filter(graph, lambda g: g["@type"] == "ItemList"), F.lit(1))["itemListElement"]
     pages = payloads.select("request_key", "run_id", "fetch_seq", "body", dates.alias("_dates"), items.alias("_items"))
@@ -507,7 +508,7 @@ def builtin_pages(payloads: DataFrame) -> DataFrame:
     described = F.filter("_items", lambda i: first_match(i["url"], "/(\\d+)(?:[/?#]|$)") == F.col("source_id"))
     link = '(?is)<a[^>]*href="([^"]+)"[^>]*data-id="job-card-title"[^>]*>(.*?)</a>'
     pay = parse_salary(after_icon("fa-sack-dollar"), "tokens")
-    rows = rows.withColumn("source_id", card_id).filter("source_id IS NOT NULL").withColumns(
+    rows = rows.withColumn("source_id", card_id).filter("source_id IS NOT NULL").transform(settle, 
         {
             "title": _or_null(strip_html(first_match(block, link, 2))),
             "company": _text(block, '(?is)data-id="company-title"[^>]*>\\s*<span>(.*?)</span>'),
@@ -527,7 +528,7 @@ def builtin_pages(payloads: DataFrame) -> DataFrame:
             "posted_at": parse_zoneless(F.try_element_at("_dates", F.col("source_id"))),
         }
     ).filter("title IS NOT NULL AND company IS NOT NULL AND url IS NOT NULL")
-    rows = rows.withColumns(
+    rows = rows.transform(settle, 
         {
             "remote": has_pattern(F.concat_ws("\n", "_mode", "location"), [r"\bremote\b"]),
             "experience_level": classify_experience(F.col("title"), F.col("description")),
@@ -556,7 +557,7 @@ def result_cards(payloads: DataFrame, host: str) -> DataFrame:
     chips = F.transform(chips, lambda c: decode_named(strip_html(c, "line"), apostrophe=True))
     link = 'data-testid="searchSerpJobTitle".*?<a[^>]*href="([^"]+)"[^>]*>(.*?)</a>'
     href = decode_named(F.coalesce(first_match(block, f"(?is){link}"), F.lit("")), apostrophe=True)
-    rows = rows.withColumns(
+    rows = rows.transform(settle, 
         {
             "id": first_match(block, '(?i)data-jobkey="([^"]+)"'),
             "title": part(link, 2),
@@ -594,13 +595,13 @@ def _ld_search_rows(payloads: DataFrame) -> DataFrame:
         "jobLocation: string, datePosted: string, baseSalary: string, description: string"
     )
     seq = F.shiftleft("fetch_seq", 32) + F.pmod("ingest_seq", F.lit(1 << 32)) * 65536 + F.col("p")
-    rows = objects.select(*_PAGE, seq.alias("ingest_seq"), F.from_json("json", schema).alias("o"))
+    rows = objects.select(*_PAGE, seq.alias("ingest_seq"), F.from_json("json", f"struct<{schema}>").alias("o"))
     rows = rows.select(*_PAGE, "ingest_seq", "o.*")
     place = strip_html(F.col("jobLocation"), "line")
     return rows.select(
         *_PAGE,
         "ingest_seq",
-        F.coalesce(F.from_json("identifier", "value: string")["value"], "identifier", "url").alias("id"),
+        F.coalesce(F.from_json("identifier", "struct<value: string>")["value"], "identifier", "url").alias("id"),
         "title",
         F.col("hiringOrganization.name").alias("companyName"),
         F.coalesce(place, F.lit("")).alias("location"),
@@ -623,7 +624,7 @@ def dice_pages(payloads: DataFrame, as_of: Column) -> DataFrame:
     ld = _ld_search_rows(payloads).select(*_FOUND, F.lit(0).alias("priority"))
     found = result_cards(payloads, "https://www.dice.com").select(*_FOUND, F.lit(1).alias("priority"))
     rows = first_nonempty_payload(ld.unionByName(found), _PAGE)
-    rows = rows.withColumns({n: F.lit(None).cast(t) for n, t in _SEARCH_COLUMNS.items()})
+    rows = rows.transform(settle, {n: F.lit(None).cast(t) for n, t in _SEARCH_COLUMNS.items()})
     return search_jobs(rows, as_of)
 
 
@@ -650,7 +651,7 @@ def simplyhired(payloads: DataFrame, as_of: Column) -> DataFrame:
     o = F.col("o")
     place = F.coalesce(o["location"], o["formattedLocation"], F.lit(""))
     link = F.coalesce(o["url"], o["link"])
-    in_state = state.withColumn("o", F.from_json("json", schema)).select(
+    in_state = state.withColumn("o", F.from_json("json", f"struct<{schema}>")).select(
         *_PAGE,
         F.coalesce(o["id"], o["jobKey"], link).alias("id"),
         o["title"].alias("title"),
@@ -667,7 +668,7 @@ def simplyhired(payloads: DataFrame, as_of: Column) -> DataFrame:
     found = result_cards(pages, "https://www.simplyhired.com").select(*_FOUND, F.lit(2).alias("priority"))
     rows = first_nonempty_payload(ld.unionByName(in_state).unionByName(found), _PAGE)
     pay = parse_salary(F.col("salary"), "numbers")
-    rows = rows.withColumns(
+    rows = rows.transform(settle, 
         {
             "title": js_trim(_c("title")),
             "company": js_trim(_c("companyName")),
@@ -680,7 +681,7 @@ def simplyhired(payloads: DataFrame, as_of: Column) -> DataFrame:
         }
     ).filter("title <> '' AND company <> '' AND url <> ''")
     rows = rows.filter(has_tech_signal(F.col("title")))
-    rows = rows.withColumns(
+    rows = rows.transform(settle, 
         {
             "source_id": F.coalesce("id", "url"),
             "remote": F.coalesce("isRemote", F.lit(False)) | infer_remote(F.col("location")),
@@ -738,7 +739,7 @@ def workday_postings(payloads: DataFrame, as_of: Column) -> DataFrame:
     stable = F.concat_ws(":", slug, js_trim(F.lower(title)), js_trim(F.lower(place)))
     labels = F.create_map(*[F.lit(x) for pair in COMPANY_LABELS.items() for x in pair])
     shown = F.concat(F.upper(F.substring(slug, 1, 1)), F.substring(slug, 2, 1 << 20))
-    return rows.withColumns(
+    return rows.transform(settle, 
         {
             "_slug": slug,
             "company": F.coalesce(F.try_element_at(labels, slug), shown),
@@ -769,7 +770,7 @@ def workday(payloads: DataFrame, details: DataFrame, as_of: Column) -> DataFrame
     rows = workday_postings(payloads, as_of).filter("reject_reason IS NULL")
     rows = dedupe_by(rows, ["request_key", "dedup_hash"], ["ingest_seq"])
     rows = dedupe_by(rows, ["_slug", "dedup_hash"], ["ingest_seq"], keep="last")
-    text = F.from_json("body", "jobPostingInfo: struct<jobDescription: string>")["jobPostingInfo"]["jobDescription"]
+    text = F.from_json("body", "struct<jobPostingInfo: struct<jobDescription: string>>")["jobPostingInfo"]["jobDescription"]
     parts = F.split("request_key", "\\|", 2)
     pages = details.select(
         parts[0].alias("request_key"), parts[1].alias("externalPath"), clean_unicode(text).alias("detail_text")

@@ -13,7 +13,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.regex import ecma, first_match
+from ..functions.regex import ecma, first_match, let
 from ..functions.text import js_trim, strip_html
 
 _ID = ["run_id", "request_key", "fetch_seq"]
@@ -30,7 +30,7 @@ def _is_array(text: Column) -> Column:
 
 def parse_array(text: Column, item: str) -> Column:
     """The JSON array ``text`` as ``array<struct<item>>``; null when it is no array."""
-    return F.when(_is_array(text), F.from_json(text, f"array<struct<{item}>>"))
+    return let(text, lambda t: F.when(_is_array(t), F.from_json(t, f"array<struct<{item}>>")))
 
 
 def json_items(

@@ -10,6 +10,7 @@ from ..functions.location import is_non_us
 from ..functions.regex import ecma, has_pattern, let, replace
 from ..functions.text import extract_all_urls, js_trim, strip_html
 from ..operators.dedup import dedupe_by
+from ..settle import settle
 from .canonical import finalize
 from .lists import strip_lead
 from .readers import json_items
@@ -84,7 +85,7 @@ def comment_thread(payloads: DataFrame) -> DataFrame:
     segments = F.filter(
         F.transform(F.split(F.col("lines")[0], "\\|"), clean_candidate), lambda x: x != ""
     )
-    rows = rows.withColumns(
+    rows = rows.transform(settle, 
         {
             "segments": segments,
             "remote": has_pattern(F.col("description"), [r"\bremote\b"]),
@@ -111,7 +112,7 @@ def comment_thread(payloads: DataFrame) -> DataFrame:
     )
     rows = rows.withColumn("company", company).filter("company <> ''").withColumn("titles", titles)
     rows = rows.withColumn("_best", F.try_element_at(rated, F.lit(1))).filter("_best IS NOT NULL")
-    rows = rows.withColumns(
+    rows = rows.transform(settle, 
         {"title": F.col("_best.title"), "experience_level": F.col("_best.level")}
     )
     places = F.filter(
@@ -126,7 +127,7 @@ def comment_thread(payloads: DataFrame) -> DataFrame:
         F.when(F.col("remote"), "Remote"),
     )
     link = F.try_element_at(extract_all_urls(F.col("text")), F.lit(1))
-    rows = rows.withColumns(
+    rows = rows.transform(settle, 
         {
             "location": place,
             "source_id": F.col("id").cast("string"),
