@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import company_root, dedupe_text, dedupe_url, js_trim
+from .regex import let
+from .text import dedupe_text, dedupe_url, js_trim, root_words
 
 
 def posting_hash(company: Column, title: Column, location: Column) -> Column:
@@ -22,21 +23,27 @@ def match_keys(
     id: Column, url: Column, title: Column, company: Column, description: Column
 ) -> Column:
     """Up to five keys; two postings that share any of them count as the same one."""
-    title_key = dedupe_text(F.coalesce(title, F.lit("")))
-    company_key = dedupe_text(F.coalesce(company, F.lit("")))
-    root_key = company_root(F.coalesce(company, F.lit("")))
-    text_key = F.substring(dedupe_text(F.coalesce(description, F.lit(""))), 1, 500)
-
-    def pair(label: str, other: Column) -> Column:
-        value = F.concat(F.lit(f"{label}:"), title_key, F.lit("|"), other)
-        return F.when((title_key != "") & (other != ""), value)
-
-    return F.array_compact(
-        F.array(
-            F.concat(F.lit("id:"), id),
-            F.concat(F.lit("url:"), dedupe_url(url)),
-            pair("title-company", company_key),
-            pair("title-company-root", root_key),
-            pair("title-description", text_key),
-        )
+    empty = F.lit("")
+    parts = F.struct(
+        dedupe_text(F.coalesce(title, empty)).alias("title"),
+        dedupe_text(F.coalesce(company, empty)).alias("company"),
+        F.substring(dedupe_text(F.coalesce(description, empty)), 1, 500).alias("text"),
     )
+
+    def keys(p: Column) -> Column:
+        def pair(label: str, other: Column) -> Column:
+            value = F.concat(F.lit(f"{label}:"), p["title"], F.lit("|"), other)
+            return F.when((p["title"] != "") & (other != ""), value)
+
+        return F.array_compact(
+            F.array(
+                F.concat(F.lit("id:"), id),
+                F.concat(F.lit("url:"), dedupe_url(url)),
+                pair("title-company", p["company"]),
+                let(root_words(p["company"]), lambda r: pair("title-company-root", r)),
+                pair("title-description", p["text"]),
+            )
+        )
+
+    # Bound once: three of the five keys use the title.
+    return let(parts, keys)

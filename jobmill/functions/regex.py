@@ -16,6 +16,10 @@ from pyspark.sql import functions as F
 
 SPACE_MEMBERS = "\\t\\n\\x0B\\f\\r \u00a0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000\ufeff"
 SPACE = f"[{SPACE_MEMBERS}]"
+#: the same characters as plain text
+SPACE_CHARS = "\t\n\x0b\f\r \u00a0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + (
+    "\u2028\u2029\u202f\u205f\u3000\ufeff"
+)
 _WORD = "[A-Za-z0-9_]"
 _START = f"(?<!{_WORD})"
 _END = f"(?!{_WORD})"
@@ -71,13 +75,27 @@ def _minimal(words: Iterable[str]) -> list[str]:
     return kept
 
 
-def _branch(tree: dict, top: bool = False) -> str:
-    options = []
-    for char, rest in sorted(tree.items()):
-        options.append(quote(char) + ("" if rest is None else _branch(rest)))
-    choice = options[0] if len(options) == 1 else "(?:" + "|".join(options) + ")"
-    # A look at the first character spares most positions of a long text the choice.
-    return f"(?=[{''.join(map(quote, sorted(tree)))}])" + choice if top else choice
+#: branches tried in a row before they are grouped behind a character class
+_FAN_OUT = 5
+
+
+def _first_of(chars: Iterable[str]) -> str:
+    return f"(?=[{''.join(map(quote, chars))}])"
+
+
+def _branch(tree: dict) -> str:
+    chars = sorted(tree)
+    options = [quote(c) + ("" if tree[c] is None else _branch(tree[c])) for c in chars]
+    if len(options) == 1:
+        return options[0]
+    if len(options) > _FAN_OUT:
+        # The engine tries branches one by one; a class test skips a whole group.
+        cuts = range(0, len(options), _FAN_OUT)
+        options = [
+            f"{_first_of(chars[i : i + _FAN_OUT])}(?:{'|'.join(options[i : i + _FAN_OUT])})"
+            for i in cuts
+        ]
+    return "(?:" + "|".join(options) + ")"
 
 
 @lru_cache(maxsize=None)
@@ -88,7 +106,8 @@ def _word_pattern(words: tuple[str, ...]) -> str:
         for char in word[:-1]:
             node = node.setdefault(char, {})
         node[word[-1]] = None
-    return _branch(tree, top=True)
+    # A look at the first character spares most positions of a long text all branches.
+    return _first_of(sorted(tree)) + _branch(tree)
 
 
 def word_pattern(words: Iterable[str]) -> str:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .regex import SPACE, first_match, let, replace
+from .regex import SPACE, SPACE_CHARS, first_match, let, replace
 
 # Legal-form and filler words that do not tell companies apart.
 BUSINESS_SUFFIXES = [
@@ -29,7 +29,7 @@ SLUG_NAMES = {
 
 def js_trim(col: Column) -> Column:
     """Trim Unicode spaces at both ends (Spark's ``trim`` only strips U+0020)."""
-    return F.regexp_replace(col, f"^{SPACE}+|{SPACE}+\\z", "")
+    return F.btrim(col, F.lit(SPACE_CHARS))
 
 
 def squash_ws(col: Column) -> Column:
@@ -81,7 +81,10 @@ def decode_named(col: Column, ignore_case: bool = False, apostrophe: bool = Fals
     for entity, char in ENTITIES:
         if apostrophe and entity == "&#39;":
             entity = "(?:&#39;|&apos;)"
-        col = F.regexp_replace(col, flag + entity, char)
+        if flag or entity.startswith("(?:"):
+            col = F.regexp_replace(col, flag + entity, char)
+        else:
+            col = F.replace(col, F.lit(entity), F.lit(char))
     return col
 
 
@@ -158,7 +161,7 @@ def strip_html(col: Column, dialect: str = "block") -> Column:
 
 def truncate_text(col: Column, limit: int) -> Column:
     """At most ``limit`` characters, the cut marked by three dots."""
-    cut = F.regexp_replace(F.substring(col, 1, max(0, limit - 3)), f"{SPACE}+\\z", "")
+    cut = F.rtrim(F.substring(col, 1, max(0, limit - 3)), F.lit(SPACE_CHARS))
     return F.when(F.length(col) <= limit, col).otherwise(F.concat(cut, F.lit("...")))
 
 
@@ -196,7 +199,7 @@ def extract_cell_text(col: Column) -> Column:
 
 def canonical_url(col: Column) -> Column:
     """Trimmed, without trailing slashes."""
-    return F.regexp_replace(js_trim(col), "/+\\z", "")
+    return F.rtrim(js_trim(col), F.lit("/"))
 
 
 def dedupe_url(col: Column) -> Column:
@@ -207,22 +210,24 @@ def dedupe_url(col: Column) -> Column:
     text = squash_ws(col)
     absolute = text.rlike("^(?i)(?:https?://[^/?#]|(?!https?:)[a-z][a-z0-9+.-]*:)")
     bare = F.when(absolute, F.regexp_replace(text, "(?s)#.*\\z", "")).otherwise(text)
-    return F.lower(F.regexp_replace(bare, "/+\\z", ""))
+    return F.lower(F.rtrim(bare, F.lit("/")))
 
 
 def dedupe_text(col: Column) -> Column:
     """Comparison form: lower case words of ASCII letters and digits."""
-    text = F.regexp_replace(F.lower(squash_ws(col)), "&amp;", "&")
+    text = F.replace(F.lower(col), F.lit("&amp;"), F.lit("&"))
     return F.trim(F.regexp_replace(text, "[^a-z0-9]+", " "))
 
 
+def root_words(col: Column) -> Column:
+    """The first two words of a comparison form that are not legal forms."""
+    words = F.filter(F.split(col, " "), lambda w: (w != "") & ~w.isin(BUSINESS_SUFFIXES))
+    return F.array_join(F.slice(words, 1, 2), " ")
+
+
 def company_root(col: Column) -> Column:
     """The first two words of a company name that are not legal forms."""
-    words = F.filter(
-        F.split(dedupe_text(col), " "),
-        lambda w: (w != "") & ~w.isin(BUSINESS_SUFFIXES),
-    )
-    return F.array_join(F.slice(words, 1, 2), " ")
+    return root_words(dedupe_text(col))
 
 
 def humanize_slug(

@@ -228,7 +228,11 @@ def headed_table(payloads: DataFrame, as_of: Column, readme: bool = False) -> Da
         lines = lines.withColumn("_over", F.max(ends).over(doc)).filter("_seen AND NOT _over")
     in_table = F.col("line").startswith("|")
     lines = lines.withColumn("_block", F.sum((~in_table).cast("int")).over(doc))
-    labels = F.transform("cells", extract_cell_text)
+    # Only a line that names both columns can be a header; most lines skip the clean-up.
+    likely = F.col("line").rlike("(?i)company") & F.col("line").rlike("(?i)position|title|role")
+    labels = F.when(likely, F.transform("cells", extract_cell_text))
+    lines = lines.transform(settle, {"_labels": labels})
+    labels = F.col("_labels")
     is_header = (_position(labels, "company") > 0) & (_position(labels, "position|title|role") > 0)
     header = F.when(
         is_header,
@@ -273,7 +277,7 @@ def last_link_table(payloads: DataFrame, as_of: Column) -> DataFrame:
     rows = lines.filter(F.size("cells") >= 4)
     rows = rows.filter(~F.forall("cells", lambda c: c.rlike("^:?-{3,}:?\\z")))
     company = js_trim(F.regexp_replace(extract_cell_text(F.col("cells")[0]), "^[^\\p{L}\\p{N}]+", ""))
-    rows = rows.withColumn("company", company).filter("company <> ''")
+    rows = rows.transform(settle, {"company": company}).filter("company <> ''")
     n = F.size("cells")
     heads = F.transform(
         "cells", lambda c: F.trim(F.regexp_replace(F.lower(extract_cell_text(c)), "[^a-z0-9]+", " "))
@@ -290,11 +294,13 @@ def last_link_table(payloads: DataFrame, as_of: Column) -> DataFrame:
         )
 
     is_header = F.lower("company") == "company"
-    rows = rows.withColumn("_own", let(heads, columns)).withColumn("_is_header", is_header)
-    rows = rows.withColumn(
-        "_head", F.last(F.when(is_header, F.col("_own")), ignorenulls=True).over(doc)
-    ).filter("NOT _is_header")
-    head = F.coalesce("_head", "_own")
+    own = let(heads, columns)
+    rows = rows.transform(settle, {"_own_head": F.when(is_header, own)})
+    rows = rows.withColumn("_head", F.last("_own_head", ignorenulls=True).over(doc))
+    rows = rows.filter("_own_head IS NULL")
+    # Only rows above the first header have to look at their own cells.
+    rows = rows.transform(settle, {"_head": F.coalesce("_head", own)})
+    head = F.col("_head")
 
     def cell(name: str) -> Column:
         return F.coalesce(F.try_element_at("cells", F.nullif(head[name], F.lit(0))), F.lit(""))

@@ -345,7 +345,8 @@ def personio(payloads: DataFrame) -> DataFrame:
         }
     ).filter("title IS NOT NULL AND url IS NOT NULL")
     rows = rows.filter(keep_office(F.col("location"), F.col("description"), F.col("_more")))
-    by_title = infer_roles(F.col("title"))
+    rows = rows.transform(settle, {"_by_title": infer_roles(F.col("title"))})
+    by_title = F.col("_by_title")
     path = F.regexp_extract("url", "^[a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*([^?#]*)", 1)
     rows = rows.transform(settle, 
         {

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions.regex import ecma, first_match, let
 from ..functions.text import js_trim, strip_html
+from ..settle import settle
 
 _ID = ["run_id", "request_key", "fetch_seq"]
 
@@ -82,7 +83,7 @@ def markdown_lines(payloads: DataFrame) -> DataFrame:
     cells = F.transform(F.split("line", "\\|", -1), js_trim)
     inner = F.slice(cells, 2, F.greatest(F.size(cells) - 2, F.lit(0)))
     is_row = F.col("line").startswith("|") & ~js_trim(F.col("line")).rlike(_SEPARATOR)
-    return lines.withColumn("cells", F.when(is_row, inner)).withColumn("ingest_seq", ingest_seq())
+    return lines.transform(settle, {"cells": F.when(is_row, inner), "ingest_seq": ingest_seq()})
 
 
 def in_document() -> "Window":
@@ -117,9 +118,8 @@ def markdown_table(
 
 
 def tag(block: Column, name: str) -> Column:
-    """Inner text of the first element of that name, untouched; null when absent."""
-    pattern = f"(?is)<{name}[^>]*>(.*?)</{name}>"
-    return F.when(block.rlike(pattern), F.regexp_extract(block, pattern, 1))
+    """Inner text of the first element of that name, untouched; null without any."""
+    return first_match(block, f"(?is)<{name}[^>]*>(.*?)</{name}>")
 
 
 def tag_text(block: Column, name: str) -> Column:
