@@ -943,3 +943,39 @@ def full_run(spark, d):
     """Cross-source, then in-source dedup: what a run hands to the merge."""
     rows = dedup.dedupe_across_sources(w.hashed_postings(spark, d))
     return dedup.dedupe_in_source(rows).select("source", "dedup_hash", "ingest_seq")
+
+
+@query(
+    "st1_incremental_merge",
+    f"""WITH {o.HASHED}, l AS (SELECT dedup_hash, title, location, {o.level('title', 'description')} AS level,
+      {o.posting_hash("'Acme'", 'title', 'location')} AS h FROM hashed WHERE {o.words("lower(title)", BOARD_TECH_WORDS)})
+    SELECT h AS dedup_hash, any_value(title) AS title, true AS is_active FROM l WHERE level IS NOT NULL GROUP BY h""",
+)
+def incremental_merge(spark, d):
+    """Two payload files as a stream; the snapshot after both micro-batches."""
+    from ..streaming import incremental as inc
+
+    root = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="jobmill-stream-")
+    root = f"{root}/stream-{uuid.uuid4()}"
+    item = _item(
+        id=F.col("source_id"), title=F.col("title"), location=_name("location", "name"),
+        content=F.col("description"), absolute_url=F.col("url"), updated_at=_iso(),
+    )
+    landed = payloads(_raw(spark, d), item, as_json("jobs"), F.lit("Acme")).select(
+        F.lit("greenhouse").alias("source"), "run_id", "fetch_seq", "request_key", F.lit(200).alias("status"),
+        F.lit("application/json").alias("content_type"), "body",
+    )
+    half = F.col("fetch_seq") % 2
+    for part in (0, 1):
+        landed.filter(half == part).coalesce(1).write.mode("append").parquet(f"{root}/landing")
+
+    def adapter(batch: DataFrame) -> DataFrame:
+        return boards.greenhouse(batch).withColumn("source_rank", F.lit(1))
+
+    stream = inc.incremental_merge(
+        spark, f"{root}/landing", f"{root}/store", adapter, f"{root}/checkpoint", w.as_of(),
+        inc.empty_snapshot(spark), files_per_batch=1,
+    )
+    stream.awaitTermination()
+    last = inc.last_version(stream)
+    return inc.read_version(spark, f"{root}/store", last).select("dedup_hash", "title", "is_active")

@@ -5,12 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.dedup import dedupe_across_sources
 from ..operators.merge import merge_snapshot
-from ..schema import RAW_PAYLOAD
+from ..schema import JOB, RAW_PAYLOAD
 
 Adapter = Callable[[DataFrame], DataFrame]
 
@@ -27,6 +26,7 @@ def incremental_merge(
     checkpoint: str,
     scraped_at: Column,
     empty: DataFrame,
+    files_per_batch: int = 1000,
 ) -> StreamingQuery:
     """Merge new payload files into versioned snapshots.
 
@@ -35,7 +35,11 @@ def incremental_merge(
     again after a failure overwrites its own output and nothing else. Version 0 is
     ``empty``. Retirement needs the whole run and stays a batch step.
     """
-    payloads = spark.readStream.schema(RAW_PAYLOAD).parquet(landing)
+    payloads = (
+        spark.readStream.schema(RAW_PAYLOAD)
+        .option("maxFilesPerTrigger", files_per_batch)
+        .parquet(landing)
+    )
 
     def merge(batch: DataFrame, number: int) -> None:
         session = batch.sparkSession
@@ -52,5 +56,15 @@ def incremental_merge(
     )
 
 
-def latest_snapshot(spark: SparkSession, store: str, version: int) -> DataFrame:
-    return spark.read.parquet(snapshot_path(store, version)).withColumn("version", F.lit(version))
+def empty_snapshot(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame([], JOB)
+
+
+def last_version(query: StreamingQuery) -> int:
+    """Version the last micro-batch of a finished query has written; 0 when it had none."""
+    progress = query.lastProgress
+    return 0 if progress is None else progress["batchId"] + 1
+
+
+def read_version(spark: SparkSession, store: str, version: int) -> DataFrame:
+    return spark.read.parquet(snapshot_path(store, version))
