@@ -15,7 +15,11 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 SPACE_MEMBERS = "\\t\\n\\x0B\\f\\r \u00a0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000\ufeff"
-SPACE = f"[{SPACE_MEMBERS}]"
+#: as one class, every letter would be compared with each of the rare spaces in turn
+SPACE = (
+    "(?:[\\t-\\r \u00a0]|(?=[\u1680-\uffff])"
+    "[\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000\ufeff])"
+)
 #: the same characters as plain text
 SPACE_CHARS = "\t\n\x0b\f\r \u00a0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + (
     "\u2028\u2029\u202f\u205f\u3000\ufeff"

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .regex import SPACE, SPACE_CHARS, first_match, let, replace
+from .regex import SPACE, SPACE_CHARS, SPACE_MEMBERS, first_match, let, replace
 
 # Legal-form and filler words that do not tell companies apart.
 BUSINESS_SUFFIXES = [
@@ -34,7 +34,13 @@ def js_trim(col: Column) -> Column:
 
 def squash_ws(col: Column) -> Column:
     """Runs of white space become one space; ends are trimmed."""
-    return F.trim(F.regexp_replace(col, f"{SPACE}+", " "))
+    # Printable ASCII without double spaces is the common case and needs no rewriting.
+    return let(
+        col,
+        lambda c: F.trim(
+            F.when(c.rlike("[^!-~ ]|  "), F.regexp_replace(c, f"{SPACE}+", " ")).otherwise(c)
+        ),
+    )
 
 
 def blank_to_null(col: Column) -> Column:
@@ -103,6 +109,10 @@ def _tidy_lines(col: Column) -> Column:
     return js_trim(col)
 
 
+#: anything that a clean-up may change, apart from spaces at the ends
+_MARKUP = f"[<&\\x00]|(?! ){SPACE}|  "
+
+
 def strip_html(col: Column, dialect: str = "block") -> Column:
     """Readable text of an HTML fragment.
 
@@ -116,6 +126,14 @@ def strip_html(col: Column, dialect: str = "block") -> Column:
     """
     if dialect == "flat":
         return F.regexp_replace(col, "<[^>]*>", " ")
+    # Most fields are plain text, which one test tells.
+    return let(
+        col,
+        lambda c: F.when(c.rlike(_MARKUP), _strip(c, dialect)).otherwise(clean_unicode(js_trim(c))),
+    )
+
+
+def _strip(col: Column, dialect: str) -> Column:
     if dialect == "line":
         return squash_ws(F.regexp_replace(col, "<[^>]*>", " "))
     if dialect == "page":
@@ -177,7 +195,7 @@ def extract_all_urls(col: Column) -> Column:
     href = F.transform(href, lambda u: decode_named(decode_entities(u), True, True))
     bare = F.regexp_extract_all(
         decode_named(decode_entities(col), True, True),
-        F.lit(f"(?i)(?<![A-Za-z0-9_])(https?://[^{SPACE[1:-1]}<>\"')]+)"),
+        F.lit(f"(?i)(?<![A-Za-z0-9_])(https?://[^{SPACE_MEMBERS}<>\"')]+)"),
         F.lit(1),
     )
     urls = F.transform(F.concat(href, bare), js_trim)
@@ -186,6 +204,11 @@ def extract_all_urls(col: Column) -> Column:
 
 def extract_cell_text(col: Column) -> Column:
     """Plain text of a Markdown or HTML table cell."""
+    marked = f"[<\\[*_`~&]|(?! ){SPACE}|  |^ *[^A-Za-z0-9 ]"
+    return let(col, lambda c: F.when(c.rlike(marked), _cell_text(c)).otherwise(js_trim(c)))
+
+
+def _cell_text(col: Column) -> Column:
     col = replace(col, "(?i)<img\\b[^>]*>", "")
     col = replace(col, "(?i)<a\\b[^>]*>(.*?)</a>", "$1")
     col = F.regexp_replace(col, "\\[([^\\]]+)\\]\\((?:[^)]+)\\)", "$1")

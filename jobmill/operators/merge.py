@@ -160,13 +160,14 @@ def retirement_guards(
 def retire(merged: DataFrame, batch: DataFrame, decisions: DataFrame) -> DataFrame:
     """Mark the stale postings of the sources to retire as inactive.
 
-    The decision list has one row per source, so it is small by construction.
+    The decision list has one row per source, so it is broadcast: a shuffle by source
+    would put the largest source into one task.
     """
     chosen = decisions.filter("decision = 'retire'").select("source", F.lit(True).alias("_retire"))
     fresh = _fresh(batch).withColumn("_fresh", F.lit(True))
     marked = (
         merged.withColumn("run_hash", _run_hash("dedup_hash"))
-        .join(chosen, "source", "left")
+        .join(F.broadcast(chosen), "source", "left")
         .join(fresh, ["source", "run_hash"], "left")
     )
     stale = F.col("_retire").isNotNull() & F.col("_fresh").isNull()

@@ -29,9 +29,13 @@ STAMP = "yyyy-MM-dd'T'HH:mm:ss'Z'"
 def payloads(rows: DataFrame, item: Column, render: Callable[[Column], Column], key: Column | None = None) -> DataFrame:
     """One payload per ``PER_PAYLOAD`` consecutive postings (and key)."""
     request_key = F.lit("acme") if key is None else key
-    grouped = rows.groupBy(
-        F.floor(F.col("ingest_seq") / PER_PAYLOAD).alias("fetch_seq"), request_key.alias("request_key")
-    ).agg(F.sort_array(F.collect_list(F.struct("ingest_seq", item.alias("item")))).alias("rows"))
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    keyed = rows.withColumns(
+        {"fetch_seq": F.floor(F.col("ingest_seq") / PER_PAYLOAD), "request_key": request_key}
+    ).repartition(cores, "fetch_seq", "request_key")
+    grouped = keyed.groupBy("fetch_seq", "request_key").agg(
+        F.sort_array(F.collect_list(F.struct("ingest_seq", item.alias("item")))).alias("rows")
+    )
     items = F.transform("rows", lambda r: r["item"])
     return grouped.select(
         F.lit("run1").alias("run_id"), "request_key", "fetch_seq", render(items).alias("body")

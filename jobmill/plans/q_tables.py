@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..functions.keys import match_keys
 from ..functions.text import canonical_url
 from ..operators import audit, dedup, merge, repair
+from ..session import durable
 from . import oracle as o
 from . import workload as w
 from .q_rules import GATE_CTE, SPELLED, gated_postings, spelled_roles
@@ -136,7 +137,7 @@ def stale_candidates(spark, d):
 
 @query("m4_retirement_guards", f"WITH {o.GUARDS} SELECT * FROM decided")
 def retirement_guards(spark, d):
-    return merge.retirement_guards(_merged(spark, d), w.batch(spark, d), w.run_status(spark, d))
+    return merge.retirement_guards(durable(_merged(spark, d)), w.batch(spark, d), w.run_status(spark, d))
 
 
 @query(
@@ -146,7 +147,7 @@ def retirement_guards(spark, d):
     LEFT JOIN gone g ON g.source = m.source AND g.dedup_hash = m.dedup_hash""",
 )
 def retire(spark, d):
-    merged, batch = _merged(spark, d), w.batch(spark, d)
+    merged, batch = durable(_merged(spark, d)), w.batch(spark, d)
     decisions = merge.retirement_guards(merged, batch, w.run_status(spark, d))
     return merge.retire(merged, batch, decisions).select("id", "source", "is_active")
 

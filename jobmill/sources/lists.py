@@ -193,11 +193,7 @@ def lock_table(payloads: DataFrame, json_payloads: DataFrame | None = None, as_o
     listed = json_items(json_payloads, item, ["jobs"]).filter(~F.coalesce("is_closed", F.lit(False)))
     listed = listed.withColumnRenamed("posted_at", "_at").withColumn("posted", F.col("posted_display"))
     first = _ambicuity(listed, source, as_of, parse_datetime(F.col("_at")))
-    # The file either gives rows or not, so one count decides which of the two is used.
-    any_row = first.limit(1).agg((F.count("*") > 0).alias("_any"))
-    return first.unionByName(
-        table.join(F.broadcast(any_row), ~F.col("_any"), "left_semi")
-    )
+    return table if first.isEmpty() else first
 
 
 def _ambicuity(rows: DataFrame, source: str, as_of: Column, exact: Column | None = None) -> DataFrame:

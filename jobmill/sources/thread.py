@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.classify import classify_experience, has_tech_signal
 from ..functions.location import is_non_us
 from ..functions.regex import ecma, has_pattern, let, replace
-from ..functions.text import extract_all_urls, js_trim, strip_html
+from ..functions.text import extract_all_urls, js_trim, squash_ws, strip_html
 from ..operators.dedup import dedupe_by
 from ..settle import settle
 from .canonical import finalize
@@ -30,18 +30,28 @@ ITEM_URL = "https://news.ycombinator.com/item?id="
 
 
 def clean_line(col: Column) -> Column:
-    return F.trim(strip_lead(F.regexp_replace(col, ecma(r"\s+"), " ")))
+    return js_trim(strip_lead(squash_ws(col)))
 
 
 def clean_candidate(col: Column) -> Column:
     """A header segment or line without bullets, lead-ins, trailing links and marks."""
-    text = clean_line(col)
+    return let(let(clean_line(col), _without_lead), _without_tail)
+
+
+def _without_lead(text: Column) -> Column:
+    # A text that starts with none of the lead-ins loses none of them.
+    cut = text
     for lead in LEADS:
-        text = replace(text, f"(?i)^{lead}", "")
-    text = js_trim(text)
-    text = replace(text, r"(?i)\s+(?:\||-)\s+https?://.*$", "")
-    text = replace(text, r"(?i)\s+https?://.*$", "")
-    return js_trim(replace(text, r"\s+[|:-]\s*$", ""))
+        cut = replace(cut, f"(?i)^{lead}", "")
+    any_lead = "|".join(LEADS)
+    return F.when(text.rlike(f"(?i)^(?:{any_lead})"), js_trim(cut)).otherwise(text)
+
+
+def _without_tail(text: Column) -> Column:
+    cut = replace(text, r"(?i)\s+(?:\||-)\s+https?://.*$", "")
+    cut = replace(cut, r"(?i)\s+https?://.*$", "")
+    linked = F.when(text.rlike("(?i)http"), cut).otherwise(text)
+    return js_trim(replace(linked, r"\s+[|:-]\s*$", ""))
 
 
 def _website(col: Column) -> Column:
