@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import re
 
-from ..functions import packs_gates, packs_levels, packs_places, packs_roles
+from ..functions import packs_levels, packs_places, packs_roles
 from ..functions import classify as rules
 from ..functions import location as places
 from ..functions.text import BUSINESS_SUFFIXES

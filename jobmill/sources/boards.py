@@ -34,6 +34,7 @@ from ..functions.text import (
     SLUG_NAMES,
     blank_to_null,
     clean_unicode,
+    decode_entities,
     humanize_slug,
     js_trim,
     slugify,
@@ -42,7 +43,14 @@ from ..functions.text import (
 from ..operators.dedup import dedupe_by
 from ..settle import settle
 from .canonical import finalize
-from .readers import absolute_url, detail_enrich, json_items
+from .readers import (
+    absolute_url,
+    detail_enrich,
+    embedded_object,
+    json_items,
+    next_data,
+    page_attribute,
+)
 
 
 def _c(name: str, default: str = "") -> Column:
@@ -319,8 +327,6 @@ _WORKABLE = (
 
 def workable(payloads: DataFrame) -> DataFrame:
     """Search pages with the jobs payload embedded in a script, or its JSON."""
-    from .readers import embedded_object
-
     data = embedded_object(
         F.regexp_extract("body", '(?s)"api/v1/jobs":\\{"status":(.*)', 1), ['"data":']
     )
@@ -577,9 +583,6 @@ def workatastartup(hits: DataFrame, pages: DataFrame, details: DataFrame) -> Dat
 
     Pages carry their JSON in an attribute. Detail bodies are keyed by the job id.
     """
-    from ..functions.text import decode_entities
-    from .readers import page_attribute
-
     item = (
         "objectID: string, title: string, company_name: string, locations: array<string>, "
         "description: string, remote: boolean, created_at: double"
@@ -641,8 +644,6 @@ def rippling(boards: DataFrame, details: DataFrame) -> DataFrame:
 
     Titles are filtered before the detail join.
     """
-    from .readers import next_data
-
     place = "array<struct<name: string, workplaceType: string>>"
     job = f"id: string, name: string, url: string, locations: {place}"
     schema = (
