@@ -1,6 +1,6 @@
 """All queries of this subpackage."""
 
-from . import q_chat, q_decontaminate, q_language, q_mixing, q_neardup, q_quality, q_sharding, q_toxicity, q_warc  # noqa: F401
+from . import q_chat, q_decontaminate, q_language, q_lm, q_mixing, q_neardup, q_quality, q_sharding, q_toxicity, q_warc  # noqa: F401
 from .registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

@@ -99,9 +99,11 @@ def multipliers(histogram: DataFrame, wanted: DataFrame, tilt: float = TILT) ->
         F.lit(0.0).alias("multiplier"), F.lit(-700.0).alias("low"), F.lit(700.0).alias("high"),
     )
     state = rewritten(state, "dual")
+    small = state.count() <= BROADCAST_SOURCES
     for _ in range(STEPS):
-        rows = counted.join(F.broadcast(state) if state.count() <= 100_000 else state,
-                            counted["source"].eqNullSafe(state["source"]))
+        rows = counted.join(
+            F.broadcast(state) if small else state, counted["source"].eqNullSafe(state["source"])
+        )
         rows = rows.select(
             state["source"], "size", "documents", "multiplier",
             F.pow(F.col("size") / F.col("mean"), F.lit(tilt)).alias("z"),
@@ -131,54 +133,77 @@ def multipliers(histogram: DataFrame, wanted: DataFrame, tilt: float = TILT) ->
     return state.select("source", "source_size", "target", "mean", "multiplier")
 
 
-def mix(
+def fit(
     sizes: DataFrame,
     weights: Sequence[float] = WEIGHTS,
     volume: float = VOLUME,
     tilt: float = TILT,
 ) -> DataFrame:
-    """Rows (…, source, size, draw) with ``source_size``, ``target`` and ``copies``.
-
-    ``draw`` is a hash that decides the rounding; rows of equal source, size and draw
-    are decided alike.
-    """
+    """One row per source of ``sizes`` (source, size, draw): target, multiplier and offset."""
     histogram = rewritten(
         sizes.groupBy("source", "size").agg(F.count("*").alias("documents")), "histogram"
     )
-    per_source = histogram.groupBy("source").agg(F.sum(F.col("size") * F.col("documents")).alias("source_size"))
-    wanted = targets(per_source, weights, volume)
-    solved = multipliers(histogram, wanted, tilt)
-    small = solved.count() <= 100_000
-    known = solved.withColumnRenamed("source", "own")
-    rated = sizes.join(
-        F.broadcast(known) if small else known, F.col("source").eqNullSafe(F.col("own"))
-    ).drop("own")
-    z = F.pow(F.col("size") / F.col("mean"), F.lit(tilt))
-    rate = F.when(F.col("size") > 0, _rate()).otherwise(F.lit(1.0))
-    rated = rated.withColumn("z", z).withColumn("rate", rate)
-    unit = F.pmod(F.col("draw"), F.lit(1 << 40)) / float(1 << 40)
-    rated = rated.withColumn("unit", unit)
-
-    def copies(offset: Column) -> Column:
-        at = F.col("unit") + offset
-        return (F.floor("rate") + (at - F.floor(at) < F.col("rate") - F.floor("rate")).cast("long")).cast("long")
-
-    tries = rated.groupBy("source", "target").agg(
-        *[F.sum(F.col("size") * copies(F.lit(i / OFFSETS))).alias(f"words{i}") for i in range(OFFSETS)]
+    words = F.sum(F.col("size") * F.col("documents"))
+    per_source = histogram.groupBy("source").agg(words.alias("source_size"))
+    solved = rewritten(multipliers(histogram, targets(per_source, weights, volume), tilt), "solved")
+    rated = _joined(sizes.select("source", "size", "draw"), solved.withColumn("offset", F.lit(0.0)))
+    tried = [_copies("size", "draw", F.lit(i / OFFSETS), tilt) for i in range(OFFSETS)]
+    tries = rated.groupBy(KNOWN).agg(
+        F.first(f"{KNOWN}.target").alias("target"),
+        *[F.sum(F.col("size") * x).alias(f"words{i}") for i, x in enumerate(tried)],
     )
     ranked = F.array_min(
         F.array(
-            *[F.struct(F.abs(F.col(f"words{i}") - F.col("target")).alias("off"), F.lit(i / OFFSETS).alias("offset"))
-              for i in range(OFFSETS)]
+            *[
+                F.struct(F.abs(F.col(f"words{i}") - F.col("target")).alias("off"), F.lit(i / OFFSETS).alias("offset"))
+                for i in range(OFFSETS)
+            ]
         )
-    )
-    chosen = rewritten(tries.select(F.col("source").alias("own"), ranked["offset"].alias("offset")), "offsets")
-    out = rated.join(F.broadcast(chosen) if small else chosen, F.col("source").eqNullSafe(F.col("own")))
-    return out.withColumn("copies", copies(F.col("offset"))).drop(
-        "own", "offset", "unit", "rate", "z", "mean", "multiplier"
     )
+    columns = [f"{KNOWN}.{c}" for c in ("source", "source_size", "target", "mean", "multiplier")]
+    return rewritten(tries.select(*columns, ranked["offset"].alias("offset")), "fitted")
+
+
+KNOWN = "__known"
+BROADCAST_SOURCES = 100_000
 
 
-def draw(doc_id: str, text: str | None = None) -> Column:
+def _joined(rows: DataFrame, fitted: DataFrame, source: str = "source") -> DataFrame:
+    """Rows with what is known of their source as a struct ``KNOWN``."""
+    known = fitted.select(F.struct(*fitted.columns).alias(KNOWN))
+    known = F.broadcast(known) if fitted.count() <= BROADCAST_SOURCES else known
+    return rows.join(known, rows[source].eqNullSafe(F.col(f"{KNOWN}.source")))
+
+
+def _copies(size: str, draw: str, offset: Column, tilt: float) -> Column:
+    """The rate of a document, rounded up if its draw falls below the fraction."""
+    z = F.pow(F.col(size) / F.col(f"{KNOWN}.mean"), F.lit(tilt))
+    power = F.least(F.col(f"{KNOWN}.multiplier") * z, F.lit(50.0))
+    rate = F.least(F.lit(float(MOST_COPIES)), F.exp(power))
+    rate = F.when(F.col(size) > 0, rate).otherwise(F.lit(1.0))
+    at = F.pmod(F.col(draw), F.lit(1 << 40)) / float(1 << 40) + offset
+    return (F.floor(rate) + (at - F.floor(at) < rate - F.floor(rate)).cast("long")).cast("long")
+
+
+def copies(
+    rows: DataFrame,
+    fitted: DataFrame,
+    source: str = "source",
+    size: str = "size",
+    draw: str = "draw",
+    tilt: float = TILT,
+) -> DataFrame:
+    """``rows`` with ``__copies``, ``__source_size`` and ``__target``; equal rows alike."""
+    joined = _joined(rows, fitted, source)
+    return joined.withColumns(
+        {
+            "__copies": _copies(size, draw, F.col(f"{KNOWN}.offset"), tilt),
+            "__source_size": F.col(f"{KNOWN}.source_size"),
+            "__target": F.col(f"{KNOWN}.target"),
+        }
+    ).drop(KNOWN)
+
+
+def draw(doc_id: str, text: str) -> Column:
     """The hash that rounds a document's rate."""
-    return F.xxhash64(F.lit("mix"), F.col(doc_id)) if text is None else F.xxhash64(F.lit("mix"), doc_id, text)
+    return F.xxhash64(F.lit("mix"), F.col(doc_id), F.col(text))

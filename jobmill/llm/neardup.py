@@ -29,7 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -307,33 +307,38 @@ def _chunks(nodes: DataFrame, bands: list[str]) -> DataFrame:
     return own.unionByName(pivots).distinct()
 
 
-def near_duplicate_classes(
-    docs: DataFrame, keep: list[str], doc_id: str = "doc_id", text: str = "text"
-) -> DataFrame:
-    """Columns ``keep``, ``class_id`` and ``class_rows`` for every row of ``docs``."""
+_ID, _NODE, _BODY = "__id", "__node", "__body"
+
+
+def _node(text: str) -> Column:
+    """Half of the text's SHA-256: equal texts are one node, null has none."""
+    return F.unhex(F.substring(F.sha2(F.col(f"`{text}`"), 256), 1, 32))
+
+
+def _classes(docs: DataFrame, keep: list[str], doc_id: str, text: str) -> tuple[DataFrame, DataFrame]:
+    """Rows (keep, id, node) of all documents, and the class of every node:
+    (node, class_id, class_rows, keeper), the keeper being the class's smallest (id, node)."""
     spark = docs.sparkSession
     ship(spark)
-    keep = [c for c in keep if c not in ("class_id", "class_rows")]
-    id_name, key_name = "__id", "__node"
-    node = F.unhex(F.substring(F.sha2(F.col(text), 256), 1, 32))
     named = docs.select(
-        *[F.col(f"`{c}`") for c in keep], F.col(doc_id).alias(id_name), node.alias(key_name),
-        F.col(text).alias("__body"),
-    )
-    idf = spark.sparkContext.broadcast(idf_table(named, "__body"))
-    signed = rewritten(signatures(named, "__body", [*keep, id_name, key_name], idf), "signatures")
-    texts = signed.filter(F.col(key_name).isNotNull()).groupBy(F.col(key_name).alias("node"))
+        *[F.col(f"`{c}`") for c in keep],
+        F.col(f"`{doc_id}`").alias(_ID),
+        _node(text).alias(_NODE),
+        F.col(f"`{text}`").alias(_BODY),
+    )
+    idf = spark.sparkContext.broadcast(idf_table(named, _BODY))
+    signed = rewritten(signatures(named, _BODY, [*keep, _ID, _NODE], idf), "signatures")
+    texts = signed.filter(F.col(_NODE).isNotNull()).groupBy(F.col(_NODE).alias("node"))
+    names = _band_names()
     texts = rewritten(
         texts.agg(
-            F.min(id_name).alias("first_id"),
+            F.min(_ID).alias("first_id"),
             F.count("*").alias("copies"),
-            *[F.min(F.when(F.col("worded"), F.col(x))).alias(x) for x in _band_names()],
+            *[F.min(F.when(F.col("worded"), F.col(x))).alias(x) for x in names],
         ),
         "texts",
     )
-    roots = None
-    links = None
-    names = _band_names()
+    roots = links = None
     for bands in (names[:FIRST_BANDS], names[FIRST_BANDS:]):
         nodes = texts.filter(F.col(names[0]).isNotNull()).select("node", *bands)
         if roots is None:
@@ -347,20 +352,54 @@ def near_duplicate_classes(
     known = texts.select("node", "first_id", "copies").join(roots, "node", "left")
     known = known.withColumn("root", F.coalesce("root", "node"))
     classes = known.groupBy("root").agg(
-        F.min("first_id").alias("class_id"), F.sum("copies").alias("class_rows")
+        F.min("first_id").alias("class_id"),
+        F.sum("copies").alias("class_rows"),
+        F.min(F.struct("first_id", "node")).alias("keeper"),
     )
-    members = known.join(classes, "root").select(F.col("node").alias(key_name), "class_id", "class_rows")
-    return (
-        signed.select(*keep, id_name, key_name)
-        .join(members, key_name, "left")
-        .select(
-            *keep,
-            F.when(F.col(key_name).isNull(), F.col(id_name)).otherwise(F.col("class_id")).alias("class_id"),
-            F.coalesce("class_rows", F.lit(1)).cast("long").alias("class_rows"),
-        )
+    members = known.join(classes, "root").select("node", "class_id", "class_rows", "keeper")
+    return signed.select(*keep, _ID, _NODE), members
+
+
+def near_duplicate_classes(
+    docs: DataFrame, keep: list[str], doc_id: str = "doc_id", text: str = "text"
+) -> DataFrame:
+    """Columns ``keep``, ``class_id`` and ``class_rows`` for every row of ``docs``."""
+    keep = [c for c in keep if c not in ("class_id", "class_rows")]
+    rows, members = _classes(docs, keep, doc_id, text)
+    own = F.when(F.col(_NODE).isNull(), F.col(_ID)).otherwise(F.col("class_id"))
+    return rows.join(members.withColumnRenamed("node", _NODE), _NODE, "left").select(
+        *keep, own.alias("class_id"), F.coalesce("class_rows", F.lit(1)).cast("long").alias("class_rows")
     )
 
 
+def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """One row of each class, its smallest id, with all columns of ``docs``.
+
+    Only what changes is joined to the documents: rows that go, and keepers that are
+    there more than once; the latter leave their first row in the order of all columns.
+    """
+    rows, members = _classes(docs, [], doc_id, text)
+    rows = rows.filter(F.col(_NODE).isNotNull()).groupBy(_ID, _NODE).agg(F.count("*").alias("n"))
+    stays = F.col(_ID).eqNullSafe(F.col("keeper.first_id")) & (F.col(_NODE) == F.col("keeper.node"))
+    changed = rows.join(members, F.col(_NODE) == F.col("node")).withColumn("__stays", stays)
+    changed = rewritten(
+        changed.filter("NOT __stays OR n > 1").select(
+            F.col(_ID).alias("__other"), F.col(_NODE).alias("__text"), "__stays"
+        ),
+        "changed",
+    )
+    small = changed.count() <= BROADCAST_ROWS
+    same = F.col(f"`{doc_id}`").eqNullSafe(F.col("__other")) & (_node(text) == F.col("__text"))
+    joined = docs.join(F.broadcast(changed) if small else changed, same, "left")
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    out = joined.filter("__stays IS NULL").select(*columns)
+    if changed.filter("__stays").head(1):
+        order = Window.partitionBy("__other", "__text").orderBy(*[F.hash(c) for c in columns])
+        twice = joined.filter("__stays").withColumn("__rank", F.row_number().over(order))
+        out = out.unionByName(twice.filter("__rank = 1").select(*columns))
+    return out
+
+
 def _with_text(chunks: DataFrame, texts: DataFrame, named: DataFrame) -> DataFrame:
     """Chunk rows with their texts, each chunk's rows together in one partition."""
     wanted = rewritten(
