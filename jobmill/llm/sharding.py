@@ -129,7 +129,7 @@ def spread(sized: DataFrame, shards: int = SHARDS) -> DataFrame:
     linked = sums.filter("n > 1").select(
         "__group", F.greatest(F.ceil(F.col("b") / (PART * share)), F.lit(1)).cast("long").alias("parts")
     )
-    own = sized.join(linked, "__group", "left")
+    own = sized.join(rewritten(linked, "linked"), "__group", "left")  # a hot group can be split
     number = F.pmod(F.xxhash64("__draw", F.lit("part")), F.coalesce("parts", F.lit(1)))
     part = F.when(F.col("parts").isNotNull(), F.xxhash64("__group", number))
     own = rewritten(own.withColumn("part", part).drop("parts", "__group"), "parts")
