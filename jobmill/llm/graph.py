@@ -18,13 +18,14 @@ def _large_star(edges: DataFrame) -> DataFrame:
     both = _directed(edges)
     least = both.groupBy("a").agg(F.min("b").alias("m"))
     least = least.withColumn("m", F.least("a", "m"))
+    least = rewritten(least, "least")  # a node of very many links can be split
     return both.filter("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     """Every node ties its smaller neighbours and itself to the smallest of them."""
     down = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    least = down.groupBy("a").agg(F.min("b").alias("m"))
+    least = rewritten(down.groupBy("a").agg(F.min("b").alias("m")), "least")
     tied = down.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
     return tied.unionByName(least.select("a", F.col("m").alias("b")))
 
@@ -49,7 +50,8 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     edges = links.select(F.col(a).alias("a"), F.col(b).alias("b")).filter("a <> b").distinct()
     before = None
     while True:
-        edges = rewritten(_small_star(_large_star(edges)).filter("a <> b").distinct(), "edges")
+        edges = rewritten(_large_star(edges), "edges")
+        edges = rewritten(_small_star(edges).filter("a <> b").distinct(), "edges")
         now = _state(edges)
         if now == before:
             break
