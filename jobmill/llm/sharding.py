@@ -108,14 +108,16 @@ def shard(
     added = ("size", "text_crc32", "shard", "slot")
     keep = [c for c in keep if c not in added]
     body = F.coalesce(F.col(text), F.lit(""))
+    own = {f"__keep{i}": c for i, c in enumerate(keep)}  # apart from the names used here
     sized = docs.select(
-        *[F.col(f"`{c}`") for c in keep],
+        *[F.col(f"`{c}`").alias(x) for x, c in own.items()],
         (F.octet_length(body) + OVERHEAD).cast("long").alias("size"),
         F.crc32(body).alias("text_crc32"),
         F.xxhash64(F.col(doc_id), F.col(text)).alias("__draw"),
         F.coalesce(F.unhex(F.substring(F.sha2(F.col(text), 256), 1, 32)), F.lit(b"")).alias("__group"),
     )
-    return spread(rewritten(sized, "sized"), shards).select(*keep, *added)
+    found = spread(rewritten(sized, "sized"), shards)
+    return found.select(*[F.col(x).alias(c) for x, c in own.items()], *added)
 
 
 def spread(sized: DataFrame, shards: int = SHARDS) -> DataFrame:

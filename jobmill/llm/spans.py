@@ -11,7 +11,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -19,6 +19,8 @@ from ..session import ship
 
 BLOCK_BYTES = 1 << 21
 TEXT = "__text"
+#: Labels that a sample tells apart, most frequent first.
+MOST_LABELS = 256
 
 U64 = np.uint64
 _MULTIPLIER = 0x9E3779B97F4A7C15 | 1
@@ -103,10 +105,13 @@ class Block:
         np.cumsum(_byte_values()[self.data] * up[: len(self.data)], out=sums[1:])
         return sums
 
+    def unshift(self) -> np.ndarray:
+        """What brings the running sum from a position down to the first one."""
+        return _powers(len(self.data) + 1)[1]
+
     def hashes(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         sums = self.prefix()
-        _, down = _powers(len(self.data) + 1)
-        return mix((sums[ends] - sums[starts]) * down[starts])
+        return mix((sums[ends] - sums[starts]) * self.unshift()[starts])
 
 
 class Words:
@@ -258,19 +263,9 @@ def bounded_sample(df: DataFrame, text: str, label: str, per_label: int) -> Data
     rows = rows.withColumn("key", F.xxhash64("text"))
     counts = rows.groupBy("label").count()
     share = (F.lit(3.0 * per_label) / F.col("count")).alias("share")
-    near = rows.join(F.broadcast(counts.orderBy(F.desc("count"), "label").limit(MOST_LABELS)
-                                 .select("label", share)), "label")
+    most = counts.orderBy(F.desc("count"), "label").limit(MOST_LABELS).select("label", share)
+    near = rows.join(F.broadcast(most), "label")
     near = near.filter(F.pmod("key", F.lit(1 << 30)) < F.col("share") * float(1 << 30))
     near = near.groupBy("label", "key").agg(F.min("text").alias("text"))
-    order = F.row_number().over(_by_label())
+    order = F.row_number().over(Window.partitionBy("label").orderBy("key", "text"))
     return near.withColumn("rank", order).filter(F.col("rank") <= per_label)
-
-
-#: Labels that a sample tells apart, most frequent first.
-MOST_LABELS = 256
-
-
-def _by_label():
-    from pyspark.sql import Window
-
-    return Window.partitionBy("label").orderBy("key", "text")

@@ -29,7 +29,7 @@ from pyspark.sql import types as T
 
 from .labelled import FOLDS, collect_vectors, labelled_sample
 from .spans import (
-    LOWER, PLAIN_WORD, U64, Block, Words, byte_table, fold_texts, map_texts, mix, row_sums,
+    PLAIN_WORD, U64, Block, Words, blocks, byte_table, fold_texts, map_texts, mix, row_sums,
 )
 
 SAMPLE = 4000
@@ -67,9 +67,7 @@ _BITS = 20
 def _terms(words: Words) -> list[np.ndarray]:
     """Hash of each word and of its beginnings, 0 where the word is no longer than that."""
     sums = words.block.prefix()
-    from .spans import _powers
-
-    _, down = _powers(len(words.block.data) + 1)
+    down = words.block.unshift()
     sizes = words.ends - words.starts
     out = []
     for number, size in enumerate((0, *STEMS)):
@@ -103,8 +101,6 @@ class Lexicon:
 
 def _second_person() -> np.ndarray:
     texts = pa.array(list(SECOND_PERSON), pa.large_string())
-    from .spans import blocks
-
     return np.sort(np.concatenate([b.words(PLAIN_WORD).hashes() for b in blocks(texts)]))
 
 
@@ -312,6 +308,8 @@ def train(
 
     kind, fold, matrix = collect_vectors(sample, worker, len(FEATURES))
     shared.unpersist()
+    if len(set(kind.tolist())) < 2:
+        return None
     weight = np.ones(len(kind))
     for x in (0, 1):
         weight[kind == x] = counts[x] / max((kind == x).sum(), 1)
