@@ -117,25 +117,32 @@ def greedy_dedupe(
     keys: str,
     limit: int,
     batch: int = 200,
+    details: DataFrame | None = None,
+    on: str | None = None,
 ) -> DataFrame:
     """Scan each partition in order; drop a row that shares any key with a kept row.
 
     Only kept rows mark their keys, and the scan stops at ``limit`` kept rows, so the
     result is neither a grouping nor a window. Each round folds the next ``batch`` rows of
-    a partition; the rows after them lose everything that shares a key with a kept row
-    (a plain distributed filter) before the next round. The first row left is always
-    kept, so there are at most ``limit`` rounds, and no task ever holds more than
-    ``batch`` rows of a partition, whatever its size.
-
-    Adds ``keep_rank``, the position among the kept rows. The order must be total.
+    a partition; of the rows after them, a plain distributed filter removes what shares a
+    key with a kept row before the next round. The first row left is always kept, so
+    there are at most ``limit`` rounds, and no task ever holds more than ``batch`` rows of
+    a partition, whatever its size. What is left is cut off from its lineage before it is
+    read again.
+
+    With ``details`` (one row per ``on``) the rows may be narrow: keys and further columns
+    are joined to the rows of a round only. Adds ``keep_rank``, the position among the
+    kept rows. The order must be total.
     """
     partition = list(partition)
-    columns = df.columns
     rest = df.withColumn("_need", F.lit(limit)).withColumn("_done", F.lit(0))
     kept: list[DataFrame] = []
     window = Window.partitionBy(*partition).orderBy(*order_by)
     for _ in range(limit):
         top = rest.withColumn("_rn", F.row_number().over(window)).filter(F.col("_rn") <= batch)
+        if details is not None:
+            top = top.join(details, on)
+        columns = [c for c in top.columns if c not in ("_need", "_done", "_rn")]
         rows = F.sort_array(
             F.collect_list(F.struct("_rn", F.col(keys).alias("_keys"), F.struct(*columns).alias("_row")))
         )
@@ -157,14 +164,14 @@ def greedy_dedupe(
         )
         if open_parts.isEmpty():
             break
-        # A row of the batch just folded shares a key with a kept row (its own, if kept),
-        # so the filter also removes everything that was already scanned.
-        rest = (
-            rest.drop("_need", "_done")
-            .join(open_parts, partition)
-            .filter(~F.arrays_overlap(keys, "_seen"))
-            .drop("_seen")
-        )
+        # Rows without keys share none with a kept row, so the position cuts them off.
+        left = rest.drop("_need", "_done").join(open_parts, partition)
+        left = left.withColumn("_rn", F.row_number().over(window)).filter(F.col("_rn") > batch).drop("_rn")
+        if details is not None:
+            left = left.join(details.select(on, F.col(keys).alias("_keys")), on)
+        else:
+            left = left.withColumn("_keys", F.col(keys))
+        rest = durable(left.filter(~F.arrays_overlap("_keys", "_seen")).drop("_seen", "_keys"))
     return reduce(DataFrame.unionByName, kept)
 
 

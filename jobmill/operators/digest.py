@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -19,8 +20,11 @@ WINDOW_DAYS = (3, 7, 14)
 MATCHES = 10
 SEND_CAP = 95
 RECENT_GRADE = "C"
-#: newest postings of a (role, level) cell that a user looks at before the full list
+#: newest postings of a (role, level) cell that a user looks at first; each further pass,
+#: for the users who need it, looks at ``CELL_GROWTH`` times as many
 CELL_PREFIX = 200
+CELL_GROWTH = 10
+BROADCAST_ROWS = 100_000
 
 
 def eligible_users(profiles: DataFrame) -> DataFrame:
@@ -48,12 +52,15 @@ def tiered_window_topk(
     order_by: Sequence[Column],
     windows: Sequence[int] = WINDOW_DAYS,
     k: int = MATCHES,
+    details: DataFrame | None = None,
+    on: str | None = None,
 ) -> DataFrame:
     """Per user the top ``k`` distinct matches of the first window with any match.
 
     The first row of a greedy scan is always kept, so a window has a match exactly when
     it has a row. The newest row of a user therefore decides the window, and one scan is
-    enough. Needs ``user_id``, ``posted_at`` and ``keys``.
+    enough. Needs ``user_id``, ``posted_at`` and ``keys``; with ``details`` (one row per
+    ``on``) the matches stay narrow and the keys come from there.
     """
     matches = durable(matches)
     newest = matches.groupBy("user_id").agg(F.max("posted_at").alias("_newest"))
@@ -67,7 +74,7 @@ def tiered_window_topk(
     inside = matches.join(chosen.drop("_newest"), "user_id").filter(
         F.col("posted_at") > as_of - F.make_interval(days=F.col("window_days"))
     )
-    return greedy_dedupe(inside, ["user_id"], order_by, "keys", k)
+    return greedy_dedupe(inside, ["user_id"], order_by, "keys", k, details=details, on=on)
 
 
 def _shown(jobs: DataFrame) -> DataFrame:
@@ -77,7 +84,6 @@ def _shown(jobs: DataFrame) -> DataFrame:
     company = or_label(F.col("company"), "Unknown company")
     text = squash_ws(F.coalesce("description", F.lit("")))
     return jobs.filter(F.coalesce(url, F.lit("")) != "").select(
-        *[c for c in jobs.columns if c in ("user_id", "grade", "similarity")],
         "job_id",
         title.alias("title"),
         company.alias("company"),
@@ -107,11 +113,13 @@ def scored_digest(
     """Digest of users with a resume vector: best similarity first."""
     oldest = as_of - F.make_interval(days=F.lit(max(WINDOW_DAYS)))
     recent = jobs.filter(F.col("posted_at") > oldest)
+    shown = _shown(recent.withColumnRenamed("id", "job_id"))
     with_vector = users.filter("has_vector").select("user_id", "wanted_levels", "wanted_roles")
-    matches = score_jobs(scores, recent).join(with_vector, "user_id").filter(_wanted())
-    matches = _shown(exclude_seen(matches, applied, sent))
+    matches = score_jobs(scores, recent).filter(F.coalesce(squash_ws(F.col("url")), F.lit("")) != "")
+    matches = exclude_seen(matches.join(with_vector, "user_id").filter(_wanted()), applied, sent)
+    pairs = matches.select("user_id", "job_id", "posted_at", "grade", "similarity")
     order = [F.col("similarity").desc(), F.col("job_id")]
-    top = tiered_window_topk(matches, as_of, order)
+    top = tiered_window_topk(pairs, as_of, order, details=shown.drop("posted_at"), on="job_id")
     return top.select(*_OUT, "window_days", "keep_rank")
 
 
@@ -138,35 +146,48 @@ def recent_digest(
 ) -> DataFrame:
     """Digest of users without a resume vector: newest postings first, grade ``C``.
 
-    Users meet postings through (role, level) cells. The newest ``CELL_PREFIX`` postings
-    of each cell are a prefix of every user's list, so a user whose digest is full from
-    them is done. Only the others are joined with whole cells.
+    Users meet postings through (role, level) cells, and a pass looks at the newest
+    ``CELL_PREFIX`` postings of each. Of a user's cells that go on after that, the one
+    whose prefix ends first bounds what the user has seen completely; only rows up to
+    there count. A digest that is full from them is done, and so is a user none of whose
+    cells was cut. The others look at ``CELL_GROWTH`` times as many in the next pass.
+    Pairs stay narrow; what a digest shows is joined to the rows it looks at.
     """
     oldest = as_of - F.make_interval(days=F.lit(max(WINDOW_DAYS)))
     open_jobs = jobs.filter("is_active AND is_usa").filter(F.col("posted_at") > oldest)
-    shown = _shown(open_jobs.withColumnRenamed("id", "job_id"))
-    cells = _job_cells(shown)
+    shown = durable(_shown(open_jobs.withColumnRenamed("id", "job_id")))
     key = ["cell_role", "cell_level"]
+    cells = _job_cells(shown.select("job_id", "posted_at", "roles", "experience_level"))
+    cells = cells.select(*key, "job_id", "posted_at")
     newest_first = [F.col("posted_at").desc(), F.col("job_id")]
-    wanted = users.filter("NOT has_vector")
-    wants = _user_cells(wanted)
-
-    def digest(of: DataFrame, postings: DataFrame) -> DataFrame:
-        pairs = of.join(postings, key).drop(*key).dropDuplicates(["user_id", "job_id"])
-        return tiered_window_topk(exclude_seen(pairs, applied, sent), as_of, newest_first)
-
-    sizes = cells.groupBy(*key).agg((F.count("*") > CELL_PREFIX).alias("cut"))
-    # At most one prefix for each of the few (role, level) pairs, so it fits a broadcast.
-    first = digest(wants, F.broadcast(first_rows(cells, key, newest_first, CELL_PREFIX)))
-    full = first.groupBy("user_id").agg(F.count("*").alias("n")).filter(F.col("n") == MATCHES)
-    cut_users = wants.join(sizes.filter("cut"), key).select("user_id").distinct()
-    again = cut_users.join(full, "user_id", "left_anti")
-    top = first
-    if not again.isEmpty():
-        rest = digest(wants.join(again, "user_id", "left_semi"), cells)
-        top = first.join(again, "user_id", "left_anti").unionByName(rest)
+    place = F.struct((-F.unix_micros("posted_at")).alias("age"), F.col("job_id").alias("job"))
+    sizes = cells.groupBy(*key).agg(F.count("*").alias("size"))
+    waiting = _user_cells(users.filter("NOT has_vector"))
+    details = shown.drop("posted_at")
+    done: list[DataFrame] = []
+    prefix = CELL_PREFIX
+    while True:
+        newest = durable(first_rows(cells, key, newest_first, prefix))
+        ends = newest.withColumn("_place", place).groupBy(*key).agg(F.max("_place").alias("_end"))
+        ends = ends.join(sizes.filter(F.col("size") > prefix), key).drop("size")
+        bounds = durable(waiting.join(ends, key).groupBy("user_id").agg(F.min("_end").alias("_bound")))
+        small = newest.count() <= BROADCAST_ROWS
+        pairs = waiting.join(F.broadcast(newest) if small else newest, key).drop(*key)
+        pairs = pairs.dropDuplicates(["user_id", "job_id"]).join(bounds, "user_id", "left")
+        pairs = pairs.filter(F.col("_bound").isNull() | (place <= F.col("_bound"))).drop("_bound")
+        pairs = exclude_seen(pairs, applied, sent)
+        top = tiered_window_topk(pairs, as_of, newest_first, details=details, on="job_id")
+        full = top.groupBy("user_id").agg(F.count("*").alias("n")).filter(F.col("n") == MATCHES)
+        again = durable(bounds.select("user_id").join(full, "user_id", "left_anti"))
+        if again.isEmpty():
+            done.append(top)
+            break
+        done.append(top.join(again, "user_id", "left_anti"))
+        waiting = waiting.join(again, "user_id", "left_semi")
+        prefix *= CELL_GROWTH
     return (
-        top.withColumn("grade", F.lit(RECENT_GRADE))
+        reduce(DataFrame.unionByName, done)
+        .withColumn("grade", F.lit(RECENT_GRADE))
         .withColumn("similarity", F.lit(None).cast("double"))
         .select(*_OUT, "window_days", "keep_rank")
     )

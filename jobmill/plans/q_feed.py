@@ -121,6 +121,25 @@ def alert_digest(spark, d):
     return _digest(spark, d).select("user_id", "job_id", "grade", "window_days", "keep_rank")
 
 
+#: postings moved into five days, so that cells hold more rows than one pass looks at
+_CONDENSED = _DIGEST.replace(
+    "jobs AS (SELECT *,",
+    f"jobs AS (SELECT * REPLACE (TIMESTAMP '{w.AS_OF}' - INTERVAL 1 HOUR - CAST(ingest_seq % 5 AS INTEGER) * INTERVAL 1 DAY AS posted_at),",
+)
+
+
+@query(
+    "f5_recent_digest",
+    f"{_CONDENSED} SELECT d.user_id, job_id, window_days, keep_rank FROM digest d JOIN users u ON u.user_id = d.user_id WHERE NOT u.has_vector",
+)
+def recent_digest(spark, d):
+    age = F.make_interval(days=(F.col("ingest_seq") % 5).cast("int"), hours=F.lit(1))
+    jobs = w.digest_jobs(spark, d).withColumn("posted_at", w.as_of() - age)
+    users = dg.eligible_users(w.profiles(spark, d))
+    found = dg.recent_digest(users, jobs, w.applications(spark, d), w.sent(spark, d), w.as_of())
+    return found.select("user_id", "job_id", "window_days", "keep_rank")
+
+
 @query(
     "f6_send_cap",
     f"{_DIGEST} SELECT user_id, count(*) AS matches FROM digest WHERE user_id IN (SELECT DISTINCT user_id FROM digest ORDER BY user_id LIMIT 95) GROUP BY 1",

@@ -64,18 +64,29 @@ def keys(spark, d):
     return w.text_postings(spark, d).select("id", F.array_join(match_keys(*cols), " ; ").alias("keys"))
 
 
-@query(
-    "d6_greedy_dedupe",
-    f"""WITH RECURSIVE {o.RAW}, cand AS (SELECT nation AS grp, source_id, row_number() OVER (PARTITION BY nation ORDER BY ordered_at DESC, ingest_seq) AS rn,
+_GREEDY = f"""WITH RECURSIVE {o.RAW}, cand AS (SELECT nation AS grp, source_id, row_number() OVER (PARTITION BY nation ORDER BY ordered_at DESC, ingest_seq) AS rn,
       {o.match_keys('source_id', 'url', 'title', 'company', 'description')} AS keys FROM raw),
     {o.greedy('cand', 10)}
-    SELECT s.grp AS nation, c.source_id, s.n AS keep_rank FROM scan s JOIN cand c ON c.grp = s.grp AND c.rn = s.rn WHERE s.kept""",
-)
-def greedy(spark, d):
+    SELECT s.grp AS nation, c.source_id, s.n AS keep_rank FROM scan s JOIN cand c ON c.grp = s.grp AND c.rn = s.rn WHERE s.kept"""
+
+
+def _greedy(spark, d, batch):
     cols = [F.col(x) for x in ("source_id", "url", "title", "company", "description")]
     rows = w.raw_postings(spark, d).select("nation", "source_id", "ordered_at", "ingest_seq", match_keys(*cols).alias("keys"))
     order = [F.col("ordered_at").desc(), F.col("ingest_seq")]
-    return dedup.greedy_dedupe(rows, ["nation"], order, "keys", 10).select("nation", "source_id", "keep_rank")
+    found = dedup.greedy_dedupe(rows, ["nation"], order, "keys", 10, batch=batch)
+    return found.select("nation", "source_id", "keep_rank")
+
+
+@query("d6_greedy_dedupe", _GREEDY)
+def greedy(spark, d):
+    return _greedy(spark, d, 200)
+
+
+@query("d6_greedy_small_batch", _GREEDY)
+def greedy_small_batch(spark, d):
+    """Several rounds per partition."""
+    return _greedy(spark, d, 4)
 
 
 @query(

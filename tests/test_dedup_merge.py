@@ -19,6 +19,13 @@ def greedy_model(rows, limit):
     return kept
 
 
+def test_rows_without_keys_come_once(spark):
+    rows = [("u", i, []) for i in range(5)]
+    df = spark.createDataFrame(rows, "u string, pos int, keys array<string>")
+    out = dedup.greedy_dedupe(df, ["u"], [F.col("pos")], "keys", 4, batch=2).collect()
+    assert sorted((r["keep_rank"], r["pos"]) for r in out) == [(1, 0), (2, 1), (3, 2), (4, 3)]
+
+
 @pytest.mark.parametrize("batch", [3, 200])
 def test_greedy_dedupe_equals_a_scan(spark, batch):
     rng = random.Random(7)

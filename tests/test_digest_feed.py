@@ -58,6 +58,34 @@ def recent_model(jobs, users, seen):
     return out
 
 
+def _days(spark, monkeypatch, prefix, jobs, users, seen=()):
+    monkeypatch.setattr(digest, "CELL_PREFIX", prefix)
+    frame = jobs_frame(spark, jobs).withColumn("company", F.lit("Acme"))
+    pairs = spark.createDataFrame(sorted(seen), "user_id string, job_id string")
+    out = digest.recent_digest(users_frame(spark, users), frame, pairs, no_pairs(spark), NOW).collect()
+    return [r["job_id"] for r in sorted(out, key=lambda r: r["keep_rank"])], {r["window_days"] for r in out}
+
+
+@pytest.mark.parametrize("prefix", [4, 50, 200, 1000])
+def test_an_older_cell_does_not_overtake(spark, monkeypatch, prefix):
+    """Two wanted cells; the prefix of one ends before the other begins."""
+    jobs = [(f"a{i:03d}", 1, "Same", ["swe"]) for i in range(200)]
+    jobs += [(f"b{i:02d}", 1.5, f"B{i}", ["swe"]) for i in range(20)]
+    jobs += [(f"c{i:02d}", 2.5, f"C{i}", ["ds"]) for i in range(20)]
+    users = [("u", False, ["swe", "ds"], [])]
+    assert _days(spark, monkeypatch, prefix, jobs, users) == (["a000", *[f"b{i:02d}" for i in range(9)]], {3})
+
+
+@pytest.mark.parametrize("prefix", [4, 50, 200, 1000])
+def test_seen_rows_do_not_widen_the_window(spark, monkeypatch, prefix):
+    jobs = [(f"a{i:03d}", 1, f"A{i}", ["swe"]) for i in range(200)]
+    jobs += [(f"b{i:02d}", 2, f"B{i}", ["swe"]) for i in range(20)]
+    jobs += [(f"c{i:02d}", 5, f"C{i}", ["ds"]) for i in range(20)]
+    users = [("u", False, ["swe", "ds"], [])]
+    seen = {("u", f"a{i:03d}") for i in range(200)}
+    assert _days(spark, monkeypatch, prefix, jobs, users, seen) == ([f"b{i:02d}" for i in range(10)], {3})
+
+
 @pytest.mark.parametrize("prefix", [4, 200])
 def test_recent_digest_equals_a_scan(spark, monkeypatch, prefix):
     """Also when users need more than the prefix of their cells."""
