@@ -1,6 +1,6 @@
 """Arrow text columns as numpy arrays: blocks, words, hashes.
 
-A worker sees a column as blocks of a few MB, so its memory follows the block (or one
+A worker sees a column as blocks of half a MB, so its memory follows the block (or one
 longer text), not the batch. All hashes are 64-bit and the same on every machine.
 """
 
@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 
 from ..session import ship
 
-BLOCK_BYTES = 1 << 21
+BLOCK_BYTES = 1 << 19
 TEXT = "__text"
 #: Labels that a sample tells apart, most frequent first.
 MOST_LABELS = 256
@@ -46,7 +46,7 @@ _POWERS: dict[str, np.ndarray] = {}
 
 def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
     if size > len(_POWERS.get("up", ())):
-        size = max(size, BLOCK_BYTES * 2)
+        size = max(size, BLOCK_BYTES + BLOCK_BYTES // 4)
         for name, base in (("up", _MULTIPLIER), ("down", pow(_MULTIPLIER, -1, 1 << 64))):
             steps = np.full(size, base, U64)
             steps[0] = 1
