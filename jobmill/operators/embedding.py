@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -71,22 +70,39 @@ def embedding_budget(jobs: DataFrame, force: bool = False) -> DataFrame:
     )
 
 
-def hashing_embedder(dim: int) -> Callable[[pd.Series], np.ndarray]:
-    """Deterministic stand-in for a model: hashed words, unit length."""
-
-    def embed(texts: pd.Series) -> np.ndarray:
-        out = np.zeros((len(texts), dim), dtype=np.float32)
-        for i, text in enumerate(texts):
-            for word in text.lower().split():
-                code = zlib.crc32(word.encode())
-                out[i, code % dim] += 1.0 if (code >> 16) & 1 else -1.0
-        length = np.linalg.norm(out, axis=1, keepdims=True)
-        return out / np.where(length == 0, 1, length)
+def hashing_embedder(dim: int) -> Callable[[Column], Column]:
+    """Deterministic stand-in for a model: hashed words, unit length, zero without words."""
+
+    def number(code: Column, start: int, digits: int) -> Column:
+        return F.conv(F.substring(code, start, digits), 16, 10).cast("int")
+
+    def embed(text: Column) -> Column:
+        words = F.filter(F.split(F.lower(text), r"\s+"), lambda x: x != "")
+        codes = F.transform(words, lambda x: F.md5(x))
+        marks = F.transform(
+            codes,
+            lambda c: F.struct(
+                (number(c, 1, 4) % dim).alias("at"), (1 - 2 * (number(c, 5, 1) % 2)).alias("sign")
+            ),
+        )
+        sums = F.transform(
+            F.sequence(F.lit(0), F.lit(dim - 1)),
+            lambda i: F.aggregate(
+                marks, F.lit(0), lambda acc, m: acc + F.when(m["at"] == i, m["sign"]).otherwise(0)
+            ),
+        )
+        length = F.sqrt(F.aggregate(sums, F.lit(0), lambda acc, v: acc + v * v).cast("double"))
+        return F.transform(sums, lambda v: F.when(length > 0, v / length).otherwise(0.0).cast("float"))
 
     return embed
 
 
-def embed(batches: DataFrame, fn: Callable[[pd.Series], np.ndarray]) -> DataFrame:
+def embed(batches: DataFrame, model: Callable[[Column], Column]) -> DataFrame:
+    """Vectors of all inputs by a model that is a column expression."""
+    return batches.select("batch_no", "position", model(F.col("input")).alias("embedding"))
+
+
+def embed_in_batches(batches: DataFrame, fn: Callable[[pd.Series], np.ndarray]) -> DataFrame:
     """Vectors of all inputs; ``fn`` maps a series of texts to one vector per text."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -20,11 +20,13 @@ from pyspark.sql import functions as F
 from ..functions.similarity import GRADE_BOUNDS, grade
 from ..session import durable
 
-#: upper bound of the pivots, which travel to every task
-MAX_PIVOTS = 256
-#: rows of a block on either side
-ITEM_BLOCK = 20_000
-QUERY_BLOCK = 2_000
+#: bytes of the pivots, which travel to every task; more are refused
+PIVOT_BYTES = 64 << 20
+#: bytes of a block of vectors on either side, as doubles
+ITEM_BLOCK_BYTES = 32 << 20
+QUERY_BLOCK_BYTES = 8 << 20
+#: best jobs of a profile that are scored
+TOP_JOBS = 200
 #: similarities are compared after rounding, so that copies tie exactly
 DIGITS = 9
 #: slack of distance tests, above the error that rounding can cause
@@ -46,11 +48,27 @@ def _usable(df: DataFrame, id: str, vector: str, dim: int) -> DataFrame:
     return df.select(F.col(id).alias("id"), F.col(vector).alias("vector")).filter(whole)
 
 
+def rejected_vectors(df: DataFrame, id: str, vector: str, dim: int) -> DataFrame:
+    """``id, reason`` of the rows that a search over ``dim`` dimensions leaves out."""
+    length = F.aggregate(vector, F.lit(0.0), lambda acc, v: acc + v.cast("double") * v.cast("double"))
+    reason = (
+        F.when(F.col(vector).isNull(), "missing")
+        .when(F.size(vector) != dim, "size")
+        .when(length.isNull() | F.isnan(length), "not a number")
+        .when(length == 0, "zero")
+    )
+    return df.select(F.col(id).alias("id"), reason.alias("reason")).filter("reason IS NOT NULL")
+
+
 class _Cells:
     """Items cut into cells, with the statistics that searching them needs."""
 
-    def __init__(self, items: DataFrame, keep: int, pivots: int):
-        rows = items.orderBy(F.xxhash64(F.col("id")), "id").limit(min(pivots, MAX_PIVOTS))
+    def __init__(self, items: DataFrame, keep: int, pivots: int, dim: int):
+        if pivots * dim * 8 > PIVOT_BYTES:
+            raise ValueError(f"{pivots} pivots of {dim} dimensions are too many for every task")
+        self.item_block = max(1, ITEM_BLOCK_BYTES // (8 * dim))
+        self.query_block = max(1, QUERY_BLOCK_BYTES // (8 * dim))
+        rows = items.orderBy(F.xxhash64(F.col("id")), "id").limit(pivots)
         sample = rows.select("vector").toPandas()
         self.empty = sample.empty
         if self.empty:
@@ -89,7 +107,7 @@ class _Cells:
         table = [
             F.lit(int(x))
             for _, row in self.stats.iterrows()
-            for x in (row["cell"], -(-int(row["n"]) // ITEM_BLOCK))
+            for x in (row["cell"], -(-int(row["n"]) // self.item_block))
         ]
         return F.try_element_at(F.create_map(*table), F.col("cell"))
 
@@ -113,14 +131,13 @@ def _visits(
                 rank = to_cell.argsort(axis=1, kind="stable").argsort(axis=1, kind="stable")
                 hit = rank < probes
             else:
+                bound = np.full(len(pdf), np.inf)
                 if floor is not None:
                     bound = np.full(len(pdf), np.sqrt(max(0.0, 2.0 - 2.0 * floor)))
-                elif len(near) < k:
-                    bound = np.full(len(pdf), np.inf)
-                else:
+                if k is not None and len(near) >= k:
                     # k items are certainly this close: their pivot distance plus radius.
                     reach = d[:, near["cell"].to_numpy()] + near["radius"].to_numpy()
-                    bound = np.partition(reach, k - 1, axis=1)[:, k - 1]
+                    bound = np.minimum(bound, np.partition(reach, k - 1, axis=1)[:, k - 1])
                 hit = to_cell - far <= bound[:, None] + SLACK
             q, c = hit.nonzero()
             yield pd.DataFrame(
@@ -137,24 +154,25 @@ def _visits(
 def _search(
     queries: DataFrame,
     items: DataFrame,
+    dim: int,
     k: int | None = None,
     floor: float | None = None,
     probes: int | None = None,
     pivots: int = 64,
     skip_self: bool = False,
 ) -> DataFrame:
-    """``query_id, item_id, similarity``: the best ``k``, or all above ``floor``."""
+    """``query_id, item_id, similarity``: the best ``k``, those above ``floor``, or both."""
     q_type = queries.schema["id"].dataType.simpleString()
     i_type = items.schema["id"].dataType.simpleString()
     out_schema = f"query_id {q_type}, item_id {i_type}, similarity double"
     want = None if k is None else k + (1 if skip_self else 0)
-    cells = _Cells(items, want or 1, pivots)
+    cells = _Cells(items, want or 1, pivots, dim)
     if cells.empty:
         return queries.sparkSession.createDataFrame([], out_schema)
 
     visits = durable(_visits(queries, cells, want, floor, probes))
     load = visits.groupBy("cell").agg(
-        F.ceil(F.count("*") / QUERY_BLOCK).cast("int").alias("q_blocks")
+        F.ceil(F.count("*") / cells.query_block).cast("int").alias("q_blocks")
     )
     blocks = cells.block_count()
     left = (
@@ -206,15 +224,16 @@ def _search(
     return left.groupBy(*key).cogroup(right.groupBy(*key)).applyInPandas(compare, out_schema)
 
 
-def _dim(df: DataFrame, vector: str) -> int:
-    row = df.select(F.size(vector).alias("n")).filter("n > 0").first()
-    return row["n"] if row else 0
+def _best(found: DataFrame, k: int) -> DataFrame:
+    best = Window.partitionBy("query_id").orderBy(F.col("similarity").desc(), "item_id")
+    return found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
 
 
 def vector_topk(
     queries: DataFrame,
     items: DataFrame,
     k: int,
+    dim: int,
     id: str = "id",
     vector: str = "embedding",
     pivots: int = 64,
@@ -224,22 +243,21 @@ def vector_topk(
     """The ``k`` most similar items per query: ``query_id, item_id, similarity, rank``.
 
     Exact by default; ties go to the smaller id. With ``probes`` only that many nearest
-    cells are searched. Vectors of length zero have no similarity and are left out.
+    cells are searched. Vectors that are zero or have no ``dim`` dimensions are left out;
+    ``rejected_vectors`` names them.
     """
-    dim = _dim(items, vector)
     found = _search(
-        _usable(queries, id, vector, dim), _usable(items, id, vector, dim),
+        _usable(queries, id, vector, dim), _usable(items, id, vector, dim), dim,
         k=k, probes=probes, pivots=pivots, skip_self=skip_self,
-    )
-    best = Window.partitionBy("query_id").orderBy(F.col("similarity").desc(), "item_id")
-    return found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
+    )
+    return _best(found, k)
 
 
 def vector_topk_approx(
-    queries: DataFrame, items: DataFrame, k: int, probes: int = 8, **options
+    queries: DataFrame, items: DataFrame, k: int, dim: int, probes: int = 8, **options
 ) -> DataFrame:
     """Top ``k`` from the nearest cells only; see ``recall_report`` for what that loses."""
-    return vector_topk(queries, items, k, probes=probes, **options)
+    return vector_topk(queries, items, k, dim, probes=probes, **options)
 
 
 def recall_report(exact: DataFrame, approx: DataFrame) -> DataFrame:
@@ -253,20 +271,24 @@ def recall_report(exact: DataFrame, approx: DataFrame) -> DataFrame:
 
 
 def score_matches(
-    profiles: DataFrame, jobs: DataFrame, lowest_grade: str = "D", pivots: int = 64
+    profiles: DataFrame,
+    jobs: DataFrame,
+    dim: int,
+    lowest_grade: str = "D",
+    k: int = TOP_JOBS,
+    pivots: int = 64,
 ) -> DataFrame:
-    """``user_id, job_id, similarity, grade`` for all pairs of at least the lowest grade.
+    """``user_id, job_id, similarity, grade``: the best ``k`` jobs of each profile.
 
-    Everything below is an ``F`` and carries no information, so it is not written out.
+    Pairs below the lowest grade are left out; ``F`` keeps every pair.
     """
-    floor = dict(GRADE_BOUNDS)[lowest_grade]
-    dim = _dim(jobs, "embedding")
+    floor = None if lowest_grade == "F" else dict(GRADE_BOUNDS)[lowest_grade]
     found = _search(
         _usable(profiles, "id", "resume_embedding", dim),
         _usable(jobs, "id", "embedding", dim),
-        floor=floor, pivots=pivots,
-    )
-    return found.select(
+        dim, k=k, floor=floor, pivots=pivots,
+    )
+    return _best(found, k).select(
         F.col("query_id").alias("user_id"),
         F.col("item_id").alias("job_id"),
         "similarity",
@@ -274,6 +296,22 @@ def score_matches(
     )
 
 
+def best_match(scores: DataFrame, jobs: DataFrame, k: int = 10) -> DataFrame:
+    """The feed in the order of the match: the first ``k`` scored jobs of each user.
+
+    Best similarity first, then the newest, then the smaller id. Only the sort columns of
+    a job travel until the ``k`` are known.
+    """
+    wanted = jobs.filter("is_active AND is_usa")
+    narrow = scores.select("user_id", "job_id", "similarity", "grade").join(
+        wanted.select(F.col("id").alias("job_id"), "posted_at"), "job_id"
+    )
+    order = [F.col("similarity").desc(), F.col("posted_at").desc(), F.col("job_id")]
+    ranked = narrow.withColumn("rank", F.row_number().over(Window.partitionBy("user_id").orderBy(*order)))
+    top = ranked.filter(F.col("rank") <= k).drop("posted_at")
+    return top.join(wanted.withColumnRenamed("id", "job_id"), "job_id")
+
+
 def vector_hash(vector: Column) -> Column:
     """Fingerprint of a resume vector; a new value makes old scores void."""
     return F.xxhash64(vector)

@@ -9,8 +9,12 @@ from ..operators import embedding as em
 from ..operators import vectors as vec
 from . import oracle as o
 from . import workload as w
+from .q_tables import _JOBS
 from .registry import query
 
+#: dimensions of the test table's vectors
+DIM = 64
+
 _INPUT = f"trim({o.squash('title')} || ' ' || substr({o.squash('description')}, 1, 500))"
 
 
@@ -85,10 +89,22 @@ def attach_embeddings(spark, d):
     return out.select("id", F.size("embedding").cast("bigint").alias("dim"))
 
 
-@query("e6_embed")
+@query(
+    "e6_embed",
+    f"""WITH {_QUEUE}, b AS (SELECT *, (rank - 1) // 100 + 1 AS batch_no FROM queue WHERE input <> ''),
+    p AS (SELECT batch_no, row_number() OVER (PARTITION BY batch_no ORDER BY rank) - 1 AS position, list_transform(list_filter(
+      string_split_regex(lower(input), '\\s+'), lambda x: x <> ''), lambda x: md5(x)) AS codes FROM b),
+    v AS (SELECT batch_no, position, list_transform(range(16), lambda i: coalesce(list_sum(list_transform(codes, lambda c:
+      CASE WHEN ('0x' || substr(c, 1, 4))::INT % 16 = i THEN 1 - 2 * (('0x' || substr(c, 5, 1))::INT % 2) ELSE 0 END)), 0)) AS sums FROM p),
+    n AS (SELECT *, sqrt(list_sum(list_transform(sums, lambda x: x * x))::DOUBLE) AS length FROM v)
+    SELECT CAST(batch_no AS BIGINT) AS batch_no, CAST(position AS INTEGER) AS position, array_to_string(list_transform(sums, lambda x:
+      CAST(round(CASE WHEN length > 0 THEN x / length ELSE 0 END * 100) AS INTEGER)), ',') AS hundredths FROM n""",
+)
 def embed(spark, d):
     batches = em.embedding_batches(em.embedding_queue(_waiting(spark, d)))
-    return em.embed(batches, em.hashing_embedder(16))
+    found = em.embed(batches, em.hashing_embedder(16))
+    whole = F.transform("embedding", lambda v: F.round(v.cast("double") * 100).cast("int").cast("string"))
+    return found.select("batch_no", "position", F.array_join(whole, ",").alias("hundredths"))
 
 
 @query(
@@ -120,17 +136,32 @@ _PAIRS = """unit AS (SELECT vec_id, list_transform(embedding, lambda x: x::DOUBL
 pairs AS (SELECT a.vec_id AS query_id, b.vec_id AS item_id, round(list_cosine_similarity(a.v, b.v), 9) AS similarity FROM unit a, unit b)"""
 
 
-@query(
-    "e9_score_matches",
-    f"WITH {_PAIRS} SELECT query_id AS user_id, item_id AS job_id, round(similarity, 6) AS similarity, CASE WHEN similarity > 0.85 THEN 'A' "
-    "WHEN similarity > 0.75 THEN 'B' WHEN similarity > 0.65 THEN 'C' END AS grade FROM pairs WHERE similarity > 0.65",
-)
-def score_matches(spark, d):
-    """Every vector as a profile against every vector as a job, grades A to C."""
+def _score_sql(least: str) -> str:
+    return (
+        f"WITH {_PAIRS} SELECT query_id AS user_id, item_id AS job_id, round(similarity, 6) AS similarity, CASE WHEN similarity > 0.85 THEN 'A' "
+        "WHEN similarity > 0.75 THEN 'B' WHEN similarity > 0.65 THEN 'C' WHEN similarity > 0.55 THEN 'D' ELSE 'F' END AS grade FROM "
+        "(SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY similarity DESC, item_id) AS rank FROM pairs) "
+        f"WHERE rank <= 200 AND similarity > {least}"
+    )
+
+
+def _score(spark, d, lowest):
+    """Every vector as a profile against every vector as a job."""
     rows = w.table(spark, d, "embeddings")
     people = rows.select(F.col("vec_id").alias("id"), F.col("embedding").alias("resume_embedding"))
     jobs = rows.select(F.col("vec_id").alias("id"), "embedding")
-    return vec.score_matches(people, jobs, lowest_grade="C").withColumn("similarity", F.round("similarity", 6))
+    found = vec.score_matches(people, jobs, DIM, lowest_grade=lowest)
+    return found.withColumn("similarity", F.round("similarity", 6))
+
+
+@query("e9_score_matches", _score_sql("0.55"))
+def score_matches(spark, d):
+    return _score(spark, d, "D")
+
+
+@query("e9_score_all_grades", f"SELECT user_id, job_id, grade FROM ({_score_sql('-2')})")
+def score_all_grades(spark, d):
+    return _score(spark, d, "F").select("user_id", "job_id", "grade")
 
 
 @query(
@@ -153,12 +184,27 @@ def rescore(spark, d):
 )
 def vector_topk(spark, d):
     rows = w.table(spark, d, "embeddings").select(F.col("vec_id").alias("id"), "embedding")
-    return vec.vector_topk(rows, rows, 10, skip_self=True).withColumn("similarity", F.round("similarity", 6))
+    return vec.vector_topk(rows, rows, 10, DIM, skip_self=True).withColumn("similarity", F.round("similarity", 6))
+
+
+@query(
+    "e10_best_match",
+    f"""WITH {_JOBS}, {o.USERS}, r AS (SELECT g.user_id, g.job_id, g.grade, j.title, row_number() OVER (PARTITION BY g.user_id
+      ORDER BY g.similarity DESC, j.posted_at DESC, g.job_id) AS rank FROM graded g JOIN jobs j ON j.id = g.job_id WHERE j.is_active AND j.is_usa)
+    SELECT user_id, job_id, grade, title, CAST(rank AS INTEGER) AS rank FROM r WHERE rank <= 10""",
+)
+def best_match(spark, d):
+    found = vec.best_match(w.scores(spark, d), w.digest_jobs(spark, d))
+    return found.select("user_id", "job_id", "grade", "title", "rank")
 
 
-@query("e11_approx_recall")
+@query(
+    "e11_approx_recall",
+    "SELECT count(*) * least(10, count(*) - 1) AS expected, true AS enough FROM embeddings",
+)
 def approx_recall(spark, d):
+    """All vectors as queries; at least nine tenths of the exact results are found."""
     rows = w.table(spark, d, "embeddings").select(F.col("vec_id").alias("id"), "embedding")
-    exact = vec.vector_topk(rows, rows, 10, skip_self=True)
-    approx = vec.vector_topk_approx(rows, rows, 10, probes=16, skip_self=True)
-    return vec.recall_report(exact, approx)
+    exact = vec.vector_topk(rows, rows, 10, DIM, skip_self=True)
+    approx = vec.vector_topk_approx(rows, rows, 10, DIM, probes=56, skip_self=True)
+    return vec.recall_report(exact, approx).select("expected", (F.col("recall") >= 0.9).alias("enough"))

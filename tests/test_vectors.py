@@ -31,10 +31,10 @@ def similarities(q, items):
 @pytest.mark.parametrize("small_blocks", [False, True])
 def test_topk_is_exact(spark, monkeypatch, small_blocks):
     if small_blocks:
-        monkeypatch.setattr(vectors, "ITEM_BLOCK", 23)
-        monkeypatch.setattr(vectors, "QUERY_BLOCK", 7)
+        monkeypatch.setattr(vectors, "ITEM_BLOCK_BYTES", 23 * 96)
+        monkeypatch.setattr(vectors, "QUERY_BLOCK_BYTES", 7 * 96)
     items, q = clustered(300, 12, 1, 0.33), clustered(40, 12, 2, 0.1)
-    got = vectors.vector_topk(frame(spark, q), frame(spark, items), 5, pivots=9).collect()
+    got = vectors.vector_topk(frame(spark, q), frame(spark, items), 5, 12, pivots=9).collect()
     sims = similarities(q, items)
     for i in range(len(q)):
         want = sorted(range(len(items)), key=lambda j: (-sims[i, j], j))[:5]
@@ -44,17 +44,17 @@ def test_topk_is_exact(spark, monkeypatch, small_blocks):
 
 def test_pruning_skips_cells(spark):
     items = clustered(300, 12, 1, 0.0)
-    cells = vectors._Cells(vectors._usable(frame(spark, items), "id", "embedding", 12), 3, 16)
+    cells = vectors._Cells(vectors._usable(frame(spark, items), "id", "embedding", 12), 3, 16, 12)
     queries = vectors._usable(frame(spark, items[:30]), "id", "embedding", 12)
     visits = vectors._visits(queries, cells, 3, None, None).count()
     assert visits < 30 * len(cells.stats)
 
 
 def test_score_matches_is_exact(spark, monkeypatch):
-    monkeypatch.setattr(vectors, "ITEM_BLOCK", 31)
+    monkeypatch.setattr(vectors, "ITEM_BLOCK_BYTES", 31 * 96)
     items, q = clustered(200, 12, 3, 0.3), clustered(25, 12, 4, 0.0)
     people = frame(spark, q).withColumnRenamed("embedding", "resume_embedding")
-    got = vectors.score_matches(people, frame(spark, items), "C", pivots=7).collect()
+    got = vectors.score_matches(people, frame(spark, items), 12, "C", pivots=7).collect()
     sims = similarities(q, items)
     want = {(i, j) for i in range(len(q)) for j in range(len(items)) if sims[i, j] > 0.65}
     assert {(r["user_id"], r["job_id"]) for r in got} == want and len(got) == len(want)
@@ -64,15 +64,39 @@ def test_score_matches_is_exact(spark, monkeypatch):
 def test_bad_vectors_are_left_out(spark):
     rows = [(1, [1.0, 0.0]), (2, [0.0, 0.0]), (3, [1.0]), (4, None)]
     df = spark.createDataFrame(rows, "id bigint, embedding array<float>")
-    got = vectors.vector_topk(df.filter("id = 1"), df, 3).collect()
+    got = vectors.vector_topk(df.filter("id = 1"), df, 3, 2).collect()
     assert [(r["query_id"], r["item_id"]) for r in got] == [(1, 1)]
 
 
+def test_sizes_do_not_depend_on_the_first_row(spark):
+    rows = [(0, [1.0, 0.0])] + [(i, [1.0, float(i), 0.5]) for i in range(1, 11)]
+    df = spark.createDataFrame(rows, "id bigint, embedding array<float>").coalesce(1)
+    got = vectors.vector_topk(df.filter("id = 3"), df, 3, 3).collect()
+    assert len(got) == 3
+    left = vectors.rejected_vectors(df, "id", "embedding", 3).collect()
+    assert [(r["id"], r["reason"]) for r in left] == [(0, "size")]
+
+
+def test_pivots_are_honoured_or_refused(spark):
+    df = frame(spark, clustered(40, 4, 6, 0.0))
+    with pytest.raises(ValueError):
+        vectors.vector_topk(df, df, 1, 4, pivots=1 << 22)
+
+
+def test_scores_keep_the_best_of_each_profile(spark):
+    items, q = clustered(60, 12, 3, 0.0), clustered(9, 12, 4, 0.0)
+    people = frame(spark, q).withColumnRenamed("embedding", "resume_embedding")
+    got = vectors.score_matches(people, frame(spark, items), 12, "F", k=4).collect()
+    sims = similarities(q, items)
+    want = {(i, j) for i in range(9) for j in sorted(range(60), key=lambda j: (-sims[i, j], j))[:4]}
+    assert {(r["user_id"], r["job_id"]) for r in got} == want
+
+
 def test_probing_finds_most(spark):
     items = clustered(300, 12, 5, 0.0)
     df = frame(spark, items)
-    exact = vectors.vector_topk(df, df, 5, pivots=12, skip_self=True)
-    approx = vectors.vector_topk_approx(df, df, 5, probes=4, pivots=12, skip_self=True)
+    exact = vectors.vector_topk(df, df, 5, 12, pivots=12, skip_self=True)
+    approx = vectors.vector_topk_approx(df, df, 5, 12, probes=4, pivots=12, skip_self=True)
     assert vectors.recall_report(exact, approx).first()["recall"] > 0.8
 
 
