@@ -46,6 +46,7 @@ from .canonical import finalize
 from .readers import (
     absolute_url,
     detail_enrich,
+    newest_payload,
     embedded_object,
     json_items,
     next_data,
@@ -167,7 +168,7 @@ def themuse(payloads: DataFrame, details: DataFrame) -> DataFrame:
         }
     )
     text = F.from_json("body", "struct<contents: string>")["contents"]
-    pages = details.select(F.col("request_key").alias("source_id"), clean_unicode(text).alias("detail_text"))
+    pages = newest_payload(details).select(F.col("request_key").alias("source_id"), clean_unicode(text).alias("detail_text"))
     return finalize(detail_enrich(rows, pages, ["source_id"]), "themuse")
 
 
@@ -473,7 +474,7 @@ def smartrecruiters(payloads: DataFrame, details: DataFrame) -> DataFrame:
     sections = ", ".join(f"{s}: struct<text: string>" for s in _SECTIONS)
     ad = F.from_json("body", f"struct<jobAd: struct<sections: struct<{sections}>>>")["jobAd"]["sections"]
     parts = F.array_compact(F.array(*[blank_to_null(strip_html(ad[s]["text"])) for s in _SECTIONS]))
-    pages = details.select(
+    pages = newest_payload(details).select(
         F.col("request_key").alias("source_id"), F.array_join(parts, "\n\n").alias("detail_text")
     )
     rows = finalize(detail_enrich(rows, pages, ["source_id"]), "smartrecruiters")
@@ -632,7 +633,7 @@ def workatastartup(hits: DataFrame, pages: DataFrame, details: DataFrame) -> Dat
         decode_entities(page_attribute(F.col("body"))),
         "struct<props: struct<job: struct<descriptionHtml: string>>>",
     )
-    texts = details.select(
+    texts = newest_payload(details).select(
         F.col("request_key").alias("source_id"),
         clean_unicode(page["props"]["job"]["descriptionHtml"]).alias("detail_text"),
     )
@@ -674,7 +675,7 @@ def rippling(boards: DataFrame, details: DataFrame) -> DataFrame:
         f"workLocations: {place}, description: struct<company: string, role: string>"
     )
     detail = F.from_json("body", f"struct<pageProps: struct<apiData: struct<jobPost: struct<{post}>>>>")
-    pages = details.select(
+    pages = newest_payload(details).select(
         F.split("request_key", "/")[0].alias("request_key"),
         F.split("request_key", "/")[1].alias("job_id"),
         detail["pageProps"]["apiData"]["jobPost"].alias("post"),

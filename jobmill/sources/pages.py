@@ -37,6 +37,7 @@ from .readers import (
     blocks,
     cards,
     detail_enrich,
+    newest_payload,
     embedded_object,
     first_nonempty_payload,
     json_items,
@@ -85,7 +86,7 @@ def _with_detail(
     Expects ``request_key``, ``source_id``, ``title``, ``company``, ``url``, ``location``
     and ``posted_text``. Internships are dropped: these boards feed full-time lists.
     """
-    pages = details.select(
+    pages = newest_payload(details).select(
         F.col("request_key").alias("url"),
         F.col("body").alias("page"),
         json_ld_posting(F.col("body")).alias("ld"),
@@ -282,7 +283,7 @@ def oraclecloud(payloads: DataFrame, sites: DataFrame, details: DataFrame) -> Da
         F.from_json("body", f"struct<items: array<struct<{detail}>>>")["items"][0], F.from_json("body", f"struct<{detail}>")
     )
     parts = F.split("request_key", "/")
-    found = details.select(parts[0].alias("request_key"), parts[1].alias("source_id"), d.alias("d"))
+    found = newest_payload(details).select(parts[0].alias("request_key"), parts[1].alias("source_id"), d.alias("d"))
     rows = rows.join(found, ["request_key", "source_id"])
     sections = F.array(*[_or_null(F.col(f"d.External{s}Str")) for s in ("Description", "Qualifications", "Responsibilities")])
     empty = F.array().cast(place)
@@ -773,7 +774,7 @@ def workday(payloads: DataFrame, details: DataFrame, as_of: Column) -> DataFrame
     rows = dedupe_by(rows, ["_slug", "dedup_hash"], ["ingest_seq"], keep="last")
     text = F.from_json("body", "struct<jobPostingInfo: struct<jobDescription: string>>")["jobPostingInfo"]["jobDescription"]
     parts = F.split("request_key", "\\|", 2)
-    pages = details.select(
+    pages = newest_payload(details).select(
         parts[0].alias("request_key"), parts[1].alias("externalPath"), clean_unicode(text).alias("detail_text")
     )
     return finalize(detail_enrich(rows, pages, ["request_key", "externalPath"]), "workday")

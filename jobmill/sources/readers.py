@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from ..functions.places import address
 from ..functions.regex import ecma, first_match, let
 from ..functions.text import js_trim, strip_html
+from ..operators.dedup import dedupe_by
 from ..settle import settle
 
 _ID = ["run_id", "request_key", "fetch_seq"]
@@ -313,6 +314,11 @@ def first_nonempty_payload(
     return joined.filter(F.col(priority) == F.col("_best")).drop("_best")
 
 
+def newest_payload(payloads: DataFrame, keys: Sequence[str] = ("request_key",)) -> DataFrame:
+    """The payload of each key that landed last, so a page fetched again counts once."""
+    return dedupe_by(payloads, list(keys), ["run_id", "fetch_seq"], keep="last")
+
+
 def detail_enrich(
     listings: DataFrame,
     details: DataFrame,

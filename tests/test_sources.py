@@ -115,3 +115,18 @@ def test_comments(spark):
     assert (one["company"], one["title"], one["location"], one["remote"]) == ("Acme", "Data Analyst", "REMOTE (US)", True)
     assert one["url"] == "https://acme.com/j"
     assert (five["title"], five["location"], five["url"]) == ("Backend Engineer", "Austin, TX", thread.ITEM_URL + "5")
+
+
+def test_the_newest_detail_counts_once(spark):
+    """A detail page that landed again neither multiplies a posting nor loses its text."""
+    listed = {"results": [{"id": 5, "name": "Software Engineer", "company": {"name": "Acme"}, "locations": [{"name": "Austin, TX"}],
+                           "refs": {"landing_page": "https://x/5"}, "publication_date": "2026-04-01T00:00:00Z"}]}
+    rows = [("s", run, seq, "5", 200, "", json.dumps({"contents": text})) for run, seq, text in
+            (("r2", 1, "new"), ("r1", 7, "old"), ("r2", 0, "early"))]
+    found = boards.themuse(landed(spark, listed), spark.createDataFrame(rows, RAW_PAYLOAD)).collect()
+    assert [r["description"] for r in found] == ["new"]
+    post = {"content": [{"id": "9", "name": "Data Engineer", "company": {"name": "Acme"}, "location": {"fullLocation": "Austin, TX", "remote": False}}]}
+    ad = lambda t: json.dumps({"jobAd": {"sections": {"jobDescription": {"text": t}}}})
+    rows = [("s", run, seq, "9", 200, "", ad(text)) for run, seq, text in (("r1", 7, "old"), ("r2", 1, "new"))]
+    found = boards.smartrecruiters(landed(spark, post), spark.createDataFrame(rows, RAW_PAYLOAD)).collect()
+    assert [r["description"] for r in found] == ["new"]
