@@ -7,7 +7,6 @@ holds at most ``PER_PAYLOAD`` entries, so no payload grows with the data.
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Callable
 
@@ -16,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions.classify import BOARD_TECH_WORDS, REMOTE_BOARD_TECH_WORDS, TAG_WORDS, TAGGED_TITLE_WORDS
 from ..operators import dedup
+from ..session import shared_folder
 from ..sources import boards, lists, pages, readers, store, thread
 from . import oracle as o
 from . import workload as w
@@ -940,8 +940,7 @@ def simplyhired(spark, d):
 )
 def snapshot_store(spark, d):
     """Write all sources, read two of them back."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="jobmill-store-")
-    path = f"{root}/snapshot-{uuid.uuid4()}"
+    path = f"{shared_folder(spark)}/snapshot-{uuid.uuid4()}"
     store.write_snapshot(w.snapshot(spark, d), path, salt=4)
     return store.read_snapshot(spark, path, ["lever", "ashby"]).groupBy("source").agg(F.count("*").alias("jobs"))
 
@@ -958,37 +957,49 @@ def full_run(spark, d):
     return dedup.dedupe_in_source(rows).select("source", "dedup_hash", "ingest_seq")
 
 
+_STREAMED = ("pittcsc", "simplify_internships", "vanshb03_internships")
+_STREAM_ROWS = " UNION ALL ".join(
+    f"SELECT {i + 1} AS rank, '{name}' AS src, CASE WHEN {i} = 2 AND ingest_seq % 2 = 0 THEN url || '/c' ELSE url END AS link, * FROM hashed WHERE ingest_seq % 7 <> 0 AND ingest_seq % 3 <> {i}"
+    for i, name in enumerate(_STREAMED)
+)
+
+
 @query(
     "st1_incremental_merge",
-    f"""WITH {o.HASHED}, l AS (SELECT dedup_hash, title, location, {o.level('title', 'description')} AS level,
-      {o.posting_hash("'Acme'", 'title', 'location')} AS h FROM hashed WHERE {o.words("lower(title)", BOARD_TECH_WORDS)})
-    SELECT h AS dedup_hash, any_value(title) AS title, true AS is_active FROM l WHERE level IS NOT NULL GROUP BY h""",
+    f"""WITH {o.HASHED}, l AS ({_STREAM_ROWS}),
+    h AS (SELECT *, {o.posting_hash('company', 'title', BLANK)} AS h, {o.canonical_url('link')} AS c FROM l),
+    d3 AS (SELECT * FROM h QUALIFY coalesce(c, '') = '' OR row_number() OVER (PARTITION BY c ORDER BY rank, ingest_seq) = 1),
+    d4 AS (SELECT * FROM d3 QUALIFY row_number() OVER (PARTITION BY src, h ORDER BY ingest_seq DESC) = 1)
+    SELECT h AS dedup_hash, arg_max(src, rank) AS source, arg_max(link, rank) AS url, strftime(max(posted_at), '%Y-%m-%d') AS posted, true AS is_active FROM d4 GROUP BY h""",
 )
 def incremental_merge(spark, d):
-    """Two payload files as a stream; the snapshot after both micro-batches."""
+    """Three curated lists that copy each other, in several files and micro-batches."""
     from ..streaming import incremental as inc
 
-    root = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="jobmill-stream-")
-    root = f"{root}/stream-{uuid.uuid4()}"
-    item = _item(
-        id=F.col("source_id"), title=F.col("title"), location=_name("location", "name"),
-        content=F.col("description"), absolute_url=F.col("url"), updated_at=_iso(),
-    )
-    landed = payloads(_raw(spark, d), item, as_json("jobs"), F.lit("Acme")).select(
-        F.lit("greenhouse").alias("source"), "run_id", "fetch_seq", "request_key", F.lit(200).alias("status"),
-        F.lit("application/json").alias("content_type"), "body",
-    )
-    half = F.col("fetch_seq") % 2
-    for part in (0, 1):
-        landed.filter(half == part).coalesce(1).write.mode("append").parquet(f"{root}/landing")
+    root = f"{shared_folder(spark)}/stream-{uuid.uuid4()}"
+    rows = _raw(spark, d)
+    for i, name in enumerate(_STREAMED):
+        own = rows.filter(F.col("ingest_seq") % 3 != i)
+        if i == 2:
+            other = F.col("ingest_seq") % 2 == 0
+            own = own.withColumn("url", F.when(other, F.concat("url", F.lit("/c"))).otherwise(F.col("url")))
+        landed = payloads(own, _listing("is_visible"), as_json(), F.lit(name)).select(
+            F.lit(name).alias("source"), "run_id", "fetch_seq", "request_key", F.lit(200).alias("status"),
+            F.lit("application/json").alias("content_type"), "body",
+        )
+        landed.write.mode("append").parquet(f"{root}/landing")
+    inc.run_end(spark, "run1").write.mode("append").parquet(f"{root}/landing")
 
     def adapter(batch: DataFrame) -> DataFrame:
-        return boards.greenhouse(batch).withColumn("source_rank", F.lit(1))
+        parts = [
+            lists.visible_list(batch.filter(F.col("source") == name), name, "new_grad").withColumn("source_rank", F.lit(i))
+            for i, name in enumerate(_STREAMED)
+        ]
+        return dedup.union_all(parts)
 
     stream = inc.incremental_merge(
-        spark, f"{root}/landing", f"{root}/store", adapter, f"{root}/checkpoint", w.as_of(),
-        inc.empty_snapshot(spark), files_per_batch=1,
+        spark, f"{root}/landing", f"{root}/store", adapter, f"{root}/checkpoint", w.as_of(), files_per_batch=2
     )
     stream.awaitTermination()
-    last = inc.last_version(stream)
-    return inc.read_version(spark, f"{root}/store", last).select("dedup_hash", "title", "is_active")
+    found = inc.read_snapshot(spark, f"{root}/store")
+    return found.select("dedup_hash", "source", "url", F.date_format("posted_at", "yyyy-MM-dd").alias("posted"), "is_active")

@@ -1,21 +1,84 @@
-"""Landed payloads as a stream: each micro-batch is merged into the next snapshot."""
+"""Landed payloads as a stream: each finished run is merged into a bucketed snapshot."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.dedup import dedupe_across_sources
 from ..operators.merge import merge_snapshot
 from ..schema import JOB, RAW_PAYLOAD
+from ..session import durable
 
 Adapter = Callable[[DataFrame], DataFrame]
 
+#: content type of the row that a run lands last, after all its payloads
+RUN_END = "run/end"
+BUCKETS = 64
+MANIFEST = "version bigint, run_id string, bucket int, held_by bigint"
 
-def snapshot_path(root: str, version: int) -> str:
-    return f"{root}/version={version:010d}"
+
+def _manifest(spark: SparkSession, store: str) -> tuple[int, str | None, dict[int, int]]:
+    """Newest version, the run it holds last, and the version that has each bucket."""
+    try:
+        rows = spark.read.schema(MANIFEST).parquet(f"{store}/manifest/*")
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return 0, None, {}
+    newest = rows.agg(F.max("version")).first()[0]
+    if newest is None:
+        return 0, None, {}
+    last = rows.filter(F.col("version") == newest).collect()  # a row per bucket
+    held = {r["bucket"]: r["held_by"] for r in last if r["bucket"] is not None}
+    return newest, last[0]["run_id"], held
+
+
+def _read(spark: SparkSession, store: str, held: dict[int, int]) -> DataFrame:
+    paths = [f"{store}/data/version={v:010d}/bucket={b}" for b, v in sorted(held.items())]
+    if not paths:
+        return spark.createDataFrame([], JOB)
+    return spark.read.schema(JOB).parquet(*paths)
+
+
+def _bucket(buckets: int) -> Column:
+    return F.pmod(F.xxhash64("dedup_hash"), F.lit(buckets)).cast("int")
+
+
+def merge_run(
+    spark: SparkSession,
+    store: str,
+    run_id: str,
+    postings: DataFrame,
+    scraped_at: Column,
+    buckets: int = BUCKETS,
+) -> None:
+    """Merge the postings of a whole run; only the buckets it touches are rewritten.
+
+    The manifest row of the new version is written last, so a merge that died half-way
+    is simply done again. Runs are merged once, in the order of their ids; a run that is
+    not above the last one has been merged before.
+    """
+    version, last, held = _manifest(spark, store)
+    if last is not None and run_id <= last:
+        return
+    postings = durable(dedupe_across_sources(postings))
+    touched = {r["b"] for r in postings.select(_bucket(buckets).alias("b")).distinct().collect()}
+    current = _read(spark, store, {b: v for b, v in held.items() if b in touched})
+    merged = merge_snapshot(current, postings, scraped_at).withColumn("bucket", _bucket(buckets))
+    new = version + 1
+    if touched:
+        merged.repartition("bucket").write.mode("overwrite").partitionBy("bucket").parquet(
+            f"{store}/data/version={new:010d}"
+        )
+    rows = [(new, run_id, b, v) for b, v in (held | dict.fromkeys(touched, new)).items()]
+    rows = rows or [(new, run_id, None, None)]
+    manifest = spark.createDataFrame(rows, MANIFEST)
+    manifest.write.mode("overwrite").parquet(f"{store}/manifest/version={new:010d}")
 
 
 def incremental_merge(
@@ -25,15 +88,18 @@ def incremental_merge(
     adapter: Adapter,
     checkpoint: str,
     scraped_at: Column,
-    empty: DataFrame,
     files_per_batch: int = 1000,
+    buckets: int = BUCKETS,
 ) -> StreamingQuery:
-    """Merge new payload files into versioned snapshots.
+    """Merge runs into the snapshot as they finish.
 
-    ``adapter`` turns payloads into canonical postings with a ``source_rank``. Version
-    ``n + 1`` is made from version ``n`` and micro-batch ``n``, so a batch that runs
-    again after a failure overwrites its own output and nothing else. Version 0 is
-    ``empty``. Retirement needs the whole run and stays a batch step.
+    A run's payloads may land in any number of files and micro-batches; what counts is
+    its ``RUN_END`` row, which lands last. Then ``adapter`` turns all payloads of the run
+    into canonical postings with a ``source_rank``, so duplicates across sources, owners
+    and dates do not depend on how files fell into micro-batches. Retirement needs the
+    whole run as well and stays a batch step.
+
+    Old versions of a bucket stay readable until they are removed from outside.
     """
     payloads = (
         spark.readStream.schema(RAW_PAYLOAD)
@@ -43,10 +109,11 @@ def incremental_merge(
 
     def merge(batch: DataFrame, number: int) -> None:
         session = batch.sparkSession
-        current = empty if number == 0 else session.read.parquet(snapshot_path(store, number))
-        postings = dedupe_across_sources(adapter(batch))
-        merged = merge_snapshot(current, postings, scraped_at)
-        merged.write.mode("overwrite").parquet(snapshot_path(store, number + 1))
+        ended = batch.filter(F.col("content_type") == RUN_END).select("run_id").distinct()
+        for row in ended.orderBy("run_id").collect():
+            landed = session.read.schema(RAW_PAYLOAD).parquet(landing)
+            whole = landed.filter((F.col("run_id") == row["run_id"]) & (F.col("content_type") != RUN_END))
+            merge_run(session, store, row["run_id"], adapter(whole), scraped_at, buckets)
 
     return (
         payloads.writeStream.foreachBatch(merge)
@@ -56,15 +123,11 @@ def incremental_merge(
     )
 
 
-def empty_snapshot(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([], JOB)
-
-
-def last_version(query: StreamingQuery) -> int:
-    """Version the last micro-batch of a finished query has written; 0 when it had none."""
-    progress = query.lastProgress
-    return 0 if progress is None else progress["batchId"] + 1
+def run_end(spark: SparkSession, run_id: str) -> DataFrame:
+    """The row that closes a run."""
+    return spark.createDataFrame([(None, run_id, 0, None, None, RUN_END, None)], RAW_PAYLOAD)
 
 
-def read_version(spark: SparkSession, store: str, version: int) -> DataFrame:
-    return spark.read.parquet(snapshot_path(store, version))
+def read_snapshot(spark: SparkSession, store: str) -> DataFrame:
+    """The newest snapshot."""
+    return _read(spark, store, _manifest(spark, store)[2])
