@@ -94,9 +94,14 @@ def multipliers(histogram: DataFrame, wanted: DataFrame, tilt: float = TILT) ->
         (F.sum(F.col("size") * F.col("documents")) / F.sum("documents")).alias("mean")
     )
     counted = histogram.filter("size > 0")
+    bound = F.col("target") >= F.col("source_size") * (MOST_COPIES * (1 - TOLERANCE))
+    ratio = F.when(F.col("target") > 0, F.col("target") / F.col("source_size"))
     state = wanted.join(means, wanted["source"].eqNullSafe(means["source"])).select(
         wanted["source"], "source_size", "target", "mean",
-        F.lit(0.0).alias("multiplier"), F.lit(-700.0).alias("low"), F.lit(700.0).alias("high"),
+        # A source at its bound has every document at the most copies; others start at
+        # the flat rate.
+        F.when(bound, 700.0).otherwise(F.coalesce(F.log(ratio), F.lit(0.0))).alias("multiplier"),
+        F.when(bound, 700.0).otherwise(-700.0).alias("low"), F.lit(700.0).alias("high"),
     )
     state = rewritten(state, "dual")
     small = state.count() <= BROADCAST_SOURCES
