@@ -213,39 +213,28 @@ def _pass(source: DataFrame, shared) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = shared.value
         for batch in batches:
-            counts, bits, found = [], [], []
-            before, listed = batch.column(width - 3).to_pylist(), batch.column(width - 2).to_pylist()
             for block in blocks(batch.column(width - 1)):
+                own = batch.slice(block.row, block.rows)
+                before, listed = own.column(width - 3).to_pylist(), own.column(width - 2).to_pylist()
                 words = block.lower().words(PLAIN_WORD)
                 hashes = words.hashes()
                 hit = np.zeros(len(hashes), bool)
-                items: dict[int, list] = {}
-                for text, item in _extend(known, words, hashes, hit):
-                    items.setdefault(text, []).append(known.ids[item])
-                counts.append(words.counts)
-                for i in range(block.rows):
-                    row = block.row + i
-                    if i not in items:
-                        bits.append(before[row])
-                        found.append(listed[row])
-                        continue
-                    own = hit[words.first[i] : words.first[i + 1]]
-                    if before[row] is not None:
-                        own = own | np.unpackbits(
-                            np.frombuffer(before[row], np.uint8), count=len(own)
-                        ).astype(bool)
-                    bits.append(np.packbits(own).tobytes())
-                    found.append([*listed[row], *[x for x in items[i] if x is not None]])
-            if not bits:
-                continue
-            marked = [
-                pa.array(np.concatenate(counts), pa.int64()),
-                pa.array(bits, pa.binary()),
-                pa.array(found, pa.list_(pa.string())),
-            ]
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns[: width - 4], *marked, batch.column(width - 1)], columns
-            )
+                for text, item in sorted(_extend(known, words, hashes, hit)):
+                    if known.ids[item] is not None:
+                        listed[text] = [*listed[text], known.ids[item]]
+                    marks = hit[words.first[text] : words.first[text + 1]]
+                    if before[text] is not None:
+                        old = np.frombuffer(before[text], np.uint8)
+                        marks = marks | np.unpackbits(old, count=len(marks)).astype(bool)
+                    before[text] = np.packbits(marks).tobytes()
+                marked = [
+                    pa.array(words.counts, pa.int64()),
+                    pa.array(before, pa.binary()),
+                    pa.array(listed, pa.list_(pa.string())),
+                ]
+                yield pa.RecordBatch.from_arrays(
+                    [*own.columns[: width - 4], *marked, own.column(width - 1)], columns
+                )
 
     return source.mapInArrow(run, source.schema)
 

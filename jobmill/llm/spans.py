@@ -211,14 +211,10 @@ def map_texts(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = worker()
         for batch in batches:
-            found = [work(b) for b in blocks(batch.column(len(keep)))]
-            if not found:
-                continue
-            columns = [
-                pa.array(np.concatenate([x[i] for x in found]), kind)
-                for i, kind in enumerate(kinds)
-            ]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *columns], names)
+            for block in blocks(batch.column(len(keep))):
+                columns = [pa.array(x, k) for x, k in zip(work(block), kinds, strict=True)]
+                kept = batch.slice(block.row, block.rows).columns[:-1]
+                yield pa.RecordBatch.from_arrays([*kept, *columns], names)
 
     return source.mapInArrow(run, schema)
 
