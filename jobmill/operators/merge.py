@@ -17,12 +17,14 @@ PARTIAL_SOURCES = ("jobspy",)
 def _writes(batch: DataFrame) -> DataFrame:
     """One row per hash: what the sources of a run, in rank order, write to it."""
     rows = dedupe_in_source(batch)
+    # Sources without a rank come first, sources of one rank in the order of their names.
+    place = F.struct(F.coalesce("source_rank", F.lit(-1)).alias("rank"), F.col("source").alias("name"))
     columns = [c for c in batch.columns if c not in ("dedup_hash", "source_rank")]
     return rows.groupBy("dedup_hash").agg(
         F.count("*").alias("_writes"),
-        F.min_by("source", "source_rank").alias("_first_source"),
+        F.min_by("source", place).alias("_first_source"),
         F.max("posted_at").alias("_newest"),
-        F.max_by(F.struct(*columns), "source_rank").alias("_last"),
+        F.max_by(F.struct(*columns), place).alias("_last"),
     )
 
 
@@ -174,10 +176,16 @@ def retire(merged: DataFrame, batch: DataFrame, decisions: DataFrame) -> DataFra
     return marked.withColumn("is_active", F.col("is_active") & ~stale).select(*merged.columns)
 
 
-def insert_ignore(table: DataFrame, rows: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """The table plus the rows whose key it does not have yet, each key once."""
+def insert_ignore(
+    table: DataFrame, rows: DataFrame, keys: Sequence[str], order_by: Sequence[str] = ()
+) -> DataFrame:
+    """The table plus the rows whose key it does not have yet, each key once.
+
+    The first row of a key counts, in ``order_by`` and then in the order of all columns.
+    """
     keys = list(keys)
-    new = rows.dropDuplicates(keys).join(table.select(*keys), keys, "left_anti")
+    rest = [c for c in rows.columns if c not in order_by]
+    new = first_write(rows, keys, [*order_by, *rest]).join(table.select(*keys), keys, "left_anti")
     return table.unionByName(new, allowMissingColumns=True)
 
 

@@ -163,14 +163,14 @@ def probe_status(spark, d):
     "SELECT event_type AS request_key, 'https://x.example/' || event_id AS url FROM events WHERE event_id % 7 <> 3",
 )
 def crawl_index_rows(spark, d):
-    """One JSON-lines body per day and kind of event, with some broken lines."""
+    """JSON-lines bodies of a bounded number of events of one kind, with some broken lines."""
     key = F.col("event_id")
     line = F.when(key % 7 == 3, F.concat(F.lit('{"url": "https://x.example/'), key)).otherwise(
         F.concat(F.lit('{"url":"https://x.example/'), key, F.lit('","k":1}'))
     )
     bodies = (
         w.table(spark, d, "events")
-        .groupBy(F.col("event_type").alias("request_key"), F.to_date("ts").alias("day"))
+        .groupBy(F.col("event_type").alias("request_key"), F.floor(key / 1000).alias("part"))
         .agg(F.array_join(F.collect_list(line), "\n").alias("body"))
     )
     return disc.crawl_index_rows(bodies)

@@ -176,24 +176,27 @@ def _cells_to_text(rows: DataFrame) -> DataFrame:
     )
 
 
-def lock_table(payloads: DataFrame, json_payloads: DataFrame | None = None, as_of: Column | None = None) -> DataFrame:
-    """``ambicuity``: the JSON file, else a five-cell table in which a lock means closed."""
+def lock_table(payloads: DataFrame, as_of: Column, json_payloads: DataFrame | None = None) -> DataFrame:
+    """``ambicuity``: the JSON file of a run, else its five-cell table, in which a lock
+    means closed."""
     source = "ambicuity"
-    as_of = F.current_timestamp() if as_of is None else as_of
+    item = (
+        "company: string, title: string, location: string, url: string, posted_at: string, "
+        "posted_display: string, is_closed: boolean"
+    )
+    listed = None
+    if json_payloads is not None:
+        listed = json_items(json_payloads, item, ["jobs"]).filter(~F.coalesce("is_closed", F.lit(False)))
+        payloads = payloads.join(listed.select("run_id").distinct(), "run_id", "left_anti")
     rows = markdown_table(payloads, ["company", "title", "location", "posted", "apply"])
     closed = F.col("company").contains("\U0001f512") | F.col("title").contains("\U0001f512")
     url = F.nullif(F.regexp_extract("apply", "\\((https?://[^)]+)\\)", 1), F.lit(""))
     table = _ambicuity(rows.filter(~closed).withColumn("url", url), source, as_of)
-    if json_payloads is None:
+    if listed is None:
         return table
-    item = (
-        "company: string, title: string, location: string, url: string, posted_at: string, "
-        "posted_display: string, is_closed: boolean"
-    )
-    listed = json_items(json_payloads, item, ["jobs"]).filter(~F.coalesce("is_closed", F.lit(False)))
     listed = listed.withColumnRenamed("posted_at", "_at").withColumn("posted", F.col("posted_display"))
     first = _ambicuity(listed, source, as_of, parse_datetime(F.col("_at")))
-    return table if first.isEmpty() else first
+    return first.unionByName(table)
 
 
 def _ambicuity(rows: DataFrame, source: str, as_of: Column, exact: Column | None = None) -> DataFrame:

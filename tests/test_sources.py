@@ -48,8 +48,8 @@ def test_the_table_counts_when_the_file_has_no_rows(spark):
     table = "| Company | Role | Location | Posted | Apply |\n|---|---|---|---|---|\n| Acme | Data Engineer | Austin | 2 days ago | [a](https://x/1) |\n| Shut 🔒 | Data Engineer | Austin | today | [a](https://x/2) |"
     listed = {"jobs": [{"company": "Json Inc", "title": "Analyst", "url": "https://x/3", "is_closed": False}]}
     closed = {"jobs": [{**listed["jobs"][0], "is_closed": True}]}
-    by_file = lists.lock_table(landed(spark, table), landed(spark, listed), AS_OF).collect()
-    by_table = lists.lock_table(landed(spark, table), landed(spark, closed), AS_OF).collect()
+    by_file = lists.lock_table(landed(spark, table), AS_OF, landed(spark, listed)).collect()
+    by_table = lists.lock_table(landed(spark, table), AS_OF, landed(spark, closed)).collect()
     assert [r["company"] for r in by_file] == ["Json Inc"]
     assert [(r["company"], str(r["posted_at"])[:10]) for r in by_table] == [("Acme", "2026-04-21")]
 
