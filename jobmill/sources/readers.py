@@ -234,30 +234,17 @@ def page_attribute(html: Column) -> Column:
 def embedded_object(html: Column, markers: Sequence[str]) -> Column:
     """The JSON object after the first marker that is followed by a whole one.
 
-    Braces inside strings do not count, which no regular expression can tell.
+    Spark's parser stops at the end of the object and tells braces inside strings apart;
+    what follows the object does not matter.
     """
-    marks = list(markers)
 
-    @F.pandas_udf("string")
-    def find(pages: pd.Series) -> pd.Series:
-        return pages.map(lambda page: None if page is None else _object_after(page, marks))
+    def after(marker: str) -> Column:
+        at = F.position(F.lit(marker), html)
+        start = F.position(F.lit("{"), html, at + len(marker))
+        found = F.to_json(F.try_parse_json(F.substr(html, start)))
+        return F.when((at > 0) & (start > 0), found)
 
-    return find(html)
-
-
-def _object_after(page: str, markers: list[str]) -> str | None:
-    decoder = json.JSONDecoder()
-    for marker in markers:
-        at = page.find(marker)
-        start = page.find("{", at + len(marker)) if at >= 0 else -1
-        if start < 0:
-            continue
-        try:
-            _, end = decoder.raw_decode(page, start)
-        except ValueError:
-            continue
-        return page[start:end]
-    return None
+    return F.coalesce(*[after(marker) for marker in markers])
 
 
 def nested_objects(text: Column, required: Sequence[Sequence[str]], type_name: str = "") -> Column:
@@ -309,9 +296,8 @@ def first_nonempty_payload(
     candidates: DataFrame, keys: Sequence[str] = ("request_key",), priority: str = "priority"
 ) -> DataFrame:
     """Rows of the best endpoint that gave any, per request."""
-    best = candidates.groupBy(*keys).agg(F.min(priority).alias("_best"))
-    joined = candidates.join(best, list(keys))
-    return joined.filter(F.col(priority) == F.col("_best")).drop("_best")
+    best = F.min(priority).over(Window.partitionBy(*keys))  # candidates are parsed once
+    return candidates.withColumn("_best", best).filter(F.col(priority) == F.col("_best")).drop("_best")
 
 
 def newest_payload(payloads: DataFrame, keys: Sequence[str] = ("request_key",)) -> DataFrame:
