@@ -15,6 +15,12 @@ of ``SIMILARITY`` or more make classes, transitively.
   and largest node join every chunk, and a task compares inside one chunk, skipping what
   is already connected. Chunks differ from band to band. The first bands link most
   texts; of the others only buckets with nodes of different classes are looked at.
+* What chunks kept apart is settled exactly: the nodes of every bucket of more than
+  ``CHUNK`` nodes that still holds different classes go through a prefix join. In one
+  order of all shingles, rarest first, two texts of similarity s or more share a shingle
+  before either has used up 1 - s of its weight. Nodes that share such a shingle are
+  compared across classes: all nodes outside the group's largest class, in parts, with
+  all nodes of the group, in chunks. Nothing is capped; a task sees a part and a chunk.
 * Chunks travel as text, and only texts that share a bucket travel at all.
 
 Defined cases: a null text is a class of its own; equal texts without words are one
@@ -81,8 +87,8 @@ def _bin(codes: np.ndarray) -> np.ndarray:
     return (codes & U64(IDF_BINS - 1)).astype(np.int64)
 
 
-def idf_table(docs: DataFrame, text: str) -> np.ndarray:
-    """idf by bin, from the document frequencies of all documents."""
+def bin_counts(docs: DataFrame, text: str) -> tuple[np.ndarray, int]:
+    """Document frequencies by bin of all ``docs``, and how many of them have words."""
     width = IDF_BINS // IDF_SLICES
 
     def worker():
@@ -129,6 +135,12 @@ def idf_table(docs: DataFrame, text: str) -> np.ndarray:
             texts += int(own[0])
         else:
             total[row["slice"] * width : (row["slice"] + 1) * width] += own
+    return total, texts
+
+
+def idf_table(docs: DataFrame, text: str) -> np.ndarray:
+    """idf by bin, from the document frequencies of all documents."""
+    total, texts = bin_counts(docs, text)
     share = np.clip(total / max(texts, 1), RARE, 1.0)
     return (IDF_FLOOR + np.log(1 / share) / math.log(1 / RARE)).astype(np.float32)
 
@@ -223,12 +235,16 @@ def weighted_jaccard(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.n
     return float(low / (w.sum() + v.sum() - low))
 
 
-def _linked(nodes: list[bytes], texts: list[str], weigh: np.ndarray) -> list[tuple[bytes, bytes]]:
-    """A star per class of similar texts among ``texts``."""
+def _linked(
+    nodes: list[bytes], texts: list[str], roots: list[bytes], weigh: np.ndarray
+) -> list[tuple[bytes, bytes]]:
+    """A star per class of similar texts, without what ``roots`` has connected before."""
     order = sorted(range(len(nodes)), key=nodes.__getitem__)
     sets = _sets([texts[i] for i in order], weigh)
     sums = [float(w.sum()) for _, w in sets]
-    parent = list(range(len(order)))
+    heads: dict[bytes, int] = {}
+    known = [heads.setdefault(roots[x], i) for i, x in enumerate(order)]
+    parent = list(known)
 
     def root(i: int) -> int:
         while parent[i] != i:
@@ -245,27 +261,28 @@ def _linked(nodes: list[bytes], texts: list[str], weigh: np.ndarray) -> list[tup
                 continue
             if weighted_jaccard(sets[a], sets[b]) >= SIMILARITY:
                 parent[max(x, y)] = min(x, y)
-    return [(nodes[order[i]], nodes[order[root(i)]]) for i in range(len(order)) if root(i) != i]
+    return [(nodes[order[i]], nodes[order[root(i)]]) for i in heads.values() if root(i) != i]
 
 
 def _links(chunks: DataFrame, idf) -> DataFrame:
-    """Rows (bucket, chunk, node, text), a chunk's rows one after another, to links."""
+    """Rows (bucket, chunk, node, root, text), a chunk's rows one after another, to links."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weigh = idf.value
-        now, nodes, texts, found = None, [], [], []
+        now, nodes, texts, roots, found = None, [], [], [], []
         for batch in batches:
             buckets, parts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             for i, key in enumerate(zip(buckets, parts, strict=True)):
                 if key != now:
-                    found += _linked(nodes, texts, weigh)
-                    now, nodes, texts = key, [], []
+                    found += _linked(nodes, texts, roots, weigh)
+                    now, nodes, texts, roots = key, [], [], []
                 nodes.append(batch.column(2)[i].as_py())
-                texts.append(batch.column(3)[i].as_py())
+                roots.append(batch.column(3)[i].as_py())
+                texts.append(batch.column(4)[i].as_py())
             if found:
                 yield _pairs(found)
                 found = []
-        found += _linked(nodes, texts, weigh)
+        found += _linked(nodes, texts, roots, weigh)
         if found:
             yield _pairs(found)
 
@@ -278,14 +295,14 @@ def _pairs(found: list[tuple[bytes, bytes]]) -> pa.RecordBatch:
 
 
 def _chunks(nodes: DataFrame, bands: list[str]) -> DataFrame:
-    """(bucket, chunk, node) of all buckets that hold nodes of more than one class."""
+    """(bucket, chunk, node, root) of all buckets that hold nodes of more than one class."""
     rows = nodes.select("node", "root", F.explode(F.array(*bands)).alias("bucket"))
     shared = (
         rows.groupBy("bucket")
         .agg(
             F.count("*").alias("n"),
-            F.min("node").alias("low"),
-            F.max("node").alias("high"),
+            F.min(F.struct("node", "root")).alias("low"),
+            F.max(F.struct("node", "root")).alias("high"),
             F.sum(F.xxhash64("node") / F.lit(1 << 20)).cast("long").alias("sum"),
             F.min("root").alias("root0"),
             F.max("root").alias("root1"),
@@ -296,17 +313,102 @@ def _chunks(nodes: DataFrame, bands: list[str]) -> DataFrame:
         .withColumn("chunks", F.ceil(F.col("n") / CHUNK).cast("long"))
     )
     own = rows.join(shared.select("bucket", "chunks"), "bucket").select(
-        "bucket", F.pmod(F.xxhash64("node", "bucket"), "chunks").alias("chunk"), "node"
+        "bucket", F.pmod(F.xxhash64("node", "bucket"), "chunks").alias("chunk"), "node", "root"
     )
     pivots = shared.filter("chunks > 1").select(
         "bucket",
         F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"),
         F.array("low", "high").alias("ends"),
     )
-    pivots = pivots.select("bucket", "chunk", F.explode("ends").alias("node"))
+    pivots = pivots.select("bucket", "chunk", F.inline("ends"))
     return own.unionByName(pivots).distinct()
 
 
+def _prefixes(rows: DataFrame, idf, seen) -> DataFrame:
+    """(token, node, root): the shingles of (node, root, text) that a similar text must share."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            nodes, roots = batch.column(0), batch.column(1)
+            for block in blocks(batch.column(2)):
+                codes, counts, first = shingles(block)
+                weights = counts * idf.value[_bin(codes)].astype(np.float64)
+                owner = np.repeat(np.arange(block.rows), np.diff(first))
+                order = np.lexsort((codes, seen.value[_bin(codes)], owner))
+                sums = np.concatenate([[0.0], np.cumsum(weights[order])])
+                before = sums[:-1] - sums[first[owner]]
+                room = (1 - SIMILARITY) * (sums[first[1:]] - sums[first[:-1]])[owner]
+                at = order[before <= room + 1e-6 * (1 + room)]
+                own = pa.array(block.row + owner[at])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(codes[at].view(np.int64)), nodes.take(own), roots.take(own)],
+                    ["token", "node", "root"],
+                )
+
+    return rows.mapInArrow(run, "token long, node binary, root binary")
+
+
+def _units(tokens: DataFrame) -> DataFrame:
+    """(bucket, chunk, node, root): whom to compare in the groups that share a token.
+
+    A group is cut into chunks, and its nodes outside the largest class into parts; every
+    part meets every chunk, so that any two nodes of different classes meet.
+    """
+    one = tokens.groupBy("token", "root").agg(
+        F.count("*").alias("n"),
+        F.min("node").alias("low"),
+        F.max("node").alias("high"),
+        F.bit_xor(F.xxhash64("node")).alias("code"),
+    )
+    groups = (
+        one.groupBy("token")
+        .agg(
+            F.count("*").alias("classes"),
+            F.sum("n").alias("n"),
+            F.max(F.struct("n", "root")).alias("main"),
+            F.min("low").alias("low"),
+            F.max("high").alias("high"),
+            F.bit_xor("code").alias("code"),
+        )
+        .filter("classes > 1")
+        .groupBy("n", "main", "low", "high", "code")  # many tokens have the same nodes
+        .agg(F.min("token").alias("token"))
+        .select(
+            "token",
+            F.col("main.root").alias("main"),
+            F.ceil(F.col("n") / CHUNK).cast("long").alias("chunks"),
+            F.ceil((F.col("n") - F.col("main.n")) / CHUNK).cast("long").alias("parts"),
+        )
+    )
+    rows = tokens.join(rewritten(groups, "groups"), "token")
+    spot = F.xxhash64("node", "token")
+    chunk, part = F.pmod(spot, "chunks"), F.pmod(F.shiftrightunsigned(spot, 20), "parts")
+    wide = F.col("parts")
+    whole = F.transform(F.sequence(F.lit(0), wide - 1), lambda p: chunk * wide + p)
+    other = F.transform(F.sequence(F.lit(0), F.col("chunks") - 1), lambda c: c * wide + part)
+    every = F.when(F.col("root") == F.col("main"), whole).otherwise(F.array_union(whole, other))
+    return rows.select(F.col("token").alias("bucket"), F.explode(every).alias("chunk"), "node", "root")
+
+
+def _kept_apart(texts: DataFrame, roots: DataFrame, named: DataFrame, idf) -> DataFrame:
+    """Links between the classes of buckets that are larger than a chunk."""
+    names = _band_names()
+    nodes = texts.filter(F.col(names[0]).isNotNull()).select("node", *names)
+    nodes = nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    rows = nodes.select("node", "root", F.explode(F.array(*names)).alias("bucket"))
+    large = rows.groupBy("bucket").agg(
+        F.count("*").alias("n"), F.min("root").alias("root0"), F.max("root").alias("root1")
+    )
+    large = rewritten(large.filter((F.col("n") > CHUNK) & (F.col("root0") != F.col("root1"))).select("bucket"), "large")
+    left = rewritten(rows.join(large, "bucket").select("node", "root").distinct(), "left")
+    bodies = left.join(_bodies(left, texts, named), "node").select("node", "root", "text")
+    bodies = rewritten(bodies, "bodies")
+    seen = bodies.sparkSession.sparkContext.broadcast(bin_counts(bodies, "text")[0])
+    tokens = rewritten(_prefixes(bodies, idf, seen), "prefixes")
+    units = rewritten(_units(tokens), "units")
+    return rewritten(_links(_grouped(units, bodies.select("node", "text")), idf), "links")
+
+
 _ID, _NODE, _BODY = "__id", "__node", "__body"
 
 
@@ -346,9 +448,13 @@ def _classes(docs: DataFrame, keep: list[str], doc_id: str, text: str) -> tuple[
         else:
             nodes = nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
         chunks = rewritten(_chunks(nodes, bands), "chunks")
-        found = rewritten(_links(_with_text(chunks, texts, named), idf), "links")
+        found = rewritten(_links(_grouped(chunks, _bodies(chunks, texts, named)), idf), "links")
         links = found if links is None else links.unionByName(found)
         roots = components(links)
+    found = _kept_apart(texts, roots, named, idf)
+    if found.head(1):
+        joined = roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
+        roots = components(joined.unionByName(found))
     known = texts.select("node", "first_id", "copies").join(roots, "node", "left")
     known = known.withColumn("root", F.coalesce("root", "node"))
     classes = known.groupBy("root").agg(
@@ -400,10 +506,10 @@ def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Dat
     return out
 
 
-def _with_text(chunks: DataFrame, texts: DataFrame, named: DataFrame) -> DataFrame:
-    """Chunk rows with their texts, each chunk's rows together in one partition."""
+def _bodies(nodes: DataFrame, texts: DataFrame, named: DataFrame) -> DataFrame:
+    """(node, text) of the nodes of ``nodes``, once each."""
     wanted = rewritten(
-        texts.join(chunks.select("node").distinct(), "node", "left_semi").select(
+        texts.join(nodes.select("node").distinct(), "node", "left_semi").select(
             "node", F.col("first_id").alias("__id")
         ),
         "wanted",
@@ -412,10 +518,14 @@ def _with_text(chunks: DataFrame, texts: DataFrame, named: DataFrame) -> DataFra
     small = wanted.count() <= BROADCAST_ROWS
     rows = rows.join(F.broadcast(wanted) if small else wanted, rows["__id"].eqNullSafe(wanted["__id"]))
     rows = rows.filter(F.col("own") == F.col("node")).select("node", "text")
-    rows = rows.groupBy("node").agg(F.min("text").alias("text"))  # repeated rows
+    return rows.groupBy("node").agg(F.min("text").alias("text"))  # repeated rows
+
+
+def _grouped(chunks: DataFrame, bodies: DataFrame) -> DataFrame:
+    """Chunk rows with their texts, each chunk's rows together in one partition."""
     return (
-        chunks.join(rows, "node")
-        .select("bucket", "chunk", "node", "text")
+        chunks.join(bodies, "node")
+        .select("bucket", "chunk", "node", "root", "text")
         .repartition("bucket", "chunk")
         .sortWithinPartitions("bucket", "chunk")
     )

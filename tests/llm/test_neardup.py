@@ -99,6 +99,22 @@ def test_large_group_in_chunks(spark, monkeypatch):
     assert all(r["class_id"] == r["doc_id"] for r in found if r["doc_id"] >= 200)
 
 
+def test_no_link_is_lost_between_chunks(spark, monkeypatch):
+    """Buckets of three or more nodes are cut, and still every similar pair is found."""
+    monkeypatch.setattr(neardup, "CHUNK", 2)
+    base, passage = prose("hot", 120), prose("passage", 90)
+    texts = [_edited(base, i, 1 + i % 5) for i in range(60)]
+    texts += [f"{passage} {prose(f'own{i}', 40)}" for i in range(40)]
+    texts += [_edited(texts[60 + i], i, 1) for i in range(0, 40, 3)]
+    rows = [(i, t, "aa", "s", 0) for i, t in enumerate(texts)]
+    for rows in (rows, _corpus()):
+        found = neardup.near_duplicate_classes(frame(spark, rows), ["doc_id"]).collect()
+        expected, near = _brute(rows)
+        unsure = {i for pair in near for i in pair}
+        got = {r["doc_id"]: r["class_id"] for r in found}
+        assert {i: c for i, c in got.items() if i not in unsure} == {i: c for i, c in expected.items() if i not in unsure}
+
+
 def test_samples_match_weighted_jaccard():
     """The share of equal samples estimates the weighted Jaccard similarity."""
     draw = np.random.default_rng(1)
