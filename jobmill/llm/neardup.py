@@ -224,44 +224,38 @@ def _sets(texts: list[str], weigh: np.ndarray) -> list[tuple[np.ndarray, np.ndar
     return out
 
 
-def weighted_jaccard(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
-    """Sum of the smaller weights over the sum of the larger ones."""
-    (own, w), (other, v) = a, b
-    if not len(own) or not len(other):
-        return 0.0
-    at = np.minimum(np.searchsorted(other, own), len(other) - 1)
-    common = other[at] == own
-    low = np.minimum(w[common], v[at[common]]).sum()
-    return float(low / (w.sum() + v.sum() - low))
-
-
 def _linked(
     nodes: list[bytes], texts: list[str], roots: list[bytes], weigh: np.ndarray
 ) -> list[tuple[bytes, bytes]]:
-    """A star per class of similar texts, without what ``roots`` has connected before."""
+    """A star per class of texts of weighted Jaccard similarity ``SIMILARITY`` or more
+    (sum of the smaller weights over the sum of the larger ones), without what ``roots``
+    has connected before."""
     order = sorted(range(len(nodes)), key=nodes.__getitem__)
     sets = _sets([texts[i] for i in order], weigh)
-    sums = [float(w.sum()) for _, w in sets]
+    if len(sets) < 2:
+        return []
+    sums = np.array([w.sum() for _, w in sets])
+    first = np.cumsum([0, *(len(c) for c, _ in sets)])
+    owner = np.repeat(np.arange(len(sets)), np.diff(first))
+    weights = np.concatenate([w for _, w in sets])
+    known, place = np.unique(np.concatenate([c for c, _ in sets]), return_inverse=True)
     heads: dict[bytes, int] = {}
-    known = [heads.setdefault(roots[x], i) for i, x in enumerate(order)]
-    parent = list(known)
-
-    def root(i: int) -> int:
-        while parent[i] != i:
-            parent[i] = parent[parent[i]]
-            i = parent[i]
-        return i
-
-    for gap in range(1, len(order)):  # the smallest node first: it is in every chunk
-        for i in range(len(order) - gap):
-            a, b = (0, gap) if i == 0 else (i, i + gap)
-            x, y = root(a), root(b)
-            low, high = sorted((sums[a], sums[b]))
-            if x == y or low < SIMILARITY * high:
-                continue
-            if weighted_jaccard(sets[a], sets[b]) >= SIMILARITY:
-                parent[max(x, y)] = min(x, y)
-    return [(nodes[order[i]], nodes[order[root(i)]]) for i in heads.values() if root(i) != i]
+    label = np.array([heads.setdefault(roots[x], i) for i, x in enumerate(order)])
+    own = np.zeros(len(known))
+    for i in range(len(sets) - 1):  # one text against all later ones at once
+        later = np.arange(len(sets)) > i
+        fits = np.minimum(sums, sums[i]) >= SIMILARITY * np.maximum(sums, sums[i])
+        if not (later & fits & (label != label[i])).any():
+            continue
+        mine, rest = slice(first[i], first[i + 1]), slice(first[i + 1], None)
+        own[place[mine]] = weights[mine]
+        low = np.bincount(owner[rest], np.minimum(own[place[rest]], weights[rest]), len(sets))
+        own[place[mine]] = 0
+        alike = later & (low > 0) & (low >= SIMILARITY * (sums + sums[i] - low))
+        if alike.any():
+            same = np.unique(label[alike | (np.arange(len(sets)) == i)])
+            label[np.isin(label, same)] = same[0]
+    return [(nodes[order[i]], nodes[order[label[i]]]) for i in heads.values() if label[i] != i]
 
 
 def _links(chunks: DataFrame, idf) -> DataFrame:
