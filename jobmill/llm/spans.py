@@ -249,19 +249,21 @@ def held_out(doc_id: str = "doc_id"):
 
 
 def bounded_sample(df: DataFrame, text: str, label: str, per_label: int) -> DataFrame:
-    """At most ``per_label`` different texts of each label, chosen by the text's hash.
+    """At most ``per_label`` different texts of each label, those with the smallest hashes.
 
-    Equal texts count once, so a hot text has no more weight than another. Returns
-    ``label``, ``text`` and the ``key`` that ordered the choice.
+    Equal texts count once, so a hot text has no more weight than another and does not
+    thin the others. Returns ``label``, ``text`` and the ``key`` that ordered the choice.
     """
     rows = df.select(F.col(label).alias("label"), F.col(text).alias("text"))
     rows = rows.filter(F.col("label").isNotNull() & F.col("text").isNotNull())
     rows = rows.withColumn("key", F.xxhash64("text"))
-    counts = rows.groupBy("label").count()
-    share = (F.lit(3.0 * per_label) / F.col("count")).alias("share")
+    copies = rows.groupBy("label", "key").agg(F.count(F.lit(1)).alias("copies"))
+    counts = copies.groupBy("label").agg(F.count(F.lit(1)).alias("texts"), F.sum("copies").alias("count"))
+    share = (F.lit(3.0 * per_label) / F.col("texts")).alias("share")
     most = counts.orderBy(F.desc("count"), "label").limit(MOST_LABELS).select("label", share)
     near = rows.join(F.broadcast(most), "label")
-    near = near.filter(F.pmod("key", F.lit(1 << 30)) < F.col("share") * float(1 << 30))
+    place = F.col("key").cast("double") / 2.0**64 + 0.5  # of the hash in its range, 0 to 1
+    near = near.filter(place <= F.col("share"))
     near = near.groupBy("label", "key").agg(F.min("text").alias("text"))
     order = F.row_number().over(Window.partitionBy("label").orderBy("key", "text"))
     return near.withColumn("rank", order).filter(F.col("rank") <= per_label)

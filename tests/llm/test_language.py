@@ -2,7 +2,7 @@ from llm_cases import SCHEMA, clashing, frame, odd_rows, prose
 from pyspark.sql import functions as F
 
 from jobmill.llm import language
-from jobmill.llm.spans import held_out
+from jobmill.llm.spans import bounded_sample, held_out
 
 TONGUES = {"aa": "abcdefgh", "bb": "ghijklmn", "cc": "mnopqrst"}
 
@@ -57,3 +57,19 @@ def test_copies_weigh_once(spark):
     hot = docs.filter("doc_id = 0").crossJoin(spark.range(500)).drop("id")
     a, b = language.train(docs), language.train(docs.unionByName(hot))
     assert abs(a.weights - b.weights).max() < 1e-4
+
+
+def test_copies_do_not_thin_other_texts(spark):
+    texts = spark.range(300).selectExpr("'aa' AS lang", "concat('text ', id) AS text")
+    hot = spark.range(200_000).selectExpr("'aa' AS lang", "'hot' AS text")
+    kept = bounded_sample(texts.unionByName(hot), "text", "lang", 100).collect()
+    whole = bounded_sample(texts.unionByName(hot), "text", "lang", 1500).collect()
+    assert len(whole) == 301 and len(kept) == 100
+    assert {r["text"] for r in kept} == {r["text"] for r in sorted(whole, key=lambda r: r["key"])[:100]}
+
+
+def test_the_bound_holds_beyond_its_triple(spark):
+    many = spark.range(5000).selectExpr("'aa' AS lang", "concat('text ', id) AS text")
+    kept = bounded_sample(many, "text", "lang", 50).collect()
+    keys = sorted(r[0] for r in many.selectExpr("xxhash64(text)").collect())
+    assert sorted(r["key"] for r in kept) == keys[:50]
