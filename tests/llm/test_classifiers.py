@@ -137,3 +137,10 @@ def test_lm_training_without_rows(spark):
     vocabulary = lm.Vocabulary.of(lm.count_bins(docs, "text"))
     assert len(lm.train(docs, vocabulary).parts) == 5
     assert F is not None
+
+
+def test_lm_learns_from_every_document(spark):
+    for i in range(3):
+        docs = frame(spark, [(i, f"one text {i} is all there is", "aa", "s", i)])
+        learned = lm.train(docs, lm.Vocabulary.of(lm.count_bins(docs, "text")))
+        assert not np.array_equal(learned.parts[4], lm.Network().parts[4])
