@@ -300,9 +300,21 @@ def first_nonempty_payload(
     return candidates.withColumn("_best", best).filter(F.col(priority) == F.col("_best")).drop("_best")
 
 
+def run_order(run_id: Column) -> Column:
+    """Orders run ids with their numbers compared as numbers: ``run9`` before ``run10``."""
+    padded = F.regexp_replace(run_id, r"(\d+)", "0" * 40 + "$1")
+    return F.regexp_replace(padded, r"0*(\d{40})(?!\d)", "$1")
+
+
 def newest_payload(payloads: DataFrame, keys: Sequence[str] = ("request_key",)) -> DataFrame:
-    """The payload of each key that landed last, so a page fetched again counts once."""
-    return dedupe_by(payloads, list(keys), ["run_id", "fetch_seq"], keep="last")
+    """The payload of each key that landed last, so a page fetched again counts once.
+
+    A column ``landed_at`` decides if there is one; otherwise, and between equal times,
+    the numbers in ``run_id`` do, then the id and ``fetch_seq``.
+    """
+    landed = [c for c in ("landed_at",) if c in payloads.columns]
+    rows = payloads.withColumn("_run", run_order(F.col("run_id")))
+    return dedupe_by(rows, list(keys), [*landed, "_run", "run_id", "fetch_seq"], keep="last").drop("_run")
 
 
 def detail_enrich(

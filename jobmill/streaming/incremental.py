@@ -13,6 +13,7 @@ from ..operators.dedup import dedupe_across_sources
 from ..operators.merge import merge_snapshot
 from ..schema import JOB, RAW_PAYLOAD
 from ..session import durable
+from ..sources.readers import run_order
 
 Adapter = Callable[[DataFrame], DataFrame]
 
@@ -22,20 +23,30 @@ BUCKETS = 64
 MANIFEST = "version bigint, run_id string, bucket int, held_by bigint"
 
 
-def _manifest(spark: SparkSession, store: str) -> tuple[int, str | None, dict[int, int]]:
-    """Newest version, the run it holds last, and the version that has each bucket."""
+def _manifests(spark: SparkSession, store: str) -> DataFrame | None:
+    """The manifest rows of all versions; each version names the run that it merged."""
     try:
-        rows = spark.read.schema(MANIFEST).parquet(f"{store}/manifest/*")
+        return spark.read.schema(MANIFEST).parquet(f"{store}/manifest/*")
     except AnalysisException as missing:
         if missing.getCondition() != "PATH_NOT_FOUND":
             raise
-        return 0, None, {}
-    newest = rows.agg(F.max("version")).first()[0]
+        return None
+
+
+def _manifest(spark: SparkSession, store: str) -> tuple[int, dict[int, int]]:
+    """Newest version, and the version that has each bucket."""
+    rows = _manifests(spark, store)
+    newest = None if rows is None else rows.agg(F.max("version")).first()[0]
     if newest is None:
-        return 0, None, {}
+        return 0, {}
     last = rows.filter(F.col("version") == newest).collect()  # a row per bucket
     held = {r["bucket"]: r["held_by"] for r in last if r["bucket"] is not None}
-    return newest, last[0]["run_id"], held
+    return newest, held
+
+
+def _is_merged(spark: SparkSession, store: str, run_id: str) -> bool:
+    rows = _manifests(spark, store)
+    return rows is not None and not rows.filter(F.col("run_id") == run_id).isEmpty()
 
 
 def _read(spark: SparkSession, store: str, held: dict[int, int]) -> DataFrame:
@@ -60,12 +71,12 @@ def merge_run(
     """Merge the postings of a whole run; only the buckets it touches are rewritten.
 
     The manifest row of the new version is written last, so a merge that died half-way
-    is simply done again. Runs are merged once, in the order of their ids; a run that is
-    not above the last one has been merged before.
+    is simply done again. A run is merged once: the manifests of all versions together
+    name every merged run, so they have to stay when old buckets are removed.
     """
-    version, last, held = _manifest(spark, store)
-    if last is not None and run_id <= last:
+    if _is_merged(spark, store, run_id):
         return
+    version, held = _manifest(spark, store)
     postings = durable(dedupe_across_sources(postings))
     touched = {r["b"] for r in postings.select(_bucket(buckets).alias("b")).distinct().collect()}
     current = _read(spark, store, {b: v for b, v in held.items() if b in touched})
@@ -97,7 +108,9 @@ def incremental_merge(
     its ``RUN_END`` row, which lands last. Then ``adapter`` turns all payloads of the run
     into canonical postings with a ``source_rank``, so duplicates across sources, owners
     and dates do not depend on how files fell into micro-batches. Retirement needs the
-    whole run as well and stays a batch step.
+    whole run as well and stays a batch step. Runs are merged in the order in which their
+    closing rows landed, by the time of the file, which is also the order of micro-batches.
+    Closing rows of one file go by the numbers in their ids.
 
     Old versions of a bucket stay readable until they are removed from outside.
     """
@@ -105,12 +118,14 @@ def incremental_merge(
         spark.readStream.schema(RAW_PAYLOAD)
         .option("maxFilesPerTrigger", files_per_batch)
         .parquet(landing)
+        .select("*", F.col("_metadata.file_modification_time").alias("_landed"))
     )
 
     def merge(batch: DataFrame, number: int) -> None:
         session = batch.sparkSession
-        ended = batch.filter(F.col("content_type") == RUN_END).select("run_id").distinct()
-        for row in ended.orderBy("run_id").collect():
+        ended = batch.filter(F.col("content_type") == RUN_END)
+        ended = ended.groupBy("run_id").agg(F.min("_landed").alias("landed"))
+        for row in ended.orderBy("landed", run_order(F.col("run_id")), "run_id").collect():
             landed = session.read.schema(RAW_PAYLOAD).parquet(landing)
             whole = landed.filter((F.col("run_id") == row["run_id"]) & (F.col("content_type") != RUN_END))
             merge_run(session, store, row["run_id"], adapter(whole), scraped_at, buckets)
@@ -130,4 +145,4 @@ def run_end(spark: SparkSession, run_id: str) -> DataFrame:
 
 def read_snapshot(spark: SparkSession, store: str) -> DataFrame:
     """The newest snapshot."""
-    return _read(spark, store, _manifest(spark, store)[2])
+    return _read(spark, store, _manifest(spark, store)[1])

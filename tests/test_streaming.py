@@ -9,6 +9,7 @@ from jobmill.operators.dedup import dedupe_across_sources
 from jobmill.operators.merge import merge_snapshot
 from jobmill.schema import JOB, RAW_PAYLOAD
 from jobmill.sources import lists
+from jobmill.sources.readers import newest_payload
 from jobmill.streaming import incremental as inc
 
 NOW = F.lit("2026-04-23 00:00:00").cast("timestamp")
@@ -80,3 +81,30 @@ def test_only_touched_buckets_are_written(spark, tmp_path):
     assert inc.read_snapshot(spark, store).count() == 40
     assert len(list((tmp_path / "store/data/version=0000000002").glob("bucket=*"))) == 1
     assert not (tmp_path / "store/data/version=0000000003").exists()
+
+
+def _land(spark, tmp_path, run, day):
+    part = frame(spark, run, "pittcsc", [entry(1, f"https://{run}/1", day=day), entry(day, f"https://{run}/{day}")], 0)
+    part.coalesce(1).write.mode("append").parquet(f"{tmp_path}/landing")
+    inc.run_end(spark, run).coalesce(1).write.mode("append").parquet(f"{tmp_path}/landing")
+    return part
+
+
+@pytest.mark.parametrize("files", [1, 1000])
+@pytest.mark.parametrize("runs", [("r2", "r1"), ("run9", "run10")])
+def test_runs_are_merged_in_the_order_they_end(spark, tmp_path, runs, files):
+    expected = spark.createDataFrame([], JOB)
+    for n, run in enumerate(runs):
+        part = _land(spark, tmp_path, run, 5 + n)
+        expected = merge_snapshot(expected, dedupe_across_sources(adapter(part)), NOW)
+    inc.incremental_merge(
+        spark, f"{tmp_path}/landing", f"{tmp_path}/store", adapter, f"{tmp_path}/check", NOW, files_per_batch=files, buckets=4
+    ).awaitTermination()
+    assert shown(inc.read_snapshot(spark, f"{tmp_path}/store")) == shown(expected)
+
+
+def test_newest_payload_takes_numbers_and_landed_times(spark):
+    both = frame(spark, "run9", "a", [], 7).unionByName(frame(spark, "run10", "a", [], 0))
+    assert [r["run_id"] for r in newest_payload(both).collect()] == ["run10"]
+    timed = both.withColumn("landed_at", F.when(F.col("run_id") == "run9", NOW).otherwise(NOW - F.expr("INTERVAL 1 DAY")))
+    assert [r["run_id"] for r in newest_payload(timed).collect()] == ["run9"]
