@@ -1,6 +1,18 @@
 """All queries of this subpackage."""
 
-from . import q_chat, q_decontaminate, q_language, q_lm, q_mixing, q_neardup, q_quality, q_sharding, q_toxicity, q_warc  # noqa: F401
+from . import (  # noqa: F401
+    q_chat,
+    q_clustering,
+    q_decontaminate,
+    q_language,
+    q_lm,
+    q_mixing,
+    q_neardup,
+    q_quality,
+    q_sharding,
+    q_toxicity,
+    q_warc,
+)
 from .registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
