@@ -122,7 +122,8 @@ def _distances(slices: DataFrame, own: DataFrame, widths: list[int], clusters: i
         met = slices.join(F.broadcast(own), "block")
     else:
         copy = F.pmod(F.xxhash64("chunk"), F.lit(COPIES)).alias("copy")
-        spread = own.select("*", F.explode(F.sequence(F.lit(0), F.lit(COPIES - 1))).cast("long").alias("copy"))
+        copies = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(COPIES - 1).cast("long")))
+        spread = own.select("*", copies.alias("copy"))
         met = slices.select("*", copy).join(spread, ["block", "copy"])
     met = met.select("chunk", "block", "rows", "matrix", "slice")
 
