@@ -1,6 +1,7 @@
 """All queries of this subpackage."""
 
 from . import (  # noqa: F401
+    q_alignment,
     q_chat,
     q_clustering,
     q_decontaminate,
