@@ -9,6 +9,7 @@ from . import (  # noqa: F401
     q_lm,
     q_mixing,
     q_neardup,
+    q_pii,
     q_quality,
     q_sharding,
     q_toxicity,
