@@ -43,7 +43,7 @@ class Labels(NamedTuple):
     """What expectation-maximisation found for the candidates of a kind."""
 
     prior: float  # share of true candidates
-    votes: np.ndarray  # [labeler, true or false, vote + 1]: probability of the vote
+    votes: np.ndarray  # [labeler, true or false, vote + 1]: probability of the vote, if any
 
 
 class SpanModel(NamedTuple):
@@ -83,22 +83,24 @@ def cells(docs: DataFrame, text: str = "text") -> DataFrame:
     return found.groupBy("kind", "votes", "digits", "apart").agg(F.sum("n").alias("n"))
 
 
-def reliabilities(votes: np.ndarray, counts: np.ndarray) -> tuple[Labels, np.ndarray]:
+def reliabilities(votes: np.ndarray, counts: np.ndarray, check: int = _CHECK) -> tuple[Labels, np.ndarray]:
     """Expectation-maximisation over vote patterns, given the truth independent of each other.
 
-    Starts from the share of votes in favour, which also tells true from false: no truth
-    is known. One candidate of either side per labeler and vote smooths the estimates.
+    Starts from the share of votes in favour, and from false where the checksum fails, which
+    also tells the two sides apart: no truth is known. A labeler that does not vote says nothing either way. One candidate of either
+    side per labeler and vote smooths the estimates.
     """
     places = (votes + 1).astype(int)
-    belief = np.clip(0.5 + votes.mean(axis=1) / 2, 0.05, 0.95)
+    belief = np.where(votes[:, check] < 0, 0.05, np.clip(0.5 + votes.mean(axis=1) / 2, 0.05, 0.95))
     for _ in range(ROUNDS):
         mass = np.stack([belief * counts, (1 - belief) * counts])
         prior = (mass[0].sum() + 1) / (counts.sum() + 2)
-        table = np.ones((votes.shape[1], 2, 3))
+        table = np.ones((votes.shape[1], 2, 3)) * [1, 0, 1]
         for labeler in range(votes.shape[1]):
             for side in (0, 1):
-                table[labeler, side] += np.bincount(places[:, labeler], mass[side], 3)
+                table[labeler, side] += np.bincount(places[:, labeler], mass[side], 3) * [1, 0, 1]
         table /= table.sum(axis=2, keepdims=True)
+        table[:, :, 1] = 1
         ratio = np.log(prior / (1 - prior)) + sum(
             np.log(table[k, 0, places[:, k]] / table[k, 1, places[:, k]]) for k in range(votes.shape[1])
         )
