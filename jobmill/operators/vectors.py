@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.similarity import GRADE_BOUNDS, grade
-from ..session import durable
+from ..session import durable, ship
 
 #: bytes of the pivots, which travel to every task; more are refused
 PIVOT_BYTES = 64 << 20
@@ -162,6 +162,7 @@ def _search(
     skip_self: bool = False,
 ) -> DataFrame:
     """``query_id, item_id, similarity``: the best ``k``, those above ``floor``, or both."""
+    ship(queries.sparkSession)
     q_type = queries.schema["id"].dataType.simpleString()
     i_type = items.schema["id"].dataType.simpleString()
     out_schema = f"query_id {q_type}, item_id {i_type}, similarity double"
@@ -253,11 +254,15 @@ def vector_topk(
     return _best(found, k)
 
 
-def vector_topk_approx(
-    queries: DataFrame, items: DataFrame, k: int, dim: int, probes: int = 8, **options
-) -> DataFrame:
-    """Top ``k`` from the nearest cells only; see ``recall_report`` for what that loses."""
-    return vector_topk(queries, items, k, dim, probes=probes, **options)
+def vector_topk_approx(queries: DataFrame, items: DataFrame, k: int, dim: int, **options) -> DataFrame:
+    """About the top ``k``: a short list by codes, ranked exactly (``quantized_topk``); see
+    ``recall_report`` for what that loses. With ``probes`` the nearest cells only are
+    searched instead, which needs most cells in many dimensions."""
+    if "probes" in options:
+        return vector_topk(queries, items, k, dim, **options)
+    from .quantized import quantized_topk
+
+    return quantized_topk(queries, items, k, dim, **options)
 
 
 def recall_report(exact: DataFrame, approx: DataFrame) -> DataFrame:

@@ -124,6 +124,7 @@ def test_registry(spark):
         chosen(["nowhere"])
     empty = spark.createDataFrame([], RAW_PAYLOAD)
     want = spark.createDataFrame([], POSTING)
-    for source in SOURCES:
+    several = ("ambicuity", "builtin", "ashby", "breezy", "oraclecloud")  # of several parts or tables
+    for source in chosen(several):
         rows = source.adapter(Landed(empty, source.name, NOW))
         assert rows.dtypes == want.dtypes, source.name
