@@ -42,10 +42,10 @@ def _distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.sqrt(np.maximum(0.0, 2.0 - 2.0 * (a @ b.T)))
 
 
-def _usable(df: DataFrame, id: str, vector: str, dim: int) -> DataFrame:
+def _usable(df: DataFrame, id: str, vector: str, dim: int, *more: str) -> DataFrame:
     length = F.aggregate(vector, F.lit(0.0), lambda acc, v: acc + v.cast("double") * v.cast("double"))
     whole = (F.size(vector) == dim) & (length > 0) & ~F.isnan(length)
-    return df.select(F.col(id).alias("id"), F.col(vector).alias("vector")).filter(whole)
+    return df.select(F.col(id).alias("id"), F.col(vector).alias("vector"), *more).filter(whole)
 
 
 def rejected_vectors(df: DataFrame, id: str, vector: str, dim: int) -> DataFrame:
@@ -120,6 +120,7 @@ def _visits(
     cell_ids = stats["cell"].to_numpy()
     far = stats["far"].to_numpy()
     key_type = queries.schema["id"].dataType.simpleString()
+    own = ["least"] if "least" in queries.columns else []
 
     def visit(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in frames:
@@ -138,6 +139,8 @@ def _visits(
                     # k items are certainly this close: their pivot distance plus radius.
                     reach = d[:, near["cell"].to_numpy()] + near["radius"].to_numpy()
                     bound = np.minimum(bound, np.partition(reach, k - 1, axis=1)[:, k - 1])
+                if own:
+                    bound = np.minimum(bound, np.sqrt(np.maximum(0.0, 2.0 - 2.0 * pdf["least"].to_numpy())))
                 hit = to_cell - far <= bound[:, None] + SLACK
             q, c = hit.nonzero()
             yield pd.DataFrame(
@@ -145,10 +148,12 @@ def _visits(
                     "query_id": pdf["id"].to_numpy()[q],
                     "query": pdf["vector"].to_numpy()[q],
                     "cell": cell_ids[c],
+                    **{name: pdf[name].to_numpy()[q] for name in own},
                 }
             )
 
-    return queries.mapInPandas(visit, f"query_id {key_type}, query array<float>, cell int")
+    schema = f"query_id {key_type}, query array<float>, cell int" + ", least double" * len(own)
+    return queries.mapInPandas(visit, schema)
 
 
 def _search(
@@ -160,8 +165,13 @@ def _search(
     probes: int | None = None,
     pivots: int = 64,
     skip_self: bool = False,
+    tally: dict[str, int] | None = None,
 ) -> DataFrame:
-    """``query_id, item_id, similarity``: the best ``k``, those above ``floor``, or both."""
+    """``query_id, item_id, similarity``: the best ``k``, those above ``floor``, or both.
+
+    A column ``least`` of the queries is a similarity of its own that each one's results
+    must reach. ``tally`` gets the number of pairs that are compared.
+    """
     ship(queries.sparkSession)
     q_type = queries.schema["id"].dataType.simpleString()
     i_type = items.schema["id"].dataType.simpleString()
@@ -175,12 +185,17 @@ def _search(
     load = visits.groupBy("cell").agg(
         F.ceil(F.count("*") / cells.query_block).cast("int").alias("q_blocks")
     )
+    if tally is not None:
+        sizes = dict(zip(cells.stats["cell"], cells.stats["n"], strict=True))
+        asked = visits.groupBy("cell").count().collect()  # one row per pivot
+        tally["compared"] = tally.get("compared", 0) + sum(int(sizes[r["cell"]]) * r["count"] for r in asked)
+    own = ["least"] if "least" in queries.columns else []
     blocks = cells.block_count()
     left = (
         visits.join(F.broadcast(load), "cell")
         .withColumn("q_block", F.pmod(F.xxhash64("query_id"), F.col("q_blocks")).cast("int"))
         .withColumn("i_block", F.explode(F.sequence(F.lit(0), blocks - 1)))
-        .select("cell", "q_block", "i_block", "query_id", "query")
+        .select("cell", "q_block", "i_block", "query_id", "query", *own)
     )
     right = (
         cells.items.join(F.broadcast(load), "cell")
@@ -204,6 +219,8 @@ def _search(
                 keep &= ids[:, None] != item_ids[None, :]
             if floor is not None:
                 keep &= sims > floor
+            if own:
+                keep &= sims >= chunk["least"].to_numpy()[:, None]
             masked = np.where(keep, sims, -np.inf)
             if k is not None and masked.shape[1] > k:
                 cut = -np.partition(-masked, k - 1, axis=1)[:, k - 1]

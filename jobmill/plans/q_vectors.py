@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..functions.similarity import cosine_similarity, grade
 from ..operators import embedding as em
 from ..operators import quantized
+from ..operators import rescore as rescoring
 from ..operators import vectors as vec
 from . import oracle as o
 from . import workload as w
@@ -178,6 +179,29 @@ def rescore(spark, d):
     return vec.profiles_to_rescore(people, scored).select("id")
 
 
+def _rescored(spark, d):
+    """Scores of all vectors against all, reached in three steps: postings come and go, and
+    in the last step every profile with an even label gets its present resume."""
+    rows = w.table(spark, d, "embeddings").select(F.col("vec_id").alias("id"), "embedding", "label")
+    old = F.when(F.col("label") % 2 == 0, F.reverse("embedding")).otherwise(F.col("embedding"))
+    before, after = (rows.select("id", c.alias("resume_embedding")) for c in (old, F.col("embedding")))
+    late, again = F.col("id") % 10 == 3, F.col("id") % 17 == 0
+    first, second = rows.filter(~late), rows.filter(~again & (~late | (F.col("id") % 20 == 3)))
+    scores = spark.createDataFrame([], "user_id bigint, job_id bigint, similarity double, grade string")
+    resumes, nothing = spark.createDataFrame([], "user_id bigint, resume_hash bigint"), rows.limit(0)
+    done = rescoring.rescore(before, first, scores, resumes, first, nothing, DIM)
+    steps = [(before, first, second), (after, second, rows)]
+    for people, have, jobs in steps:
+        added, removed = jobs.join(have, "id", "left_anti"), have.join(jobs, "id", "left_anti")
+        done = rescoring.rescore(people, jobs, done.scores, done.resumes, added, removed, DIM)
+    return done
+
+
+@query("e9_incremental_rescore", _score_sql("0.55"))
+def incremental_rescore(spark, d):
+    return _rescored(spark, d).scores.withColumn("similarity", F.round("similarity", 6))
+
+
 @query(
     "e10_vector_topk",
     f"""WITH {_PAIRS} SELECT query_id, item_id, round(similarity, 6) AS similarity, CAST(rank AS INTEGER) AS rank FROM (SELECT *, row_number() OVER
