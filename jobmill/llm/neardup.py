@@ -54,6 +54,10 @@ IDF_SLICES = 128
 IDF_FLOOR = 4.0
 RARE = 0.01
 CHUNK = 48
+#: Weights are banded by this step of their logarithm; texts that are alike are at most
+#: ``NEAR_BANDS`` bands apart.
+NEAR_BANDS = 8
+BAND_STEP = math.log(1 / SIMILARITY) / NEAR_BANDS
 BROADCAST_ROWS = 200_000
 
 _HASH_BITS = 52
@@ -319,7 +323,14 @@ def _chunks(nodes: DataFrame, bands: list[str]) -> DataFrame:
 
 
 def _prefixes(rows: DataFrame, idf, seen) -> DataFrame:
-    """(token, node, root): the shingles of (node, root, text) that a similar text must share."""
+    """(token, node, root, band, most): the shingles of (node, root, text) that a similar
+    text must share, the band of the text's weight, and how many bands above it a text
+    may weigh whose first shared shingle this is.
+
+    Let t be the first shared shingle, in the order of all, of two texts with weights W and
+    V of similarity s or more. What they share lies at t and after it, and it is at least
+    s / (1 + s) * (W + V). So what lies before t is at most W - s / (1 + s) * (W + V).
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -330,24 +341,41 @@ def _prefixes(rows: DataFrame, idf, seen) -> DataFrame:
                 owner = np.repeat(np.arange(block.rows), np.diff(first))
                 order = np.lexsort((codes, seen.value[_bin(codes)], owner))
                 sums = np.concatenate([[0.0], np.cumsum(weights[order])])
-                before = sums[:-1] - sums[first[owner]]
-                room = (1 - SIMILARITY) * (sums[first[1:]] - sums[first[:-1]])[owner]
-                at = order[before <= room + 1e-6 * (1 + room)]
-                own = pa.array(block.row + owner[at])
+                total = sums[first[1:]] - sums[first[:-1]]
+                after = 1 - (sums[:-1] - sums[first[owner]]) / total[owner] + 1e-6
+                at = np.flatnonzero(after >= SIMILARITY)
+                row = owner[at]
+                ratio = after[at] * (1 + SIMILARITY) / SIMILARITY - 1  # of V to W, at most
+                most = np.minimum(np.floor(np.log(ratio) / BAND_STEP).astype(np.int32) + 1, NEAR_BANDS)
+                band = np.floor(np.log(total[row]) / BAND_STEP).astype(np.int32)
+                own = pa.array(block.row + row)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(codes[at].view(np.int64)), nodes.take(own), roots.take(own)],
-                    ["token", "node", "root"],
-                )
+                    [pa.array(codes[order[at]].view(np.int64)), nodes.take(own), roots.take(own),
+                     pa.array(band), pa.array(most)],
+                    ["token", "node", "root", "band", "most"],
+                )
 
-    return rows.mapInArrow(run, "token long, node binary, root binary")
+    return rows.mapInArrow(run, "token long, node binary, root binary, band int, most int")
 
 
 def _units(tokens: DataFrame) -> DataFrame:
     """(bucket, chunk, node, root): whom to compare in the groups that share a token.
 
-    A group is cut into chunks, and its nodes outside the largest class into parts; every
-    part meets every chunk, so that any two nodes of different classes meet.
+    A group is split by pairs of weight bands. Such a group is cut into chunks, and its
+    nodes outside the largest class into parts; every part meets every chunk, so that any
+    two nodes of different classes meet.
     """
+    bands = tokens.groupBy("token").agg(
+        F.min("root").alias("root0"), F.max("root").alias("root1"), F.collect_set("band").alias("bands")
+    )
+    bands = rewritten(bands.filter("root0 <> root1").select("token", "bands"), "bands")
+    other = F.filter(
+        F.transform(F.sequence(F.lit(-NEAR_BANDS), F.col("most")), lambda x: F.col("band") + x),
+        lambda x: F.array_contains("bands", x),
+    )
+    tokens = tokens.join(bands, "token").select("token", "node", "root", "band", F.explode(other).alias("other"))
+    pair = F.xxhash64("token", F.least("band", "other"), F.greatest("band", "other"))
+    tokens = rewritten(tokens.select(pair.alias("token"), "node", "root"), "pairs")
     one = tokens.groupBy("token", "root").agg(
         F.count("*").alias("n"),
         F.min("node").alias("low"),
