@@ -29,7 +29,8 @@ def labelled_sample(
 
     Returns rows (label, fold, text) and the number of eligible labels of each kind. The
     chosen ids are at most twice ``per_label``, so they are broadcast to the documents. A
-    null label or id is left out; a repeated label row counts once.
+    null label or id is left out; a repeated label row counts once. Of rows that share an id
+    the least text counts, so the sample is bounded whatever the number of copies.
     """
     known = labels.select(F.col(doc_id).alias("id"), F.col(label).cast("int").alias("label"))
     known = known.filter("label IN (0, 1) AND id IS NOT NULL").filter(eligible).distinct()
@@ -40,8 +41,9 @@ def labelled_sample(
     chosen = chosen.filter(F.col("rank") <= per_label)
     chosen = chosen.select("id", "label", F.pmod("draw", F.lit(FOLDS)).cast("int").alias("fold"))
     rows = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text"))
-    rows = rows.join(F.broadcast(durable(chosen)), "id").select("label", "fold", "text")
-    return durable(rows), counts
+    rows = rows.join(F.broadcast(durable(chosen)), "id")
+    rows = rows.groupBy("id", "label", "fold").agg(F.min("text").alias("text"))
+    return durable(rows.select("label", "fold", "text")), counts
 
 
 def collect_vectors(
