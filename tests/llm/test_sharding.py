@@ -53,3 +53,45 @@ def test_odd_rows_and_empty_table(spark):
     _check(found, 3)
     assert {r["size"] for r in found if not r["text"]} == {8}
     assert sharding.shard(frame(spark, [], SCHEMA), ["doc_id"]).collect() == []
+
+
+def test_equal_rows_are_dealt_out(spark):
+    rows = [(i, prose(f"e{i}", 40), "aa", "s", 0) for i in range(400)]
+    rows += [(7_000, "one row " * 21, "aa", "s", 0)] * 3000
+    sizes = _check(sharding.shard(frame(spark, rows), ["doc_id"], 6).collect(), 6)
+    mean = sum(sizes.values()) / 6
+    assert len(sizes) == 6
+    assert max(abs(x - mean) for x in sizes.values()) < 0.05 * mean
+
+
+def test_few_pairs_are_cut(spark):
+    rows = [(i, prose(f"p{i % 1000}", 30), "aa", "s", 0) for i in range(2000)]
+    found = sharding.shard(frame(spark, rows), ["text"], 6)
+    report = sharding.cut_report(found, "text").first()
+    assert (report["groups"], report["links"]) == (1000, 1000)
+    assert report["cut_groups"] < 50 and report["cut_links"] == report["cut_groups"]
+    sizes = _check(found.collect(), 6)
+    mean = sum(sizes.values()) / 6
+    assert max(abs(x - mean) for x in sizes.values()) < 0.01 * mean
+
+
+def test_groups_that_fit_stay_whole(spark):
+    rows = [(i, f"group {i % 30} " * (10 + i % 30), "aa", "s", 0) for i in range(600)]
+    rows += [(600 + i, prose(f"g{i}", 60), "aa", "s", 0) for i in range(900)]
+    found = sharding.shard(frame(spark, rows), ["text"], 4)
+    report = sharding.cut_report(found, "text").first()
+    assert report["groups"] == 30 and report["cut_groups"] == 0
+    sizes = _check(found.collect(), 4)
+    mean = sum(sizes.values()) / 4
+    assert max(abs(x - mean) for x in sizes.values()) < 0.02 * mean
+
+
+def test_places_from_many_bins(spark):
+    rows = [(s, b, (b * 7 + s) % 5 + 1) for s in range(2) for b in range(0, 5000, 3)]
+    found = sharding._begins(spark.createDataFrame(rows, "shard int, __bin int, total long"), "shard")
+    at = {(r["shard"], r["__bin"]): r["begin"] for r in found.collect()}
+    for s in range(2):
+        total = 0
+        for b in range(0, 5000, 3):
+            assert at[s, b] == total
+            total += (b * 7 + s) % 5 + 1
