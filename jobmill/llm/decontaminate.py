@@ -4,8 +4,11 @@ Words are runs of digits, ASCII letters (lower-cased) and characters beyond ASCI
 each window of ``WINDOW - GRAM + 1`` consecutive ``GRAM``-word hashes the smallest is
 kept as a fingerprint, on both sides, so every common run of ``WINDOW`` words has a
 fingerprint in common. Fingerprints of documents are joined with those of the items in
-each task; each match is then extended along its diagonal, word by word, and whole
-windows of the item found there mark their words in the document.
+each task; each match is then extended word by word as far as a window around it can
+reach, and whole windows of the item found there mark their words in the document. A
+window that occurs has a fingerprint inside, so nothing beyond that reach is needed.
+Fingerprints of one text whose surroundings are equal too are extended once, so words
+repeated any number of times on both sides cost what a few of them do.
 
 An item of fewer than ``WINDOW`` words is one window by itself: all runs of its length
 are fingerprints then. The items are cut into slices of about ``SLICE_WORDS`` words by a
@@ -14,7 +17,8 @@ a benchmark of any size is worked through without a shuffle of the documents.
 
 Defined cases: a null text, or one without words, has no words and is never hit; an item
 without words is ignored; an item with a null id marks words but is not listed; repeated
-documents or items give equal rows, and an id that several items share is listed once.
+documents give equal rows, repeated items are one item, and an id that several items share
+is listed once.
 """
 
 from __future__ import annotations
@@ -31,11 +35,16 @@ from pyspark.sql import types as T
 
 from ..session import ship
 from .spans import PLAIN_WORD, TEXT, U64, Block, Words, blocks, fold_texts, gram_starts, grams, ranges
+from .store import rewritten
 
 WINDOW = 10
 GRAM = 5
 SLICE_WORDS = 1 << 21
 _BITS = 18
+#: Matches that are extended at a time.
+STEP = 1 << 15
+#: What stands beyond either end of an item and of a text: never equal.
+_ITEM_END, _TEXT_END = U64(1), U64(2)
 
 
 @dataclass
@@ -46,14 +55,40 @@ class Slice:
     words: np.ndarray
     first: np.ndarray
     need: np.ndarray  # words of a window, by item
-    prints: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]  # by window: hash, item, position
+    prints: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]  # by window: hash, item, place
+
+
+def _gram(window: int) -> tuple[int, int]:
+    """Words of a fingerprint, and of the window before or behind it."""
+    size = GRAM if window == WINDOW else window
+    return size, window - size
+
+
+def _around(
+    hashes: np.ndarray, first: np.ndarray, at: np.ndarray, window: int, end: np.integer
+) -> tuple[np.ndarray, np.ndarray]:
+    """The text of each fingerprint, and the words that a window with it can hold."""
+    size, reach = _gram(window)
+    text = np.searchsorted(first, at, "right") - 1
+    place = at[:, None] + np.arange(-reach, size + reach)
+    inside = (place >= first[text][:, None]) & (place < first[text + 1][:, None])
+    return text, np.where(inside, hashes[np.clip(place, 0, len(hashes) - 1)], end)
+
+
+def _alike(text: np.ndarray, near: np.ndarray) -> np.ndarray:
+    """One number for fingerprints of a text with equal surroundings."""
+    code = text.astype(U64)
+    for j in range(near.shape[1]):
+        code = (code ^ near[:, j]) * U64(0x9E3779B97F4A7C15)
+        code ^= code >> U64(29)
+    return code
 
 
 def winnow(hashes: np.ndarray, first: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
     """Positions and hashes of the fingerprints that hold for runs of ``window`` words."""
-    size = min(GRAM, window) if window == WINDOW else window
+    size, reach = _gram(window)
     codes = grams(hashes, size)
-    width = window - size + 1
+    width = reach + 1
     starts = gram_starts(first, window)
     if not len(starts):
         return starts, np.zeros(0, U64)
@@ -107,19 +142,24 @@ def _slice(rows: list) -> Slice:
     need = np.minimum(counts, WINDOW)
     prints = {}
     for window in sorted(set(need.tolist())):
-        bounds = first.copy()
-        at, codes = winnow(words, bounds, window)
+        at, codes = winnow(words, first, window)
         owner = np.searchsorted(first, at, "right") - 1
         keep = need[owner] == window
-        at, codes, owner = at[keep], codes[keep], owner[keep]
+        at, codes = at[keep], codes[keep]
+        _, one = np.unique(_alike(*_around(words, first, at, window, _ITEM_END)), return_index=True)
+        at, codes = at[one], codes[one]
         order = np.argsort(codes, kind="stable")
-        prints[window] = (codes[order], owner[order], (at - first[owner])[order])
+        at = at[order]
+        prints[window] = (codes[order], np.searchsorted(first, at, "right") - 1, at)
     return Slice([r["item"] for r in rows], words, first, need, prints)
 
 
-def _matches(known: Slice, words: Words, hashes: np.ndarray) -> Iterator[tuple]:
-    """Document word positions and item of every fingerprint in common, by diagonal."""
-    for window, (codes, owner, offset) in known.prints.items():
+def _extend(
+    known: Slice, words: Words, hashes: np.ndarray, hit: np.ndarray
+) -> set[tuple[int, int]]:
+    """Mark the words of item windows in ``hit``; returns (text, item) pairs."""
+    pairs: set[tuple[int, int]] = set()
+    for window, (codes, owner, place) in known.prints.items():
         at, own = winnow(hashes, words.first, window)
         if not len(at) or not len(codes):
             continue
@@ -127,43 +167,37 @@ def _matches(known: Slice, words: Words, hashes: np.ndarray) -> Iterator[tuple]:
         seen[(codes >> U64(64 - _BITS)).astype(np.int64)] = True
         maybe = seen[(own >> U64(64 - _BITS)).astype(np.int64)]
         at, own = at[maybe], own[maybe]
+        known_too = codes[np.minimum(np.searchsorted(codes, own), len(codes) - 1)] == own
+        at, own = at[known_too], own[known_too]
+        if not len(at):
+            continue
+        text, near = _around(hashes, words.first, at, window, _TEXT_END)
+        _, one, which = np.unique(_alike(text, near), return_index=True, return_inverse=True)
+        text, near, own = text[one], near[one], own[one]
         lo = np.searchsorted(codes, own, "left")
         counts = np.searchsorted(codes, own, "right") - lo
-        for part in range(0, len(at), 4096):
-            some = slice(part, part + 4096)
-            entry = ranges(lo[some], counts[some])
-            if len(entry):
-                yield np.repeat(at[some], counts[some]), owner[entry], offset[entry]
-
-
-def _extend(
-    known: Slice, words: Words, hashes: np.ndarray, hit: np.ndarray
-) -> set[tuple[int, int]]:
-    """Mark the words of item windows in ``hit``; returns (text, item) pairs."""
-    pairs: set[tuple[int, int]] = set()
-    for at, item, offset in _matches(known, words, hashes):
-        text = np.searchsorted(words.first, at, "right") - 1
-        lines = np.unique(np.stack([text, item, at - words.first[text] - offset]), axis=1)
-        for part in range(0, lines.shape[1], 4096):
-            text, item, shift = lines[:, part : part + 4096]
-            size = known.first[item + 1] - known.first[item]
-            begin = np.maximum(-shift, 0)  # item positions that lie in the text
-            end = np.minimum(size, words.counts[text] - shift)
-            counts = np.maximum(end - begin, 0)
-            theirs = ranges(known.first[item] + begin, counts)
-            ours = ranges(words.first[text] + shift + begin, counts)
-            line = np.repeat(np.arange(len(text)), counts)
-            same = np.zeros(len(ours) + 1, np.int64)
-            np.cumsum(hashes[ours] == known.words[theirs], out=same[1:])
-            need = known.need[item][line]
-            stop = np.repeat(np.cumsum(counts), counts)
-            start = np.arange(len(ours))
-            whole = start + need <= stop
-            start, need = start[whole], need[whole]
-            full = same[start + need] - same[start] == need
-            start, need = start[full], need[full]
-            hit[ranges(ours[start], need)] = True
-            pairs.update(zip(text[line[start]].tolist(), item[line[start]].tolist(), strict=True))
+        reach = _gram(window)[1]
+        found = np.zeros((len(one), reach + 1), bool)
+        ends = np.cumsum(counts)
+        begin = 0
+        while begin < len(one):
+            stop = max(begin + 1, int(np.searchsorted(ends, ends[begin] - counts[begin] + STEP)))
+            line = np.repeat(np.arange(begin, min(stop, len(one))), counts[begin:stop])
+            entry = ranges(lo[begin:stop], counts[begin:stop])
+            for part in range(0, len(line), STEP):
+                some = slice(part, part + STEP)
+                _, theirs = _around(known.words, known.first, place[entry[some]], window, _ITEM_END)
+                same = np.zeros((len(theirs), theirs.shape[1] + 1), np.int16)
+                np.cumsum(near[line[some]] == theirs, axis=1, out=same[:, 1:])
+                row, start = np.nonzero(same[:, window:] - same[:, : reach + 1] == window)
+                found[line[some][row], start] = True
+                pairs.update(
+                    zip(text[line[some][row]].tolist(), owner[entry[some][row]].tolist(), strict=True)
+                )
+            begin = stop
+        row, start = np.nonzero(found[which.ravel()])
+        for j in range(window):
+            hit[at[row] - reach + start + j] = True
     return pairs
 
 
@@ -188,7 +222,8 @@ def mark_windows(
     spark = docs.sparkSession
     names = [f.name for f in MARKS]
     keep = [c for c in keep if c not in names]
-    rows = _item_rows(items, item_id, item_text).filter("n_words > 0")
+    rows = _item_rows(items, item_id, item_text).filter("n_words > 0").distinct()
+    rows = rewritten(rows, "items")  # every slice reads it
     total = rows.agg(F.coalesce(F.sum("n_words"), F.lit(0))).first()[0]
     slices = max(1, math.ceil(total / slice_words))
     out = docs.select(

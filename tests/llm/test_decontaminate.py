@@ -1,10 +1,15 @@
 import hashlib
+import random
+import time
+import tracemalloc
 
+import numpy as np
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from llm_cases import SCHEMA, clashing, frame, odd_rows, plain_words, prose
 
 from jobmill.llm import decontaminate as dec
+from jobmill.llm.spans import PLAIN_WORD, Block
 
 
 def brute(text, items):
@@ -75,3 +80,38 @@ def test_empty_tables_and_clashing_columns(spark):
     wide = clashing(frame(spark, docs), "n_words", "hit_words", "item", "words")
     found = dec.contamination(wide, clashing(frame(spark, items, "item_id long, text string"), "words"), ["doc_id", "item"])
     assert found.filter("contaminated").count() == 5
+
+
+def test_repeated_words_cost_little():
+    data = np.frombuffer(b"same " * 20_000, np.uint8)
+    words = Block(data, np.array([0, len(data)]), 0).words(PLAIN_WORD)
+    hashes = words.hashes()
+    known = dec._slice([{"item": "i", "words": hashes.tobytes()}])
+    assert len(known.prints[10][0]) < 20
+    hit = np.zeros(len(hashes), bool)
+    tracemalloc.start()
+    begun = time.monotonic()
+    assert dec._extend(known, words, hashes, hit) == {(0, 0)}
+    assert hit.all()
+    assert time.monotonic() - begun < 10
+    assert tracemalloc.get_traced_memory()[1] < 500 << 20
+    tracemalloc.stop()
+
+
+def test_repeated_items_are_one(spark):
+    text = prose("hot item", 14)
+    items = [(1, text)] * 2000 + [(2, text)]
+    check(spark, [(1, "before " + text + " behind", "aa", "s", 0), (2, "none of it", "aa", "s", 0)], items)
+
+
+def test_repeating_texts_against_brute_force(spark):
+    draw = random.Random(3)
+
+    def some(most, tail):
+        words = [draw.choice("ab") for _ in range(draw.randint(1, most))] + ["a"] * draw.choice(tail)
+        return " ".join(words + [draw.choice("ab") for _ in range(draw.randint(0, 9))])
+
+    docs = [(i, some(60, [0, 15, 40]), "aa", "s", 0) for i in range(80)]
+    items = [(i, some(30, [0, 5, 20])) for i in range(15)]
+    check(spark, docs, items)
+    check(spark, docs, items, slice_words=60)
