@@ -1,19 +1,27 @@
 """Language-model scores: masked pseudo-likelihood of whole texts.
 
-A word's probability is that of its class given the classes of ``SIDE`` words on either
-side, times its share in the class. Words fall into ``WORD_BINS`` hashed bins; the
-``TOP`` most frequent bins are classes of their own, the others share ``RARE`` classes.
-Bin counts come from all documents.
-
-The class is predicted by a small network: embeddings of the neighbours side by side, a
-tanh layer, a softmax. It is trained in numpy inside the tasks on all documents: each
-round, every task starts from the common weights and learns from its own partition block
-by block, and the weights of all tasks are averaged by the words they saw. One set of
-weights per task, of fixed size, reaches the driver, with the bin counts.
+Every word is predicted from ``SIDE`` words on either side. Words fall into ``WORD_BINS``
+hashed bins, whose counts come from all documents. The bins are the leaves of a binary tree
+built from the counts (the two lightest nodes are joined until one is left), and a word's
+probability is the product of the decisions on the way from the root to its leaf, so
+probabilities add up to 1 over all bins without a sum over the vocabulary. A decision is a
+logistic unit over the hidden layer of a small network: embeddings of the neighbours side
+by side and a tanh layer. It starts at the shares of the two branches in the counts.
+
+Nodes with fewer words below than ``LEAST``, or than one of ``SHARE`` words of the corpus,
+keep these shares whatever the context; bins as rare share ``SHARED`` embeddings, others have
+their own. Tree, decisions and embeddings so grow with the corpus.
+
+The network is trained in numpy inside the tasks, once over all documents: every task
+starts from the same weights and learns from its own partition block by block. Each row of
+weights is averaged over the tasks that met it, by how often they did, slice by slice in
+Spark; one set of weights reaches the driver. Weights, and so scores, depend a little on how
+the input is split into tasks.
 
 A text's score is the sum of the log-probabilities of all its words. Defined cases: a
 null text or one without words has no words and log-probability 0; equal texts score
-alike; if no document has words the network stays as it began.
+alike; if no document has words the network stays as it began; bins that no document has
+share the place of one word.
 """
 
 from __future__ import annotations
@@ -28,21 +36,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from .labelled import bucket
-from .spans import PLAIN_WORD, Block, fold_texts, map_texts
+from .spans import PLAIN_WORD, Block, fold_texts, map_texts, ranges
 
 WORD_BINS = 1 << 20
 SLICES = 256
-TOP = 96
-RARE = 32
-CLASSES = TOP + RARE
 SIDE = 2
-EMBED = 16
-HIDDEN = 32
-ROUNDS = 2
+WIDTH = 16
+LEAST = 4
+SHARE = 1 << 16
+SHARED = 256
 BATCH = 2048
-RATE = 0.05
-
-_EDGE = CLASSES  # what stands beyond either end of a text
+RATE = 0.1
+#: Rows of weights that travel together.
+ROWS = 2048
 
 
 def _bins(block: Block) -> tuple[np.ndarray, np.ndarray]:
@@ -96,136 +102,226 @@ def count_bins(docs: DataFrame, text: str) -> np.ndarray:
     return total
 
 
+def _joined(weights: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Tree over leaves of ascending weights: weight, parent and side of every node, root last."""
+    leaves = len(weights)
+    total = weights.tolist() + [0] * (leaves - 1)
+    parent, side = [0] * len(total), [0] * len(total)
+    leaf, inner = 0, leaves
+    for new in range(leaves, len(total)):
+        for which in (0, 1):
+            if leaf < leaves and (inner == new or total[leaf] <= total[inner]):
+                child, leaf = leaf, leaf + 1
+            else:
+                child, inner = inner, inner + 1
+            parent[child], side[child] = new, which
+            total[new] += total[child]
+    parent[-1] = len(total) - 1
+    return np.array(total, np.int64), np.array(parent, np.int64), np.array(side, np.int8)
+
+
 @dataclass
 class Vocabulary:
-    """Class of each bin, and the log of the bin's share in its class."""
+    """Where each bin hangs in the tree, and the embedding it has as a neighbour."""
 
-    kind: np.ndarray
-    share: np.ndarray
+    group: np.ndarray  # by bin: the branch below the last decision that sees the context
+    share: np.ndarray  # by bin: log of its share in that branch
+    own: np.ndarray  # by bin: row of its embedding; row 0 is beyond either end of a text
+    embeddings: int
+    first: np.ndarray  # by group: where its decisions begin
+    node: np.ndarray
+    side: np.ndarray
+    odds: np.ndarray  # by node: log odds of side 1
 
     @classmethod
     def of(cls, counts: np.ndarray) -> Vocabulary:
-        kind = TOP + np.arange(WORD_BINS) % RARE
-        frequent = np.argsort(-counts, kind="stable")[:TOP]
-        kind[frequent] = np.arange(TOP)
-        sizes = np.bincount(kind, counts + 1, CLASSES)
-        share = np.log((counts + 1) / sizes[kind])
-        return cls(kind.astype(np.uint8), share.astype(np.float32))
+        seen = np.flatnonzero(counts)
+        seen = seen[np.argsort(counts[seen], kind="stable")]
+        unseen = WORD_BINS - len(seen)
+        leaves = np.concatenate([np.ones(min(unseen, 1), np.int64), counts[seen]])
+        weight, parent, side = _joined(leaves)
+        nodes = np.arange(len(weight))
+        least = max(LEAST, int(counts.sum()) // SHARE)
+        decides = (nodes >= len(leaves)) & ((weight >= least) | (nodes == len(weight) - 1))
+        top = np.where(decides[parent], nodes, parent)
+        while not np.array_equal(top, top[top]):
+            top = top[top]
+        roots, group = np.unique(top[: len(leaves)], return_inverse=True)
+        share = np.log(leaves / weight[top[: len(leaves)]])
+        number = np.cumsum(decides) - 1
+        at, line, met, sides = roots, np.arange(len(roots)), [], []
+        while len(at):
+            inside = parent[at] != at
+            at, line = at[inside], line[inside]
+            met.append(np.stack([line, number[parent[at]]]))
+            sides.append(side[at])
+            at = parent[at]
+        lines, node = np.concatenate(met, axis=1)
+        order = np.argsort(lines, kind="stable")
+        first = np.concatenate([[0], np.cumsum(np.bincount(lines, minlength=len(roots)))])
+        right = np.bincount(parent[side == 1], weight[side == 1], len(weight))[decides]
+        odds = np.log(right / np.maximum(weight[decides] - right, 1))
+        groups, shares = np.zeros(WORD_BINS, np.int32), np.zeros(WORD_BINS, np.float32)
+        groups[:], shares[:] = group.ravel()[0], share[0] - np.log(max(unseen, 1))
+        groups[seen], shares[seen] = group.ravel()[min(unseen, 1) :], share[min(unseen, 1) :]
+        own = 1 + np.arange(WORD_BINS, dtype=np.int32) % SHARED
+        often = np.flatnonzero(counts >= least)
+        own[often] = 1 + SHARED + np.arange(len(often))
+        return cls(
+            groups, shares, own, 1 + SHARED + len(often), first.astype(np.int64),
+            node[order].astype(np.int32), np.concatenate(sides)[order].astype(np.float32),
+            odds.astype(np.float32),
+        )
 
 
 class Network:
-    """Embeddings of the neighbours, a tanh layer and a softmax over the classes."""
+    """Rows of ``WIDTH`` weights: embeddings, then the tanh layer, then the decisions.
+
+    The last hidden unit is always 1, so the last weight of a decision is its level.
+    """
 
-    def __init__(self, parts: list[np.ndarray] | None = None) -> None:
-        if parts is None:
+    def __init__(self, known: Vocabulary, rows: np.ndarray | None = None) -> None:
+        self.known = known
+        self.inner = known.embeddings
+        self.nodes = self.inner + 2 * SIDE * WIDTH + 1
+        if rows is None:
             draw = np.random.default_rng(7)
-            normal = lambda *shape, by: (draw.standard_normal(shape) * by).astype(np.float32)
-            parts = [
-                normal(CLASSES + 1, EMBED, by=0.3),
-                normal(2 * SIDE * EMBED, HIDDEN, by=0.15),
-                np.zeros(HIDDEN, np.float32),
-                normal(HIDDEN, CLASSES, by=0.1),
-                np.zeros(CLASSES, np.float32),
-            ]
-        self.parts = parts
-        self.squares = [np.full_like(p, 1e-6) for p in parts]
-
-    @staticmethod
-    def neighbours(kinds: np.ndarray, first: np.ndarray) -> np.ndarray:
-        """A row per word: the classes around it, ``_EDGE`` beyond its text."""
+            rows = np.zeros((self.nodes + len(known.odds), WIDTH), np.float32)
+            rows[: self.inner] = draw.standard_normal((self.inner, WIDTH)) * 0.3
+            rows[self.inner : self.nodes - 1] = draw.standard_normal((2 * SIDE * WIDTH, WIDTH)) * 0.25
+            rows[self.nodes :, -1] = known.odds
+        self.rows = rows
+
+    def neighbours(self, bins: np.ndarray, first: np.ndarray) -> np.ndarray:
+        """A row per word: the embeddings of the words around it, 0 beyond its text."""
         counts = np.diff(first)
         low, high = np.repeat(first[:-1], counts), np.repeat(first[1:], counts)
-        at = np.arange(len(kinds))
+        at, own = np.arange(len(bins)), self.known.own[bins]
         columns = []
         for step in (*range(-SIDE, 0), *range(1, SIDE + 1)):
             place = at + step
             inside = (place >= low) & (place < high)
-            columns.append(np.where(inside, kinds[np.clip(place, 0, max(len(kinds) - 1, 0))], _EDGE))
+            columns.append(np.where(inside, own[np.clip(place, 0, max(len(bins) - 1, 0))], 0))
         return np.stack(columns, axis=1)
 
-    def _forward(self, around: np.ndarray):
-        embed, inner, bias, outer, level = self.parts
-        joined = embed[around].reshape(len(around), -1)
-        hidden = np.tanh(joined @ inner + bias)
-        raw = hidden @ outer + level
-        raw -= raw.max(axis=1, keepdims=True)
-        return joined, hidden, raw
-
-    def log_probability(self, around: np.ndarray, kinds: np.ndarray) -> np.ndarray:
-        _, _, raw = self._forward(around)
-        own = raw[np.arange(len(kinds)), kinds]
-        return own - np.log(np.exp(raw, out=raw).sum(axis=1))
-
-    def learn(self, around: np.ndarray, kinds: np.ndarray) -> None:
-        """One step with per-weight rates on a batch."""
-        embed, inner, bias, outer, level = self.parts
-        joined, hidden, raw = self._forward(around)
-        p = np.exp(raw)
-        p /= p.sum(axis=1, keepdims=True)
-        p[np.arange(len(kinds)), kinds] -= 1
-        p /= len(kinds)
-        back = (p @ outer.T) * (1 - hidden * hidden)
-        into = (back @ inner.T).reshape(-1, EMBED)
-        flat = around.ravel()
-        spread = np.stack(
-            [np.bincount(flat, into[:, j], CLASSES + 1) for j in range(EMBED)], axis=1
-        )
-        for part, square, slope in zip(
-            self.parts,
-            self.squares,
-            (spread, joined.T @ back, back.sum(axis=0), hidden.T @ p, p.sum(axis=0)),
-            strict=True,
-        ):
-            square += slope * slope
-            part -= (RATE * slope / np.sqrt(square)).astype(np.float32)
+    def hidden(self, around: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        joined = self.rows[around].reshape(len(around), -1)
+        out = np.tanh(joined @ self.rows[self.inner : self.nodes - 1] + self.rows[self.nodes - 1])
+        out[:, -1] = 1
+        return joined, out
+
+    def decisions(self, hidden: np.ndarray, groups: np.ndarray):
+        """Of all words one after another: word, row of the decision, side, log odds of side 1."""
+        counts = self.known.first[groups + 1] - self.known.first[groups]
+        entry = ranges(self.known.first[groups], counts)
+        word = np.repeat(np.arange(len(groups)), counts)
+        row = self.nodes + self.known.node[entry]
+        odds = np.einsum("ij,ij->i", self.rows[row], hidden[word])
+        return counts, word, row, self.known.side[entry], odds
+
+    def log_probability(self, around: np.ndarray, bins: np.ndarray) -> np.ndarray:
+        _, hidden = self.hidden(around)
+        _, word, _, side, odds = self.decisions(hidden, self.known.group[bins])
+        wrong = np.where(side == 1, -odds, odds)
+        lost = np.maximum(wrong, 0) + np.log1p(np.exp(-np.abs(wrong)))
+        return self.known.share[bins] - np.bincount(word, lost, len(bins))
+
+
+class Learner:
+    """Steps with per-weight rates, and how often each row was met."""
+
+    def __init__(self, network: Network) -> None:
+        self.network = network
+        self.squares = np.full_like(network.rows, 1e-6)
+        self.met = np.zeros(len(network.rows), np.float64)
+
+    def _step(self, rows: np.ndarray, slope: np.ndarray) -> None:
+        self.squares[rows] += slope * slope
+        self.network.rows[rows] -= RATE * slope / np.sqrt(self.squares[rows])
+
+    def _scatter(self, rows: np.ndarray, slope: np.ndarray) -> None:
+        """A step for each different row, along the sum of its slopes."""
+        order = np.argsort(rows, kind="stable")
+        ordered = rows[order]
+        begin = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
+        self.met[ordered[begin]] += np.diff(np.append(begin, len(ordered)))
+        self._step(ordered[begin], np.add.reduceat(slope[order], begin, axis=0))
+
+    def learn(self, around: np.ndarray, bins: np.ndarray) -> None:
+        net = self.network
+        joined, hidden = net.hidden(around)
+        counts, word, row, side, odds = net.decisions(hidden, net.known.group[bins])
+        if not len(word):
+            return
+        error = 1 / (1 + np.exp(-np.clip(odds, -30, 30))) - side
+        back = np.zeros_like(hidden)
+        some = counts > 0
+        begin = (np.cumsum(counts) - counts)[some]
+        back[some] = np.add.reduceat(error[:, None] * net.rows[row], begin, axis=0)
+        back *= 1 - hidden * hidden
+        inner = net.rows[net.inner : net.nodes - 1]
+        into = (back @ inner.T).reshape(-1, WIDTH)
+        self._scatter(row, error[:, None] * hidden[word])
+        layer = np.concatenate([joined.T @ back, back.sum(axis=0, keepdims=True)])
+        self.met[net.inner : net.nodes] += len(bins)
+        self._step(np.arange(net.inner, net.nodes), layer)
+        self._scatter(around.ravel(), into)
 
 
 def train(docs: DataFrame, vocabulary: Vocabulary, text: str = "text") -> Network:
-    """Rounds of training inside the tasks and averaging of their weights."""
+    """One pass of training inside the tasks; rows averaged by how often tasks met them."""
     spark = docs.sparkSession
-    network = Network()
-    shapes = [p.shape for p in network.parts]
-    sizes = np.cumsum([p.size for p in network.parts])[:-1]
     known = spark.sparkContext.broadcast(vocabulary)
-    for _ in range(ROUNDS):
-        begun = spark.sparkContext.broadcast(network.parts)
-
-        def worker(begun=begun):
-            own = Network([p.copy() for p in begun.value])
-            seen = np.zeros(1, np.int64)
-
-            def take(block: Block, batch: pa.RecordBatch) -> None:
-                bins, first = _bins(block)
-                kinds = known.value.kind[bins].astype(np.int64)
-                around = Network.neighbours(kinds, first)
-                order = np.random.default_rng(len(kinds)).permutation(len(kinds))
-                for lo in range(0, len(order), BATCH):
-                    some = order[lo : lo + BATCH]
-                    own.learn(around[some], kinds[some])
-                seen[0] += len(kinds)
-
-            def give() -> Iterator[pa.RecordBatch]:
-                if seen[0]:
-                    packed = np.concatenate([p.ravel() for p in own.parts]).astype(np.float32)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(seen), pa.array([packed.tobytes()], pa.binary())], ["words", "weights"]
-                    )
-
-            return take, give
-
-        rows = fold_texts(docs, [text], "words long, weights binary", worker).collect()
-        rows.sort(key=lambda r: (r["words"], bytes(r["weights"])))
-        begun.unpersist()
-        if not rows:
-            break
-        total = sum(r["words"] for r in rows)
-        mean = sum(np.frombuffer(bytes(r["weights"]), np.float32) * np.float64(r["words"] / total) for r in rows)
-        parts = np.split(mean.astype(np.float32), sizes)
-        network = Network([p.reshape(s) for p, s in zip(parts, shapes, strict=True)])
+
+    def worker():
+        own = Learner(Network(known.value))
+
+        def take(block: Block, batch: pa.RecordBatch) -> None:
+            bins, first = _bins(block)
+            around = own.network.neighbours(bins, first)
+            order = np.random.default_rng(len(bins)).permutation(len(bins))
+            for lo in range(0, len(order), BATCH):
+                some = order[lo : lo + BATCH]
+                own.learn(around[some], bins[some])
+
+        def give() -> Iterator[pa.RecordBatch]:
+            for number in range(0, len(own.met), ROWS):
+                met = own.met[number : number + ROWS]
+                if met.any():
+                    sums = (own.network.rows[number : number + ROWS] * met[:, None]).astype(np.float64)
+                    yield _packed(number // ROWS, met, sums)
+
+        return take, give
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: dict[int, list[np.ndarray]] = {}
+        for batch in batches:
+            for number, *packed in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                arrays = [np.frombuffer(x, np.float64) for x in packed]
+                old = found.get(number)
+                found[number] = arrays if old is None else [a + b for a, b in zip(old, arrays, strict=True)]
+        for number, (met, sums) in sorted(found.items()):
+            yield _packed(number, met, sums)
+
+    schema = "slice int, met binary, sums binary"
+    parts = fold_texts(docs, [text], schema, worker).repartition("slice").mapInArrow(add, schema)
+    network = Network(vocabulary)
+    for r in parts.collect():  # one row per slice of the weights
+        met = np.frombuffer(bytes(r["met"]), np.float64)
+        sums = np.frombuffer(bytes(r["sums"]), np.float64).reshape(len(met), WIDTH)
+        at = r["slice"] * ROWS + np.flatnonzero(met)
+        network.rows[at] = sums[met > 0] / met[met > 0, None]
     known.unpersist()
     return network
 
 
+def _packed(number: int, met: np.ndarray, sums: np.ndarray) -> pa.RecordBatch:
+    columns = [pa.array([number], pa.int32()), pa.array([met.tobytes()], pa.binary())]
+    return pa.RecordBatch.from_arrays(
+        [*columns, pa.array([sums.tobytes()], pa.binary())], ["slice", "met", "sums"]
+    )
+
+
 FIELDS = T.StructType(
     [
         T.StructField("n_words", T.LongType()),
@@ -237,20 +333,18 @@ FIELDS = T.StructType(
 
 def score(docs: DataFrame, vocabulary: Vocabulary, network: Network, keep: list[str], text: str = "text") -> DataFrame:
     """Columns ``keep``, ``n_words``, ``log_prob`` and its mean per word (0 without words)."""
-    shared = docs.sparkSession.sparkContext.broadcast((vocabulary, network.parts))
+    shared = docs.sparkSession.sparkContext.broadcast((vocabulary, network.rows))
 
     def worker():
-        known, parts = shared.value
-        own = Network(parts)
+        own = Network(*shared.value)
 
         def work(block: Block) -> list[np.ndarray]:
             bins, first = _bins(block)
-            kinds = known.kind[bins].astype(np.int64)
-            around = Network.neighbours(kinds, first)
-            found = known.share[bins].astype(np.float64)
-            for lo in range(0, len(kinds), 8192):
-                some = slice(lo, lo + 8192)
-                found[some] += own.log_probability(around[some], kinds[some])
+            around = own.neighbours(bins, first)
+            found = np.zeros(len(bins))
+            for lo in range(0, len(bins), BATCH):
+                some = slice(lo, lo + BATCH)
+                found[some] = own.log_probability(around[some], bins[some])
             sums = np.zeros(block.rows)
             counts = np.diff(first)
             filled = counts > 0

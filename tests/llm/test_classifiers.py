@@ -1,3 +1,4 @@
+import math
 import random
 
 import numpy as np
@@ -5,7 +6,7 @@ from llm_cases import SCHEMA, SPACED, clashing, frame, odd_rows, prose
 from pyspark.sql import functions as F
 
 from jobmill.llm import lm, quality, toxicity
-from jobmill.llm.spans import held_out
+from jobmill.llm.spans import Block, held_out
 
 LABELS = "doc_id long, quality int, toxic int"
 
@@ -106,7 +107,7 @@ def test_lm_prefers_the_order_it_learned(spark):
     probe = frame(spark, [(1, rows[7][1], "", "", 0), (2, " ".join(mixed), "", "", 0)])
     network = lm.train(docs, vocabulary)
     got = {r["doc_id"]: r for r in lm.score(probe, vocabulary, network, ["doc_id"]).collect()}
-    fresh = {r["doc_id"]: r for r in lm.score(probe, vocabulary, lm.Network(), ["doc_id"]).collect()}
+    fresh = {r["doc_id"]: r for r in lm.score(probe, vocabulary, lm.Network(vocabulary), ["doc_id"]).collect()}
     assert got[1]["mean_log_prob"] > got[2]["mean_log_prob"] + 0.3
     assert got[1]["mean_log_prob"] > fresh[1]["mean_log_prob"] + 0.5
 
@@ -119,12 +120,10 @@ def test_lm_sums_and_counts_against_brute_force(spark):
     texts = [r["text"] for r in docs.collect()]
     assert counts.sum() == sum(len(plain_words(t)) for t in texts)
     vocabulary = lm.Vocabulary.of(counts)
-    shares = np.bincount(vocabulary.kind, np.exp(vocabulary.share.astype(float)), lm.CLASSES)
-    assert np.allclose(shares, 1, atol=1e-3)
-    network = lm.Network()
-    raw = network._forward(np.array([[1, 2, 3, 4]]))[2][0]
-    every = np.array([network.log_probability(np.array([[1, 2, 3, 4]]), np.array([k]))[0] for k in range(lm.CLASSES)])
-    assert np.allclose(every, raw - np.log(np.exp(raw).sum()), atol=1e-4)
+    network = lm.train(docs, vocabulary)
+    around = np.array([[0, 300, 7, 0]])
+    every = network.log_probability(np.repeat(around, lm.WORD_BINS, axis=0), np.arange(lm.WORD_BINS))
+    assert abs(np.exp(every).sum() - 1) < 1e-3
     wide = clashing(docs, "n_words", "log_prob")
     for r in lm.score(wide, vocabulary, network, ["text"]).collect():
         assert r["n_words"] == len(plain_words(r["text"]))
@@ -132,15 +131,56 @@ def test_lm_sums_and_counts_against_brute_force(spark):
     assert lm.score(frame(spark, [], SCHEMA), vocabulary, network, ["doc_id"]).collect() == []
 
 
+def _plain_score(network, bins):
+    """Log-probability of a text's words, decision by decision."""
+    known, rows, total = network.known, network.rows.astype(float), 0.0
+    inner = rows[network.inner : network.nodes - 1]
+    for i, b in enumerate(bins):
+        near = [i + step for step in (-2, -1, 1, 2)]
+        joined = np.concatenate([rows[known.own[bins[j]] if 0 <= j < len(bins) else 0] for j in near])
+        hidden = np.tanh(joined @ inner + rows[network.nodes - 1])
+        hidden[-1] = 1
+        total += known.share[b]
+        for at in range(known.first[known.group[b]], known.first[known.group[b] + 1]):
+            odds = rows[network.nodes + known.node[at]] @ hidden
+            total -= math.log1p(math.exp(-odds if known.side[at] else odds))
+    return total
+
+
+def test_lm_scores_against_brute_force(spark):
+    docs = frame(spark, [(i, prose(f"b{i}", 3 + i), "aa", "s", 0) for i in range(40)])
+    vocabulary = lm.Vocabulary.of(lm.count_bins(docs, "text"))
+    network = lm.train(docs, vocabulary)
+    for r in lm.score(docs, vocabulary, network, ["text"]).collect():
+        data = r["text"].encode()
+        block = Block(np.frombuffer(data, np.uint8), np.array([0, len(data)]), 0)
+        assert abs(_plain_score(network, lm._bins(block)[0]) - r["log_prob"]) < 1e-3 * r["n_words"]
+
+
+def test_lm_tells_equally_frequent_words_apart(spark):
+    draw = random.Random(5)
+    rows = []
+    for i in range(6000):
+        words = [f"f{draw.randrange(8)}" for _ in range(20)]
+        pair = ("left", "upon") if i % 2 else ("right", "below")
+        rows.append((i, " ".join([*words[:10], *pair, *words[10:]]), "aa", "s", 0))
+    docs = frame(spark, rows).coalesce(2)
+    vocabulary = lm.Vocabulary.of(lm.count_bins(docs, "text"))
+    probe = frame(spark, [(1, "f1 f2 left upon f3 f4", "", "", 0), (2, "f1 f2 right upon f3 f4", "", "", 0)])
+    got = {r["doc_id"]: r["log_prob"] for r in lm.score(probe, vocabulary, lm.train(docs, vocabulary), ["doc_id"]).collect()}
+    assert got[1] > got[2] + 1
+
+
 def test_lm_training_without_rows(spark):
     docs = frame(spark, [], SCHEMA)
     vocabulary = lm.Vocabulary.of(lm.count_bins(docs, "text"))
-    assert len(lm.train(docs, vocabulary).parts) == 5
+    assert np.array_equal(lm.train(docs, vocabulary).rows, lm.Network(vocabulary).rows)
     assert F is not None
 
 
 def test_lm_learns_from_every_document(spark):
     for i in range(3):
         docs = frame(spark, [(i, f"one text {i} is all there is", "aa", "s", i)])
-        learned = lm.train(docs, lm.Vocabulary.of(lm.count_bins(docs, "text")))
-        assert not np.array_equal(learned.parts[4], lm.Network().parts[4])
+        vocabulary = lm.Vocabulary.of(lm.count_bins(docs, "text"))
+        learned = lm.train(docs, vocabulary)
+        assert not np.array_equal(learned.rows, lm.Network(vocabulary).rows)
