@@ -12,6 +12,10 @@ Nodes with fewer words below than ``LEAST``, or than one of ``SHARE`` words of t
 keep these shares whatever the context; bins as rare share ``SHARED`` embeddings, others have
 their own. Tree, decisions and embeddings so grow with the corpus.
 
+Decisions that at least one of ``OFTEN`` words meets lie together at the root. All words of a
+batch take them in one matrix product, with a table of turns (1, -1, or 0 off the path) by the
+place where a word's path leaves them; only what lies below is gathered word by word.
+
 The network is trained in numpy inside the tasks, once over all documents: every task
 starts from the same weights and learns from its own partition block by block. Each row of
 weights is averaged over the tasks that met it, by how often they did, slice by slice in
@@ -45,6 +49,7 @@ WIDTH = 16
 LEAST = 4
 SHARE = 1 << 16
 SHARED = 256
+OFTEN = 32
 BATCH = 2048
 RATE = 0.1
 #: Rows of weights that travel together.
@@ -120,6 +125,28 @@ def _joined(weights: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return np.array(total, np.int64), np.array(parent, np.int64), np.array(side, np.int8)
 
 
+def _turns(
+    first: np.ndarray, node: np.ndarray, side: np.ndarray, rare: int, nodes: int
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """By group: decisions among the first ``rare`` nodes, and where it leaves the others.
+
+    A path goes from its leaf to the root, so the others are its end, and the lowest of
+    them with its side tells them all.
+    """
+    line = np.repeat(np.arange(len(first) - 1), np.diff(first))
+    below = np.bincount(line[node < rare], minlength=len(first) - 1)
+    lowest = np.full(len(first) - 1, -1)
+    some = below < np.diff(first)
+    at = (first[:-1] + below)[some]
+    lowest[some] = 2 * node[at] + side[at]
+    _, sample, exits = np.unique(lowest, return_index=True, return_inverse=True)
+    turns = np.zeros((len(sample), nodes - rare), np.float32)
+    for number, group in enumerate(sample):  # at most two exits a node
+        path = slice(first[group] + below[group], first[group + 1])
+        turns[number, node[path] - rare] = 2.0 * side[path] - 1
+    return below, exits.ravel().astype(np.int32), turns
+
+
 @dataclass
 class Vocabulary:
     """Where each bin hangs in the tree, and the embedding it has as a neighbour."""
@@ -132,6 +159,9 @@ class Vocabulary:
     node: np.ndarray
     side: np.ndarray
     odds: np.ndarray  # by node: log odds of side 1
+    below: np.ndarray  # by group: how many of its decisions lie below the often met ones
+    exit: np.ndarray  # by group: where its path leaves the often met ones
+    turns: np.ndarray  # by exit and often met node, which are the last nodes
 
     @classmethod
     def of(cls, counts: np.ndarray) -> Vocabulary:
@@ -159,6 +189,9 @@ class Vocabulary:
         lines, node = np.concatenate(met, axis=1)
         order = np.argsort(lines, kind="stable")
         first = np.concatenate([[0], np.cumsum(np.bincount(lines, minlength=len(roots)))])
+        node, turn = node[order], np.concatenate(sides)[order]
+        rare = int(np.searchsorted(weight[decides], -(-int(weight[-1]) // OFTEN)))  # nodes ascend by weight
+        below, exits, turns = _turns(first, node, turn, rare, int(decides.sum()))
         right = np.bincount(parent[side == 1], weight[side == 1], len(weight))[decides]
         odds = np.log(right / np.maximum(weight[decides] - right, 1))
         groups, shares = np.zeros(WORD_BINS, np.int32), np.zeros(WORD_BINS, np.float32)
@@ -169,8 +202,7 @@ class Vocabulary:
         own[often] = 1 + SHARED + np.arange(len(often))
         return cls(
             groups, shares, own, 1 + SHARED + len(often), first.astype(np.int64),
-            node[order].astype(np.int32), np.concatenate(sides)[order].astype(np.float32),
-            odds.astype(np.float32),
+            node.astype(np.int32), turn.astype(np.float32), odds.astype(np.float32), below, exits, turns,
         )
 
 
@@ -210,21 +242,45 @@ class Network:
         out[:, -1] = 1
         return joined, out
 
-    def decisions(self, hidden: np.ndarray, groups: np.ndarray):
-        """Of all words one after another: word, row of the decision, side, log odds of side 1."""
-        counts = self.known.first[groups + 1] - self.known.first[groups]
-        entry = ranges(self.known.first[groups], counts)
-        word = np.repeat(np.arange(len(groups)), counts)
-        row = self.nodes + self.known.node[entry]
-        odds = np.einsum("ij,ij->i", self.rows[row], hidden[word])
-        return counts, word, row, self.known.side[entry], odds
+    def often(self, hidden: np.ndarray, groups: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Turns at the often met decisions, and the log odds of going there."""
+        turns = self.known.turns[self.known.exit[groups]]
+        return turns, turns * (hidden @ self.rows[len(self.rows) - turns.shape[1] :].T)
+
+    def seldom(self, hidden: np.ndarray, groups: np.ndarray):
+        """The decisions below, one of each word at a time: rows of the decisions, sides, weights, log odds.
+
+        The words come with the most such decisions first, so each step has a leading part of them.
+        """
+        begin, counts = self.known.first[groups], self.known.below[groups]
+        left = np.searchsorted(-counts, -np.arange(counts[0] if len(counts) else 0))
+        for step, words in enumerate(left):
+            entry = begin[:words] + step
+            row = self.nodes + self.known.node[entry]
+            weights = self.rows[row]
+            yield row, self.known.side[entry], weights, np.einsum("ij,ij->i", weights, hidden[:words])
+
+    def longest_first(self, bins: np.ndarray) -> np.ndarray:
+        """An order of words that ``seldom`` can take, words of one group side by side."""
+        groups = self.known.group[bins].astype(np.int64)
+        return np.argsort(groups - (self.known.below[groups] << 32), kind="stable")
 
     def log_probability(self, around: np.ndarray, bins: np.ndarray) -> np.ndarray:
-        _, hidden = self.hidden(around)
-        _, word, _, side, odds = self.decisions(hidden, self.known.group[bins])
-        wrong = np.where(side == 1, -odds, odds)
-        lost = np.maximum(wrong, 0) + np.log1p(np.exp(-np.abs(wrong)))
-        return self.known.share[bins] - np.bincount(word, lost, len(bins))
+        order = self.longest_first(bins)
+        _, hidden = self.hidden(around[order])
+        groups = self.known.group[bins[order]]
+        turns, right = self.often(hidden, groups)
+        lost = np.einsum("ij,ij->i", _lost(right), np.abs(turns))
+        for _, side, _, odds in self.seldom(hidden, groups):
+            lost[: len(odds)] += _lost(np.where(side == 1, odds, -odds))
+        found = np.empty(len(bins))
+        found[order] = self.known.share[bins[order]] - lost
+        return found
+
+
+def _lost(odds: np.ndarray) -> np.ndarray:
+    """Minus the log-probability of what has these log odds."""
+    return np.maximum(-odds, 0) + np.log(1 + np.exp(-np.abs(odds)))
 
 
 class Learner:
@@ -235,36 +291,45 @@ class Learner:
         self.squares = np.full_like(network.rows, 1e-6)
         self.met = np.zeros(len(network.rows), np.float64)
 
-    def _step(self, rows: np.ndarray, slope: np.ndarray) -> None:
+    def _step(self, rows: np.ndarray | slice, slope: np.ndarray) -> None:
         self.squares[rows] += slope * slope
         self.network.rows[rows] -= RATE * slope / np.sqrt(self.squares[rows])
 
     def _scatter(self, rows: np.ndarray, slope: np.ndarray) -> None:
         """A step for each different row, along the sum of its slopes."""
-        order = np.argsort(rows, kind="stable")
-        ordered = rows[order]
+        keys = np.sort(rows.astype(np.int64) << 32 | np.arange(len(rows)))
+        ordered = keys >> 32
         begin = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
         self.met[ordered[begin]] += np.diff(np.append(begin, len(ordered)))
-        self._step(ordered[begin], np.add.reduceat(slope[order], begin, axis=0))
+        self._step(ordered[begin], np.add.reduceat(slope[keys & 0xFFFFFFFF], begin, axis=0))
 
     def learn(self, around: np.ndarray, bins: np.ndarray) -> None:
         net = self.network
-        joined, hidden = net.hidden(around)
-        counts, word, row, side, odds = net.decisions(hidden, net.known.group[bins])
-        if not len(word):
+        if not len(net.known.odds):
             return
-        error = 1 / (1 + np.exp(-np.clip(odds, -30, 30))) - side
-        back = np.zeros_like(hidden)
-        some = counts > 0
-        begin = (np.cumsum(counts) - counts)[some]
-        back[some] = np.add.reduceat(error[:, None] * net.rows[row], begin, axis=0)
+        order = net.longest_first(bins)
+        around, groups = around[order], net.known.group[bins[order]]
+        joined, hidden = net.hidden(around)
+        turns, right = net.often(hidden, groups)
+        top = slice(len(net.rows) - turns.shape[1], len(net.rows))
+        errors = -turns / (1 + np.exp(np.minimum(right, 30)))
+        back = errors @ net.rows[top]
+        rows, slopes = [], []
+        for row, side, weights, odds in net.seldom(hidden, groups):
+            error = (1 / (1 + np.exp(-np.maximum(odds, -30))) - side)[:, None]
+            back[: len(row)] += error * weights
+            rows.append(row)
+            slopes.append(error * hidden[: len(row)])
+        self.met[top] += np.bincount(net.known.exit[groups], minlength=len(net.known.turns)) @ np.abs(net.known.turns)
         back *= 1 - hidden * hidden
         inner = net.rows[net.inner : net.nodes - 1]
         into = (back @ inner.T).reshape(-1, WIDTH)
-        self._scatter(row, error[:, None] * hidden[word])
+        if rows:
+            self._scatter(np.concatenate(rows), np.concatenate(slopes))
+        self._step(top, errors.T @ hidden)
         layer = np.concatenate([joined.T @ back, back.sum(axis=0, keepdims=True)])
         self.met[net.inner : net.nodes] += len(bins)
-        self._step(np.arange(net.inner, net.nodes), layer)
+        self._step(slice(net.inner, net.nodes), layer)
         self._scatter(around.ravel(), into)
 
 
@@ -342,8 +407,9 @@ def score(docs: DataFrame, vocabulary: Vocabulary, network: Network, keep: list[
             bins, first = _bins(block)
             around = own.neighbours(bins, first)
             found = np.zeros(len(bins))
+            order = own.longest_first(bins)
             for lo in range(0, len(bins), BATCH):
-                some = slice(lo, lo + BATCH)
+                some = order[lo : lo + BATCH]
                 found[some] = own.log_probability(around[some], bins[some])
             sums = np.zeros(block.rows)
             counts = np.diff(first)
