@@ -107,28 +107,39 @@ def explain_experience(title: Column, content: Column | None = None) -> Column:
     )
 
 
-def classify_experience(title: Column, content: Column | None = None) -> Column:
-    """``internship``, ``new_grad``, ``entry_level``, or null for senior postings.
+def says_rescue(content: Column) -> Column:
+    """Whether a text says that an excluded title is open to beginners after all."""
+    return has_word(F.lower(_text(content)), levels.RESCUE)
 
-    The entry-level pack is not tested: its outcome equals the default.
-    """
-    lower = F.lower(_text(title))
-    padded = F.concat(F.lit(" "), lower, F.lit(" "))
-    text = F.lower(_text(content)) if content is not None else None
 
-    def in_text(words: list[str]) -> Column:
-        return F.lit(False) if text is None else has_word(text, words)
+def says_new_grad(content: Column) -> Column:
+    """Whether a text asks for new graduates."""
+    return has_word(F.lower(_text(content)), levels.NEW_GRAD_TEXT)
+
 
-    rescued = F.when(in_text(levels.RESCUE), F.lit("entry_level"))
+def level_of(title: Column, rescued: Column, new_grad: Column) -> Column:
+    """Level of a title, given what its text says; several titles can share one text."""
+    lower = F.lower(_text(title))
+    padded = F.concat(F.lit(" "), lower, F.lit(" "))
     return (
-        F.when(has_word(padded, levels.EXCLUSION), rescued)
+        F.when(has_word(padded, levels.EXCLUSION), F.when(rescued, F.lit("entry_level")))
         .when(has_word(lower, levels.INTERNSHIP), "internship")
         .when(has_word(padded, levels.NEW_GRAD), "new_grad")
-        .when(in_text(levels.NEW_GRAD_TEXT), "new_grad")
+        .when(new_grad, "new_grad")
         .otherwise("entry_level")
     )
 
 
+def classify_experience(title: Column, content: Column | None = None) -> Column:
+    """``internship``, ``new_grad``, ``entry_level``, or null for senior postings.
+
+    The entry-level pack is not tested: its outcome equals the default.
+    """
+    if content is None:
+        return level_of(title, F.lit(False), F.lit(False))
+    return level_of(title, says_rescue(content), says_new_grad(content))
+
+
 def passes_early_career(title: Column, content: Column) -> Column:
     """No senior word in the title and no years asked for, unless a junior word is there."""
     title, content = _text(title), _text(content)

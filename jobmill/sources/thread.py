@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.classify import classify_experience, has_tech_signal
+from ..functions.classify import has_tech_signal, level_of, says_new_grad, says_rescue
 from ..functions.location import is_non_us
 from ..functions.regex import ecma, has_pattern, let, replace
 from ..functions.text import extract_all_urls, js_trim, squash_ws, strip_html
@@ -109,18 +109,26 @@ def comment_thread(payloads: DataFrame) -> DataFrame:
         F.transform(F.array_compact(F.concat(later, announced)), clean_candidate),
         lambda t: (t != "") & has_tech_signal(t) & ~_website(t) & ~_employment(t),
     )
-    early = F.when(has_pattern(F.col("description"), [EARLY_CAREER]), "entry_level")
+    early = F.when(F.col("_early"), "entry_level")
     rated = F.filter(
         F.transform(
             F.col("titles"),
             lambda t: F.struct(
                 t.alias("title"),
-                F.coalesce(classify_experience(t, F.col("description")), early).alias("level"),
+                F.coalesce(level_of(t, F.col("_rescued"), F.col("_new_grad")), early).alias("level"),
             ),
         ),
         lambda r: r["level"].isNotNull(),
     )
-    rows = rows.withColumn("company", company).filter("company <> ''").withColumn("titles", titles)
+    rows = rows.transform(settle, {"company": company, "titles": titles})
+    rows = rows.filter((F.col("company") != "") & (F.size("titles") > 0))
+    rows = rows.transform(settle,  # once per comment, whatever the number of its titles
+        {
+            "_rescued": says_rescue(F.col("description")),
+            "_new_grad": says_new_grad(F.col("description")),
+            "_early": has_pattern(F.col("description"), [EARLY_CAREER]),
+        }
+    )
     rows = rows.withColumn("_best", F.try_element_at(rated, F.lit(1))).filter("_best IS NOT NULL")
     rows = rows.transform(settle, 
         {"title": F.col("_best.title"), "experience_level": F.col("_best.level")}
