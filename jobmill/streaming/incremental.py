@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -20,6 +22,7 @@ Adapter = Callable[[DataFrame], DataFrame]
 #: content type of the row that a run lands last, after all its payloads
 RUN_END = "run/end"
 BUCKETS = 64
+ARRIVALS = "run_id string, file string, batch bigint, landed timestamp, payloads bigint, ends boolean"
 MANIFEST = "version bigint, run_id string, bucket int, held_by bigint"
 
 
@@ -112,22 +115,35 @@ def incremental_merge(
     closing rows landed, by the time of the file, which is also the order of micro-batches.
     Closing rows of one file go by the numbers in their ids.
 
+    Each micro-batch notes which files hold rows of which run (``arrivals`` in the store, a
+    folder per run), and a finished run reads these files only, however much has landed. A
+    payload that comes in a later micro-batch than its closing row is not merged:
+    ``late_payloads`` names it, and it can be landed again under a new run. A run without a
+    closing row is never merged; ``open_runs`` names it.
+
     Old versions of a bucket stay readable until they are removed from outside.
     """
     payloads = (
         spark.readStream.schema(RAW_PAYLOAD)
         .option("maxFilesPerTrigger", files_per_batch)
         .parquet(landing)
-        .select("*", F.col("_metadata.file_modification_time").alias("_landed"))
+        .select(
+            "run_id",
+            (F.col("content_type") == RUN_END).alias("end"),
+            F.col("_metadata.file_path").alias("file"),
+            F.col("_metadata.file_modification_time").alias("landed"),
+        )
     )
 
     def merge(batch: DataFrame, number: int) -> None:
         session = batch.sparkSession
-        ended = batch.filter(F.col("content_type") == RUN_END)
-        ended = ended.groupBy("run_id").agg(F.min("_landed").alias("landed"))
+        arrived = durable(_arrived(batch, number))
+        # A batch that is done again notes the same rows again, which changes nothing.
+        by_run = arrived.withColumn("run", F.sha1("run_id")).repartition("run")
+        by_run.write.mode("append").partitionBy("run").parquet(f"{store}/arrivals")
+        ended = arrived.filter("ends").groupBy("run_id").agg(F.min("landed").alias("landed"))
         for row in ended.orderBy("landed", run_order(F.col("run_id")), "run_id").collect():
-            landed = session.read.schema(RAW_PAYLOAD).parquet(landing)
-            whole = landed.filter((F.col("run_id") == row["run_id"]) & (F.col("content_type") != RUN_END))
+            whole = run_payloads(session, store, row["run_id"])
             merge_run(session, store, row["run_id"], adapter(whole), scraped_at, buckets)
 
     return (
@@ -138,6 +154,51 @@ def incremental_merge(
     )
 
 
+def _arrived(batch: DataFrame, number: int) -> DataFrame:
+    """Which files of a micro-batch hold rows of which run; rows without a run are left out."""
+    end = F.coalesce("end", F.lit(False))
+    found = batch.filter("run_id IS NOT NULL").groupBy("run_id", "file").agg(
+        F.min("landed").alias("landed"), F.count_if(~end).alias("payloads"), F.bool_or(end).alias("ends")
+    )
+    return found.select("run_id", "file", F.lit(number).cast("bigint").alias("batch"), "landed", "payloads", "ends")
+
+
+def run_payloads(spark: SparkSession, store: str, run_id: str) -> DataFrame:
+    """The payloads of one run, from the files that hold any."""
+    folder = hashlib.sha1(run_id.encode()).hexdigest()
+    noted = spark.read.schema(ARRIVALS).parquet(f"{store}/arrivals/run={folder}")
+    files = noted.filter("payloads > 0").select("file").distinct().collect()
+    if not files:
+        return spark.createDataFrame([], RAW_PAYLOAD)
+    # Spark names files as URLs, and takes plain paths.
+    rows = spark.read.schema(RAW_PAYLOAD).parquet(*[unquote(r["file"]) for r in files])
+    end = F.coalesce(F.col("content_type") == RUN_END, F.lit(False))
+    return rows.filter((F.col("run_id") == run_id) & ~end)
+
+
+def _noted(spark: SparkSession, store: str) -> DataFrame:
+    return spark.read.schema(f"{ARRIVALS}, run string").parquet(f"{store}/arrivals").drop("run").distinct()
+
+
+def late_payloads(spark: SparkSession, store: str) -> DataFrame:
+    """run_id, file, payloads: what came in a later micro-batch than its run's closing row."""
+    noted = _noted(spark, store)
+    closed = noted.filter("ends").groupBy("run_id").agg(F.min("batch").alias("closed"))
+    late = noted.filter("payloads > 0").join(closed, "run_id").filter("batch > closed")
+    return late.select("run_id", "file", "payloads")
+
+
+def open_runs(spark: SparkSession, store: str) -> DataFrame:
+    """run_id, files, payloads, newest: runs whose closing row has not landed."""
+    runs = _noted(spark, store).groupBy("run_id").agg(
+        F.count_if(F.col("payloads") > 0).alias("files"),
+        F.sum("payloads").alias("payloads"),
+        F.max("landed").alias("newest"),
+        F.bool_or("ends").alias("ended"),
+    )
+    return runs.filter("NOT ended").drop("ended")
+
+
 def run_end(spark: SparkSession, run_id: str) -> DataFrame:
     """The row that closes a run."""
     return spark.createDataFrame([(None, run_id, 0, None, None, RUN_END, None)], RAW_PAYLOAD)

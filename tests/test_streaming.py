@@ -103,6 +103,46 @@ def test_runs_are_merged_in_the_order_they_end(spark, tmp_path, runs, files):
     assert shown(inc.read_snapshot(spark, f"{tmp_path}/store")) == shown(expected)
 
 
+def _stream(spark, tmp_path, adapt=adapter):
+    inc.incremental_merge(
+        spark, f"{tmp_path}/landing of runs", f"{tmp_path}/store", adapt, f"{tmp_path}/check", NOW, buckets=4
+    ).awaitTermination()
+
+
+def _append(tmp_path, rows):
+    rows.coalesce(1).write.mode("append").parquet(f"{tmp_path}/landing of runs")
+
+
+def test_a_run_reads_its_own_files_and_late_payloads_are_named(spark, tmp_path):
+    read = []
+
+    def adapt(payloads):
+        read.append(len(payloads.inputFiles()))
+        return adapter(payloads)
+
+    for i in range(10, 13):  # a run that stays open; postings are told apart by title
+        _append(tmp_path, frame(spark, "open", "pittcsc", [entry(i, f"https://o/{i}")], i))
+    _append(tmp_path, frame(spark, "r1", "pittcsc", [entry(1, "https://a/1")], 0))
+    _append(tmp_path, frame(spark, "r1", "pittcsc", [entry(2, "https://a/2")], 1))
+    _append(tmp_path, inc.run_end(spark, "r1"))
+    _append(tmp_path, inc.run_end(spark, "r0"))  # a run without payloads
+    _stream(spark, tmp_path, adapt)
+    store = f"{tmp_path}/store"
+    assert sorted(read) == [0, 2]
+    assert inc.late_payloads(spark, store).count() == 0
+    assert [tuple(r)[:3] for r in inc.open_runs(spark, store).collect()] == [("open", 3, 3)]
+    before = shown(inc.read_snapshot(spark, store))
+    assert len(before) == 2
+    _append(tmp_path, frame(spark, "r1", "pittcsc", [entry(3, "https://a/3")], 2))  # after its closing row
+    _append(tmp_path, inc.run_end(spark, "open"))
+    _stream(spark, tmp_path, adapt)
+    assert sorted(read) == [0, 2, 3]
+    assert [(r["run_id"], r["payloads"]) for r in inc.late_payloads(spark, store).collect()] == [("r1", 1)]
+    assert inc.open_runs(spark, store).count() == 0
+    after = shown(inc.read_snapshot(spark, store))
+    assert len(after) == 5 and {r[0] for r in before} < {r[0] for r in after}
+
+
 def test_newest_payload_takes_numbers_and_landed_times(spark):
     both = frame(spark, "run9", "a", [], 7).unionByName(frame(spark, "run10", "a", [], 0))
     assert [r["run_id"] for r in newest_payload(both).collect()] == ["run10"]
