@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.location import us_like
+from ..functions.regex import let
 from ..functions.text import squash_ws
 from .ranking import global_rank
 
@@ -76,23 +77,33 @@ def hashing_embedder(dim: int) -> Callable[[Column], Column]:
     def number(code: Column, start: int, digits: int) -> Column:
         return F.conv(F.substring(code, start, digits), 16, 10).cast("int")
 
-    def embed(text: Column) -> Column:
-        words = F.filter(F.split(F.lower(text), r"\s+"), lambda x: x != "")
-        codes = F.transform(words, lambda x: F.md5(x))
-        marks = F.transform(
-            codes,
-            lambda c: F.struct(
-                (number(c, 1, 4) % dim).alias("at"), (1 - 2 * (number(c, 5, 1) % 2)).alias("sign")
+    # Each step is bound once: a copied expression would hash every word again for every
+    # component of the sums, and once more for every component of the result.
+    def mark(code: Column) -> Column:
+        """The component of a word, counted from 1, with its sign."""
+        return (number(code, 1, 4) % dim + 1) * (1 - 2 * (number(code, 5, 1) % 2))
+
+    def add_up(marks: Column) -> Column:
+        return F.transform(
+            F.sequence(F.lit(1), F.lit(dim)),
+            lambda i: F.aggregate(
+                marks, F.lit(0), lambda acc, m: acc + F.when(m == i, 1).when(m == -i, -1).otherwise(0)
             ),
         )
-        sums = F.transform(
-            F.sequence(F.lit(0), F.lit(dim - 1)),
-            lambda i: F.aggregate(
-                marks, F.lit(0), lambda acc, m: acc + F.when(m["at"] == i, m["sign"]).otherwise(0)
+
+    def unit(sums: Column) -> Column:
+        squares = F.aggregate(sums, F.lit(0), lambda acc, v: acc + v * v)
+        return let(
+            F.sqrt(squares.cast("double")),
+            lambda length: F.transform(
+                sums, lambda v: F.when(length > 0, v / length).otherwise(0.0).cast("float")
             ),
         )
-        length = F.sqrt(F.aggregate(sums, F.lit(0), lambda acc, v: acc + v * v).cast("double"))
-        return F.transform(sums, lambda v: F.when(length > 0, v / length).otherwise(0.0).cast("float"))
+
+    def embed(text: Column) -> Column:
+        words = F.filter(F.split(F.lower(text), r"\s+"), lambda x: x != "")
+        marks = F.transform(words, lambda x: let(F.md5(x), mark))
+        return let(let(marks, add_up), unit)
 
     return embed
 

@@ -1,5 +1,7 @@
 """Vector search against brute force."""
 
+import hashlib
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -123,3 +125,16 @@ def test_broken_batches_are_rejected(spark):
     assert embedding.attach_embeddings(batches, whole, 4).count() == 4
     assert embedding.attach_embeddings(batches, whole.filter("NOT (batch_no = 2 AND position = 0)"), 4).count() == 2
     assert embedding.attach_embeddings(batches, whole, 5).count() == 0
+
+
+def test_words_are_hashed_once(spark):
+    embedder = embedding.hashing_embedder(16)
+    df = spark.createDataFrame([("a B  a c",), ("",), (None,)], "input string").select(embedder(F.col("input")).alias("v"))
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.lower().count("md5(") == 1
+    want = np.zeros(16)
+    for word in "a b a c".split():
+        code = hashlib.md5(word.encode()).hexdigest()
+        want[int(code[:4], 16) % 16] += 1 - 2 * (int(code[4], 16) % 2)
+    got = [r["v"] for r in df.collect()]
+    assert np.allclose(got[0], want / np.linalg.norm(want)) and got[1] == [0.0] * 16
