@@ -44,6 +44,27 @@ def test_topk_is_exact(spark, monkeypatch, small_blocks):
         assert mine == want
 
 
+def test_a_task_hands_on_the_best_of_a_query_once(spark, monkeypatch):
+    """However many cells a query visits and whatever the order, null and equal ids stay apart."""
+    monkeypatch.setattr(vectors, "BLOCK_RESULTS", 60)
+    monkeypatch.setattr(vectors, "PAIRS_AT_ONCE", 50)
+    items, q = clustered(300, 12, 1, 0.33), clustered(40, 12, 2, 0.1)
+    known = frame(spark, items).withColumn("id", F.concat(F.lit("p"), F.lpad("id", 3, "0")))
+    known = known.unionByName(known.filter("id < 'p003'").withColumn("id", F.lit(None).cast("string")))
+    parts = [vectors._usable(x, "id", "embedding", 12) for x in (frame(spark, q), known)]
+    found = vectors._search(*parts, 12, k=5, pivots=9)
+    groups = -(-2 * spark.sparkContext.defaultParallelism // 4)  # four blocks of at most 12 queries
+    assert found.count() <= 40 * 5 * groups
+    sims = similarities(q, np.concatenate([items, items[:3]]))
+    names = [f"p{i:03}" for i in range(300)] + [None] * 3
+    best = vectors._best(found, 5).collect()
+    for i in range(40):
+        got = sorted(round(r["similarity"], 9) for r in best if r["query_id"] == i)
+        assert got == sorted(np.sort(sims[i])[-5:].round(9).tolist())
+        for r in (r for r in best if r["query_id"] == i):
+            assert any(n == r["item_id"] and abs(sims[i, j] - r["similarity"]) < 1e-8 for j, n in enumerate(names))
+
+
 def test_pruning_skips_cells(spark):
     items = clustered(300, 12, 1, 0.0)
     cells = vectors._Cells(vectors._usable(frame(spark, items), "id", "embedding", 12), 3, 16, 12)
