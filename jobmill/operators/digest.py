@@ -25,6 +25,8 @@ RECENT_GRADE = "C"
 CELL_PREFIX = 200
 CELL_GROWTH = 10
 BROADCAST_ROWS = 100_000
+#: pairs of users and postings that a task holds at a time, on average
+PAIRS_PER_TASK = 1_000_000
 
 
 def eligible_users(profiles: DataFrame) -> DataFrame:
@@ -141,6 +143,26 @@ def _job_cells(jobs: DataFrame) -> DataFrame:
     )
 
 
+def _recent_pairs(
+    waiting: DataFrame, newest: DataFrame, bounds: DataFrame, place: Column
+) -> DataFrame:
+    """Distinct pairs of users and the postings of their cells, up to the user's bound.
+
+    The table of users is small and may be one file, while its pairs are many. Tasks are
+    made after the number of pairs, and none collects pairs before they are spread.
+    """
+    key = ["cell_role", "cell_level"]
+    held = newest.groupBy(*key).agg(F.count("*").alias("_held"))
+    total = waiting.join(F.broadcast(held), key).agg(F.sum("_held")).first()[0] or 0
+    cores = waiting.sparkSession.sparkContext.defaultParallelism
+    tasks = max(cores, -(-total // PAIRS_PER_TASK))
+    small = newest.count() <= BROADCAST_ROWS
+    bounded = waiting.join(bounds, "user_id", "left").repartition(tasks, "user_id", *key)
+    pairs = bounded.join(F.broadcast(newest) if small else newest, key)
+    pairs = pairs.filter(F.col("_bound").isNull() | (place <= F.col("_bound"))).drop(*key, "_bound")
+    return pairs.repartition(tasks, "user_id", "job_id").dropDuplicates(["user_id", "job_id"])
+
+
 def recent_digest(
     users: DataFrame, jobs: DataFrame, applied: DataFrame, sent: DataFrame, as_of: Column
 ) -> DataFrame:
@@ -171,11 +193,7 @@ def recent_digest(
         ends = newest.withColumn("_place", place).groupBy(*key).agg(F.max("_place").alias("_end"))
         ends = ends.join(sizes.filter(F.col("size") > prefix), key).drop("size")
         bounds = durable(waiting.join(ends, key).groupBy("user_id").agg(F.min("_end").alias("_bound")))
-        small = newest.count() <= BROADCAST_ROWS
-        pairs = waiting.join(F.broadcast(newest) if small else newest, key).drop(*key)
-        pairs = pairs.dropDuplicates(["user_id", "job_id"]).join(bounds, "user_id", "left")
-        pairs = pairs.filter(F.col("_bound").isNull() | (place <= F.col("_bound"))).drop("_bound")
-        pairs = exclude_seen(pairs, applied, sent)
+        pairs = exclude_seen(_recent_pairs(waiting, newest, bounds, place), applied, sent)
         top = tiered_window_topk(pairs, as_of, newest_first, details=details, on="job_id")
         full = top.groupBy("user_id").agg(F.count("*").alias("n")).filter(F.col("n") == MATCHES)
         again = durable(bounds.select("user_id").join(full, "user_id", "left_anti"))

@@ -139,3 +139,18 @@ def test_paging(spark):
 def test_send_cap_counts_users(spark):
     df = spark.createDataFrame([(f"u{i % 5}", i) for i in range(20)], "user_id string, j int")
     assert {r["user_id"] for r in digest.send_cap(df, 2).collect()} == {"u0", "u1"}
+
+
+def test_pairs_of_users_and_postings_are_spread_over_tasks(spark, monkeypatch):
+    """The users come in one split; their pairs may not end up in one task."""
+    monkeypatch.setattr(digest, "PAIRS_PER_TASK", 100)
+    users = [(f"u{i:02d}", "*", "*") for i in range(40)] + [("u00", "swe", "*")]
+    waiting = spark.createDataFrame(users, "user_id string, cell_role string, cell_level string").coalesce(1)
+    cells = [(r, "*", f"j{i:02d}", AS_OF - dt.timedelta(hours=i)) for r in ("*", "swe") for i in range(50)]
+    newest = spark.createDataFrame(cells, "cell_role string, cell_level string, job_id string, posted_at timestamp")
+    place = F.struct((-F.unix_micros("posted_at")).alias("age"), F.col("job_id").alias("job"))
+    bounds = newest.filter("job_id = 'j09'").limit(1).select(F.lit("u01").alias("user_id"), place.alias("_bound"))
+    parts = digest._recent_pairs(waiting, newest, bounds, place).select("user_id", "job_id").rdd.glom().collect()
+    assert max(map(len, parts)) < 400
+    found = sorted((r["user_id"], r["job_id"]) for part in parts for r in part)
+    assert found == sorted((f"u{i:02d}", f"j{j:02d}") for i in range(40) for j in range(10 if i == 1 else 50))
