@@ -9,7 +9,7 @@ from . import packs_gates as gates
 from . import packs_levels as levels
 from . import packs_roles as roles_packs
 from .location import is_non_us
-from .regex import has_pattern, has_word, let
+from .regex import found_in, found_words, has_pattern, has_word, let
 from .text import has_non_latin, js_trim
 
 # Role tags, in output order.
@@ -51,8 +51,18 @@ def _text(col: Column) -> Column:
 
 
 def _tags(lower: Column, packs: dict[str, list[str]]) -> Column:
-    hits = [F.when(has_word(lower, words), F.lit(tag)) for tag, words in packs.items()]
-    return F.array_compact(F.array(*hits))
+    plain = {tag for tag, words in packs.items() if words and not any("\\b" in w for w in words)}
+
+    def tagged(found: Column) -> Column:
+        hits = [
+            F.when(found_in(found, words) if tag in plain else has_word(lower, words), F.lit(tag))
+            for tag, words in packs.items()
+        ]
+        return F.array_compact(F.array(*hits))
+
+    if not plain:
+        return tagged(lower)
+    return let(found_words(lower, [packs[tag] for tag in packs if tag in plain]), tagged)
 
 
 def has_tech_signal(title: Column, patterns: list[str] = roles_packs.TECH_SIGNAL) -> Column:
@@ -69,15 +79,15 @@ def infer_roles(title: Column, packs: dict[str, list[str]] = ROLE_PACKS) -> Colu
     not_software = has_pattern(title, roles_packs.NOT_SOFTWARE) & ~has_pattern(
         title, roles_packs.SOFTWARE_AFTER_ALL
     )
-    tags = let(
-        _tags(F.lower(title), packs),
-        lambda t: F.when(not_software, F.array_remove(t, "swe")).otherwise(t),
-    )
+    # Whether a title is software after all matters with the tag ``swe`` or without any.
     return let(
-        tags,
+        _tags(F.lower(title), packs),
         lambda t: F.when(
-            (F.size(t) == 0) & has_tech_signal(title) & ~not_software, F.array(F.lit("swe"))
-        ).otherwise(t),
+            F.size(t) == 0,
+            F.when(has_tech_signal(title) & ~not_software, F.array(F.lit("swe"))).otherwise(t),
+        )
+        .when(F.array_contains(t, "swe") & not_software, F.array_remove(t, "swe"))
+        .otherwise(t),
     )
 
 

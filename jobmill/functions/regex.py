@@ -15,16 +15,18 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 SPACE_MEMBERS = "\\t\\n\\x0B\\f\\r \u00a0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000\ufeff"
-#: as one class, every letter would be compared with each of the rare spaces in turn
+#: as one class, every letter would be compared with each of the rare spaces in turn; the
+#: common ones are spelled out, because Java looks up a class of single characters at once
 SPACE = (
-    "(?:[\\t-\\r \u00a0]|(?=[\u1680-\uffff])"
+    "(?:[\\t\\n\\x0B\\f\\r \u00a0]|(?=[\u1680-\uffff])"
     "[\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000\ufeff])"
 )
 #: the same characters as plain text
 SPACE_CHARS = "\t\n\x0b\f\r \u00a0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + (
     "\u2028\u2029\u202f\u205f\u3000\ufeff"
 )
-_WORD = "[A-Za-z0-9_]"
+#: ASCII letters, digits and ``_``, which Java looks up at once; a class tests each range
+_WORD = "\\w"
 _START = f"(?<!{_WORD})"
 _END = f"(?!{_WORD})"
 _EDGE = f"(?:(?<={_WORD}){_END}|{_START}(?={_WORD}))"
@@ -114,6 +116,50 @@ def _word_pattern(words: tuple[str, ...]) -> str:
     return _first_of(sorted(tree)) + _branch(tree)
 
 
+def _longest(tree: dict) -> str:
+    """The longest word of a tree; ``""`` marks the end of a word."""
+    chars = sorted(c for c in tree if c)
+    if not chars:
+        return ""
+    options = [quote(c) + _longest(tree[c]) for c in chars]
+    if len(options) > _FAN_OUT:
+        cuts = range(0, len(options), _FAN_OUT)
+        options = [
+            f"{_first_of(chars[i : i + _FAN_OUT])}(?:{'|'.join(options[i : i + _FAN_OUT])})"
+            for i in cuts
+        ]
+    if len(options) == 1 and "" not in tree:
+        return options[0]
+    return f"(?:{'|'.join(options)}){'?' if '' in tree else ''}"
+
+
+@lru_cache(maxsize=None)
+def _longest_pattern(words: frozenset[str]) -> str:
+    tree: dict = {}
+    for word in words:
+        node = tree
+        for char in word:
+            node = node.setdefault(char, {})
+        node[""] = {}
+    return f"{_first_of(sorted(tree))}(?=({_longest(tree)}))"
+
+
+def found_words(col: Column, packs: Iterable[Iterable[str]]) -> Column:
+    """The longest word of any pack at each position of ``col``, one a line.
+
+    Every word that begins at a position is a prefix of the longest one there, so the
+    lines tell which packs have a word in the text (``found_in``), however many packs
+    there are: the text itself is walked once.
+    """
+    words = frozenset(word for pack in packs for word in _minimal(pack))
+    return F.array_join(F.regexp_extract_all(col, F.lit(_longest_pattern(words)), F.lit(1)), "\n")
+
+
+def found_in(found: Column, words: Iterable[str]) -> Column:
+    """Whether one of the lines of ``found_words`` begins with a word of the pack."""
+    return found.rlike(f"(?md)^{word_pattern(words)}")
+
+
 def word_pattern(words: Iterable[str]) -> str:
     """One pattern that finds any of the words as a substring, sharing common prefixes.
 
@@ -146,10 +192,27 @@ def has_pattern(col: Column, patterns: Iterable[str]) -> Column:
     at_start = [p.removeprefix(_START) for p in java if p.startswith(_START) and not _top_level_or(p)]
     parts = [f"(?:{p})" for p in java if not p.startswith(_START) or _top_level_or(p)]
     if at_start:
-        parts.insert(0, f"{_START}(?:{'|'.join(at_start)})")
+        parts.insert(0, f"{_START}{_by_first_letter(at_start)}")
     return col.rlike("(?i)" + "|".join(parts))
 
 
+def _by_first_letter(patterns: list[str]) -> str:
+    """Any of the patterns; those that begin with the same letter are tried behind it."""
+    groups: dict[str, list[str]] = {}
+    rest: list[str] = []
+    for p in patterns:
+        plain = re.match(r"[A-Za-z](?![?*+{])", p)
+        groups.setdefault(p[0].lower(), []).append(p[1:]) if plain else rest.append(p)
+    options = [c + (ends[0] if len(ends) == 1 else f"(?:{'|'.join(ends)})") for c, ends in sorted(groups.items())]
+    if len(options) > _FAN_OUT:
+        chars = sorted(groups)
+        options = [
+            f"{_first_of(chars[i : i + _FAN_OUT])}(?:{'|'.join(options[i : i + _FAN_OUT])})"
+            for i in range(0, len(options), _FAN_OUT)
+        ]
+    return f"(?:{'|'.join(options + rest)})"
+
+
 def _top_level_or(pattern: str) -> bool:
     depth = 0
     for i, char in enumerate(pattern):

@@ -84,14 +84,19 @@ ENTITIES = [
 
 def decode_named(col: Column, ignore_case: bool = False, apostrophe: bool = False) -> Column:
     flag = "(?i)" if ignore_case else ""
-    for entity, char in ENTITIES:
-        if apostrophe and entity == "&#39;":
-            entity = "(?:&#39;|&apos;)"
-        if flag or entity.startswith("(?:"):
-            col = F.regexp_replace(col, flag + entity, char)
-        else:
-            col = F.replace(col, F.lit(entity), F.lit(char))
-    return col
+
+    def decoded(text: Column) -> Column:
+        for entity, char in ENTITIES:
+            if apostrophe and entity == "&#39;":
+                entity = "(?:&#39;|&apos;)"
+            if flag or entity.startswith("(?:"):
+                text = F.regexp_replace(text, flag + entity, char)
+            else:
+                text = F.replace(text, F.lit(entity), F.lit(char))
+        return text
+
+    # Every reference begins with the same character, which few texts have.
+    return let(col, lambda t: F.when(t.contains("&"), decoded(t)).otherwise(t))
 
 
 def decode_entities(col: Column) -> Column:
@@ -154,10 +159,7 @@ def _strip(col: Column, dialect: str) -> Column:
         col = F.regexp_replace(col, "(?i)</li>", "\n")
         col = replace(col, "(?i)<a\\b[^>]*>(.*?)</a>", "$1")
         col = F.regexp_replace(col, "<[^>]+>", " ")
-        col = _decode_numeric(col, "&#([0-9]+);", 10)
-        col = _decode_numeric(col, "&#x([0-9a-f]+);", 16)
-        col = F.regexp_replace(col, "(?i)&nbsp;", " ")
-        col = decode_named(col, ignore_case=True, apostrophe=True)
+        col = let(col, lambda c: F.when(c.contains("&"), _comment_entities(c)).otherwise(c))
         col = F.regexp_replace(F.translate(col, "\r", ""), "[ \t]+\n", "\n")
         col = F.regexp_replace(col, "\n[ \t]+", "\n")
         col = F.regexp_replace(col, "[ \t]{2,}", " ")
@@ -177,6 +179,13 @@ def _strip(col: Column, dialect: str) -> Column:
     return clean_unicode(_tidy_lines(col))
 
 
+def _comment_entities(col: Column) -> Column:
+    col = _decode_numeric(col, "&#([0-9]+);", 10)
+    col = _decode_numeric(col, "&#x([0-9a-f]+);", 16)
+    col = F.regexp_replace(col, "(?i)&nbsp;", " ")
+    return decode_named(col, ignore_case=True, apostrophe=True)
+
+
 def truncate_text(col: Column, limit: int) -> Column:
     """At most ``limit`` characters, the cut marked by three dots."""
     cut = F.rtrim(F.substring(col, 1, max(0, limit - 3)), F.lit(SPACE_CHARS))
@@ -189,19 +198,32 @@ def extract_first_url(col: Column) -> Column:
     return F.coalesce(href, first_match(col, "\\((https?://[^)\\s]+)\\)"))
 
 
-def extract_all_urls(col: Column) -> Column:
-    """Distinct URLs: ``href`` targets first, then bare ones, in order of appearance."""
+def _href_urls(col: Column) -> Column:
     href = F.regexp_extract_all(col, F.lit('(?i)href="([^"]+)"'), F.lit(1))
-    href = F.transform(href, lambda u: decode_named(decode_entities(u), True, True))
+    return F.transform(href, lambda u: js_trim(decode_named(decode_entities(u), True, True)))
+
+
+def _bare_urls(col: Column) -> Column:
     bare = F.regexp_extract_all(
         decode_named(decode_entities(col), True, True),
-        F.lit(f"(?i)(?<![A-Za-z0-9_])(https?://[^{SPACE_MEMBERS}<>\"')]+)"),
+        F.lit(f"(?i)(?<!\\w)(https?://[^{SPACE_MEMBERS}<>\"')]+)"),
         F.lit(1),
     )
-    urls = F.transform(F.concat(href, bare), js_trim)
+    return F.transform(bare, js_trim)
+
+
+def extract_all_urls(col: Column) -> Column:
+    """Distinct URLs: ``href`` targets first, then bare ones, in order of appearance."""
+    urls = F.concat(_href_urls(col), _bare_urls(col))
     return F.array_distinct(F.filter(urls, lambda u: u != ""))
 
 
+def first_of_all_urls(col: Column) -> Column:
+    """The first of ``extract_all_urls``; bare ones are looked for when there is no target."""
+    found = (F.filter(urls(col), lambda u: u != "") for urls in (_href_urls, _bare_urls))
+    return F.coalesce(*[F.try_element_at(urls, F.lit(1)) for urls in found])
+
+
 def extract_cell_text(col: Column) -> Column:
     """Plain text of a Markdown or HTML table cell."""
     marked = f"[<\\[*_`~&]|(?! ){SPACE}|  |^ *[^A-Za-z0-9 ]"

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.classify import has_tech_signal, level_of, says_new_grad, says_rescue
 from ..functions.location import is_non_us
 from ..functions.regex import ecma, has_pattern, let, replace
-from ..functions.text import extract_all_urls, js_trim, squash_ws, strip_html
+from ..functions.text import first_of_all_urls, js_trim, squash_ws, strip_html
 from ..operators.dedup import dedupe_by
 from ..settle import settle
 from .canonical import finalize
@@ -69,14 +69,17 @@ def _short(col: Column) -> Column:
 def _line_title(line: Column) -> Column:
     """The title a line announces: the part before a colon, or the whole short line."""
 
-    def choose(text: Column) -> Column:
-        before = clean_candidate(F.substring_index(text, ":", 1))
-        return (
-            F.when((text == "") | has_pattern(text, [NO_TITLE]), F.lit(None))
-            .when((before != "") & (before != text) & has_tech_signal(before) & _short(before), before)
-            .when(has_tech_signal(text) & _short(text) & ~_website(text) & ~_employment(text), text)
+    def announced(text: Column) -> Column:
+        return let(
+            clean_candidate(F.substring_index(text, ":", 1)),
+            lambda before: F.when(
+                (before != "") & (before != text) & has_tech_signal(before) & _short(before), before
+            ).when(has_tech_signal(text) & _short(text) & ~_website(text) & ~_employment(text), text),
         )
 
+    def choose(text: Column) -> Column:
+        return F.when((text != "") & ~has_pattern(text, [NO_TITLE]), announced(text))
+
     return let(clean_candidate(line), choose)
 
 
@@ -89,9 +92,10 @@ def comment_thread(payloads: DataFrame) -> DataFrame:
     rows = json_items(payloads, item, ["", "items"])
     gone = F.coalesce("dead", F.lit(False)) | F.coalesce("deleted", F.lit(False))
     rows = rows.filter(F.col("id").isNotNull() & (F.coalesce("text", F.lit("")) != "") & ~gone)
-    rows = rows.withColumn("description", F.substring(strip_html(F.col("text"), "comment"), 1, DESCRIPTION_CHARS))
+    text = F.substring(strip_html(F.col("text"), "comment"), 1, DESCRIPTION_CHARS)
+    rows = rows.transform(settle, {"description": text})
     lines = F.filter(F.transform(F.split("description", "\n"), clean_line), lambda x: x != "")
-    rows = rows.withColumn("lines", lines).filter(F.size("lines") > 0)
+    rows = rows.transform(settle, {"lines": lines}).filter(F.size("lines") > 0)
     segments = F.filter(
         F.transform(F.split(F.col("lines")[0], "\\|"), clean_candidate), lambda x: x != ""
     )
@@ -129,7 +133,7 @@ def comment_thread(payloads: DataFrame) -> DataFrame:
             "_early": has_pattern(F.col("description"), [EARLY_CAREER]),
         }
     )
-    rows = rows.withColumn("_best", F.try_element_at(rated, F.lit(1))).filter("_best IS NOT NULL")
+    rows = rows.transform(settle, {"_best": F.try_element_at(rated, F.lit(1))}).filter("_best IS NOT NULL")
     rows = rows.transform(settle, 
         {"title": F.col("_best.title"), "experience_level": F.col("_best.level")}
     )
@@ -144,7 +148,7 @@ def comment_thread(payloads: DataFrame) -> DataFrame:
         F.try_element_at("_places", F.lit(1)),
         F.when(F.col("remote"), "Remote"),
     )
-    link = F.try_element_at(extract_all_urls(F.col("text")), F.lit(1))
+    link = first_of_all_urls(F.col("text"))
     rows = rows.transform(settle, 
         {
             "location": place,

@@ -5,7 +5,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from jobmill.functions import classify, dates, keys, location, places, salary, similarity, text
+from jobmill.functions import classify, dates, keys, location, places, regex, salary, similarity, text
 from jobmill.functions.regex import ecma, has_pattern, has_word
 
 AS_OF = F.lit("2026-04-23 00:00:00").cast("timestamp")
@@ -190,3 +190,37 @@ def test_word_pack_equals_plain_search(spark):
     words = ["ab", "abc", "c++", "x.y", " z", "q"]
     texts = ["xxabyy", "c+", "c++", "xzy", "x.y", "a z", "az", "", "q"]
     assert values(spark, texts, has_word(A, words)) == [any(w in t for w in words) for t in texts]
+
+
+def test_one_walk_over_a_text_finds_the_words_of_every_pack(spark):
+    packs = {
+        "a": ["data", "software engineer", "c++ (", "ml"], "b": ["data engineer", "ta e", "qa"],
+        "c": ["software", "neer", "new\tgrad"], "d": ["zebra"],
+    }
+    texts = [
+        "", "data", "big data engineer", "software engineers", "softwar", "c++ (ml)", "a c++ x", "htmlqa", "new\tgrad\nzebr",
+        "datadata engineer", "line\nzebra", "soft\nware", "dataengineer ta e",
+    ]
+    found = regex.found_words(A, packs.values())
+    for words in packs.values():
+        want = [any(w in t for w in words) for t in texts]
+        assert values(spark, texts, regex.found_in(found, words)) == want
+    tags = classify.infer_target_roles(A, {**packs, "e": ["zebra", r"\bml\b"]})
+    got = values(spark, texts, tags)
+    assert got[5] == ["a", "e"] and got[7] == ["a", "b"] and got[10] == ["d", "e"] and got[0] == []
+
+
+def test_patterns_behind_one_first_letter(spark):
+    patterns = [r"\bcloud\b", r"\bcivil engineer\b", r"\bc?lub\b", r"\b(ml|ai)\b", r"\bweb\s+dev\b", r"\bios\b", r"\bnlp\b", r"\bqa\b", r"\bsre\b"]
+    texts = ["Cloud", "clouds", "a CIVIL engineer", "civil", "lub", "club", "XML", "ML", "Web  Dev", "ios", "bios", "SRE!", "_qa", "nlp"]
+    want = [True, False, True, False, True, True, False, True, True, True, False, True, False, True]
+    assert values(spark, texts, has_pattern(A, patterns)) == want
+
+
+def test_the_first_url_of_a_text(spark):
+    texts = [
+        'x <a href=" ">l</a> https:&#x2F;&#x2F;b.c/d <a href="u&amp;v">', "see https://a.b/c and http://d", 'href="q"', "none", None, 'href=" " http://z',
+    ]
+    firsts = values(spark, texts, text.first_of_all_urls(A))
+    assert firsts == values(spark, texts, F.try_element_at(text.extract_all_urls(A), F.lit(1)))
+    assert firsts[:4] == ["u&v", "https://a.b/c", "q", None]

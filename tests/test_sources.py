@@ -130,3 +130,9 @@ def test_the_newest_detail_counts_once(spark):
     rows = [("s", run, seq, "9", 200, "", ad(text)) for run, seq, text in (("r1", 7, "old"), ("r2", 1, "new"))]
     found = boards.smartrecruiters(landed(spark, post), spark.createDataFrame(rows, RAW_PAYLOAD)).collect()
     assert [r["description"] for r in found] == ["new"]
+
+
+def test_a_comment_is_cleaned_once(spark):
+    """Filters on what comes out of the text must not compute it again."""
+    plan = thread.comment_thread(landed(spark, [{"id": 1, "text": "x"}]))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("(?i)</li>") == 1
