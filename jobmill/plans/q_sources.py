@@ -27,12 +27,17 @@ STAMP = "yyyy-MM-dd'T'HH:mm:ss'Z'"
 
 
 def payloads(rows: DataFrame, item: Column, render: Callable[[Column], Column], key: Column | None = None) -> DataFrame:
-    """One payload per ``PER_PAYLOAD`` consecutive postings (and key)."""
+    """One payload per ``PER_PAYLOAD`` consecutive postings (and key).
+
+    Spread by number alone: a constant key is no grouping key to the optimizer, so spread
+    by it as well the rows would be shuffled again and land in few tasks, half as many as
+    there are cores where two forms of payloads form a union.
+    """
     request_key = F.lit("acme") if key is None else key
-    cores = rows.sparkSession.sparkContext.defaultParallelism
+    tasks = 2 * rows.sparkSession.sparkContext.defaultParallelism
     keyed = rows.withColumns(
         {"fetch_seq": F.floor(F.col("ingest_seq") / PER_PAYLOAD), "request_key": request_key}
-    ).repartition(cores, "fetch_seq", "request_key")
+    ).repartition(tasks, "fetch_seq")
     grouped = keyed.groupBy("fetch_seq", "request_key").agg(
         F.sort_array(F.collect_list(F.struct("ingest_seq", item.alias("item")))).alias("rows")
     )

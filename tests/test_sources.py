@@ -4,6 +4,7 @@ import json
 
 from pyspark.sql import functions as F
 
+from jobmill.plans import q_sources
 from jobmill.schema import RAW_PAYLOAD
 from jobmill.sources import boards, lists, pages, readers, thread
 
@@ -136,3 +137,12 @@ def test_a_comment_is_cleaned_once(spark):
     """Filters on what comes out of the text must not compute it again."""
     plan = thread.comment_thread(landed(spark, [{"id": 1, "text": "x"}]))._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("(?i)</li>") == 1
+
+
+def test_payloads_are_made_in_one_shuffle_that_keeps_all_cores_busy(spark):
+    rows = spark.range(1000).select(F.col("id").alias("ingest_seq"))
+    made = q_sources.payloads(rows, F.col("ingest_seq").cast("string"), q_sources.lines())
+    both = made.unionByName(made).transform(lambda df: df.filter("length(body) > 0"))
+    assert made._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+    assert both.rdd.getNumPartitions() >= 2 * spark.sparkContext.defaultParallelism
+    assert made.count() == 20 and made.selectExpr("sum(size(split(body, '\n')))").first()[0] == 1000
