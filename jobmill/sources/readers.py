@@ -168,7 +168,11 @@ def absolute_url(url: Column, root: str | Column) -> Column:
 
 # -- JSON inside pages ------------------------------------------------------------------
 
-_LD_SCRIPT = "(?is)<script[^>]+type=[\"']application/ld\\+json[\"'][^>]*>(.*?)</script>"
+_LD_SCRIPT = (
+    "(?is)<script[^>]+type=[\"']application/ld\\+json[\"'][^>]*>([^<]*+(?:<(?!/script>)[^<]*+)*+)</script>"
+)
+#: what a script with a whole posting contains; letters may be written as escapes
+_LD_NAMED = r"(?i)jobposting|\\u"
 _LD_ITEM = (
     "`@type`: string, title: string, description: string, datePosted: string, url: string, "
     "hiringOrganization: struct<name: string>, jobLocation: string, jobLocationType: string"
@@ -200,7 +204,9 @@ def json_ld_posting(html: Column) -> Column:
 
         return F.flatten(F.transform(roots, flat))
 
-    found = F.flatten(F.transform(scripts, objects))
+    # Parsing costs most, a broken text more than a whole one: only what can hold a posting is.
+    named = F.filter(scripts, lambda s: s.contains("}") & s.rlike(_LD_NAMED))
+    found = F.flatten(F.transform(named, objects))
     jobs = F.filter(found, lambda o: F.lower(o["@type"]).rlike('(^|")jobposting("|\\z)'))
     return F.try_element_at(jobs, F.lit(1))
 
@@ -303,7 +309,12 @@ def first_nonempty_payload(
 def run_order(run_id: Column) -> Column:
     """Orders run ids with their numbers compared as numbers: ``run9`` before ``run10``."""
     padded = F.regexp_replace(run_id, r"(\d+)", "0" * 40 + "$1")
-    return F.regexp_replace(padded, r"0*(\d{40})(?!\d)", "$1")
+    anywhere = F.regexp_replace(padded, r"0*(\d{40})(?!\d)", "$1")
+    # Most ids end in their only number, which needs no pattern.
+    name = F.translate(run_id, "0123456789", "")
+    digits = F.length(run_id) - F.length(name)
+    number = F.lpad(F.substring(run_id, F.length(name) + 1, digits), 40, "0")
+    return F.when(run_id.startswith(name) & digits.between(1, 40), F.concat(name, number)).otherwise(anywhere)
 
 
 def newest_payload(payloads: DataFrame, keys: Sequence[str] = ("request_key",)) -> DataFrame:

@@ -146,3 +146,27 @@ def test_payloads_are_made_in_one_shuffle_that_keeps_all_cores_busy(spark):
     assert made._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
     assert both.rdd.getNumPartitions() >= 2 * spark.sparkContext.defaultParallelism
     assert made.count() == 20 and made.selectExpr("sum(size(split(body, '\n')))").first()[0] == 1000
+
+
+def test_only_scripts_that_name_a_posting_are_parsed(spark):
+    script = '<script type="application/ld+json">%s</SCRIPT>'
+    bodies = [
+        script % '{"@type":"WebSite"}' + script % '{broken JobPosting' + script % '{"@type":"JobPosting","title":"a <b>x</b>"}',
+        script % '{"@type":"Job\\u0050osting","title":"escaped"}',
+        script % '{"@type":"jobposting","title":"open"}' + '<script type="application/ld+json">{"@type":"JobPosting"}',
+        '<script type="application/ld+json">{"@type":"JobPosting","title":"never closed"}',
+    ]
+    df = spark.createDataFrame(list(enumerate(bodies)), "i int, body string")
+    ld = readers.json_ld_posting(F.col("body"))
+    assert [r[0] for r in df.orderBy("i").select(ld["title"]).collect()] == ["a <b>x</b>", "escaped", "open", None]
+    plan = df.select(ld.alias("ld"))._jdf.queryExecution().analyzed().toString()
+    assert readers._LD_NAMED in plan
+
+
+def test_run_ids_with_one_number_at_the_end_need_no_pattern(spark):
+    ids = ["run9", "run10", "run010", "2024-01-02", "a1b", "run", "", "7", "x" + "9" * 41, None]
+    df = spark.createDataFrame(list(enumerate(ids)), "i int, r string")
+    padded = F.regexp_replace(F.regexp_replace("r", r"(\d+)", "0" * 40 + "$1"), r"0*(\d{40})(?!\d)", "$1")
+    rows = df.orderBy("i").select(readers.run_order(F.col("r")), padded).collect()
+    assert [r[0] for r in rows] == [r[1] for r in rows]
+    assert "CASE WHEN" in df.select(readers.run_order(F.col("r")))._jdf.queryExecution().analyzed().toString()
