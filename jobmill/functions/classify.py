@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -9,7 +11,7 @@ from . import packs_gates as gates
 from . import packs_levels as levels
 from . import packs_roles as roles_packs
 from .location import is_non_us
-from .regex import found_in, found_words, has_pattern, has_word, let
+from .regex import any_pattern, any_word, has_bit, has_pattern, has_word, matches
 from .text import has_non_latin, js_trim
 
 # Role tags, in output order.
@@ -50,19 +52,15 @@ def _text(col: Column) -> Column:
     return F.coalesce(col, F.lit(""))
 
 
-def _tags(lower: Column, packs: dict[str, list[str]]) -> Column:
-    plain = {tag for tag, words in packs.items() if words and not any("\\b" in w for w in words)}
+def _found(lower: Column, packs: dict[str, list[str]]) -> dict[str, Column]:
+    """For each tag whether the text has a word of its pack; an empty pack has none."""
+    bits = matches(lower, [any_word(words) for words in packs.values() if words])
+    tags = [tag for tag, words in packs.items() if words]
+    return {tag: has_bit(bits, tags.index(tag)) if tag in tags else F.lit(False) for tag in packs}
 
-    def tagged(found: Column) -> Column:
-        hits = [
-            F.when(found_in(found, words) if tag in plain else has_word(lower, words), F.lit(tag))
-            for tag, words in packs.items()
-        ]
-        return F.array_compact(F.array(*hits))
 
-    if not plain:
-        return tagged(lower)
-    return let(found_words(lower, [packs[tag] for tag in packs if tag in plain]), tagged)
+def _tags(found: dict[str, Column]) -> Column:
+    return F.array_compact(F.array(*[F.when(yes, F.lit(tag)) for tag, yes in found.items()]))
 
 
 def has_tech_signal(title: Column, patterns: list[str] = roles_packs.TECH_SIGNAL) -> Column:
@@ -76,24 +74,18 @@ def infer_roles(title: Column, packs: dict[str, list[str]] = ROLE_PACKS) -> Colu
     with no tag but a technical word becomes ``swe``.
     """
     title = _text(title)
-    not_software = has_pattern(title, roles_packs.NOT_SOFTWARE) & ~has_pattern(
-        title, roles_packs.SOFTWARE_AFTER_ALL
-    )
-    # Whether a title is software after all matters with the tag ``swe`` or without any.
-    return let(
-        _tags(F.lower(title), packs),
-        lambda t: F.when(
-            F.size(t) == 0,
-            F.when(has_tech_signal(title) & ~not_software, F.array(F.lit("swe"))).otherwise(t),
-        )
-        .when(F.array_contains(t, "swe") & not_software, F.array_remove(t, "swe"))
-        .otherwise(t),
-    )
+    rules = (roles_packs.NOT_SOFTWARE, roles_packs.SOFTWARE_AFTER_ALL, roles_packs.TECH_SIGNAL)
+    found = matches(title, map(any_pattern, rules), ignore_case=True)
+    not_software = has_bit(found, 0) & ~has_bit(found, 1)
+    tags = _found(F.lower(title), packs)
+    untagged = ~reduce(Column.__or__, tags.values(), F.lit(False))
+    swe = (tags.get("swe", F.lit(False)) | (untagged & has_bit(found, 2))) & ~not_software
+    return _tags(tags | {"swe": swe} if "swe" in tags else {"swe": swe} | tags)
 
 
 def infer_target_roles(text: Column, packs: dict[str, list[str]] = TARGET_PACKS) -> Column:
     """The six feed roles, by keyword only."""
-    return _tags(F.lower(_text(text)), packs)
+    return _tags(_found(F.lower(_text(text)), packs))
 
 
 def explain_experience(title: Column, content: Column | None = None) -> Column:
@@ -145,22 +137,26 @@ def classify_experience(title: Column, content: Column | None = None) -> Column:
 
     The entry-level pack is not tested: its outcome equals the default.
     """
-    if content is None:
-        return level_of(title, F.lit(False), F.lit(False))
-    return level_of(title, says_rescue(content), says_new_grad(content))
+    lower = F.lower(_text(title))
+    padded = matches(F.concat(F.lit(" "), lower, F.lit(" ")), [any_word(levels.EXCLUSION), any_word(levels.NEW_GRAD)])
+    intern = matches(lower, [any_word(levels.INTERNSHIP)])
+    says = F.lit(0) if content is None else matches(
+        F.lower(_text(content)), [any_word(levels.RESCUE), any_word(levels.NEW_GRAD_TEXT)]
+    )
+    return (
+        F.when(has_bit(padded, 0), F.when(has_bit(says, 0), F.lit("entry_level")))
+        .when(has_bit(intern, 0), "internship")
+        .when(has_bit(padded, 1) | has_bit(says, 1), "new_grad")
+        .otherwise("entry_level")
+    )
 
 
 def passes_early_career(title: Column, content: Column) -> Column:
     """No senior word in the title and no years asked for, unless a junior word is there."""
-    title, content = _text(title), _text(content)
-    rescued = has_pattern(title, levels.EARLY_CAREER) | has_pattern(content, levels.EARLY_CAREER)
-    return (
-        F.when(
-            has_pattern(title, levels.STRICT_TITLE)
-            | has_pattern(content, levels.TOO_EXPERIENCED),
-            rescued,
-        ).otherwise(True)
-    )
+    early = any_pattern(levels.EARLY_CAREER)
+    named = matches(_text(title), [any_pattern(levels.STRICT_TITLE), early], ignore_case=True)
+    asked = matches(_text(content), [any_pattern(levels.TOO_EXPERIENCED), early], ignore_case=True)
+    return ~(has_bit(named, 0) | has_bit(asked, 0)) | has_bit(named, 1) | has_bit(asked, 1)
 
 
 def level_from_codes(experience: Column, employment: Column, title: Column) -> Column:

@@ -12,7 +12,7 @@ from .packs_places import (
     US_STATE_CODES,
     US_STATE_NAMES,
 )
-from .regex import ecma, has_pattern, has_word, word_pattern
+from .regex import any_pattern, any_word, automaton, ecma, has_bit, has_pattern, has_word, matches, word_pattern
 from .text import blank_to_null, js_trim
 
 # Fixed values of the country rules.
@@ -49,12 +49,15 @@ def is_usa(location: Column, remote: Column | None = None) -> Column:
     """Remote and unknown places count as the United States."""
     place = blank_to_null(location)
     lower = F.lower(place)
-    names = [c.lower() for c in US_CITIES] + US_SPECIAL
+    # ``matches`` knows no look ahead; at the end of a pattern the character may be taken.
+    marked = [p.replace("(?=", "(?:").replace("|$)", "|\\x85?$)").lower() for p in US_PATTERNS]
+    found = matches(place, [automaton(r"\bperth,\s*wa\b"), any_pattern(marked)], ignore_case=True)
+    named = matches(lower, [any_word([c.lower() for c in US_CITIES] + US_SPECIAL)])
     result = (
         F.when(place.isNull(), True)
-        .when(has_pattern(place, [r"\bperth,\s*wa\b"]), False)
+        .when(has_bit(found, 0), False)
         .when(lower.isin(US_BARE), True)
-        .otherwise(has_pattern(place, US_PATTERNS) | has_word(lower, names))
+        .otherwise(has_bit(found, 1) | has_bit(named, 0))
     )
     if remote is None:
         return result

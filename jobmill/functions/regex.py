@@ -11,6 +11,8 @@ import re
 from collections.abc import Iterable
 from functools import lru_cache
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -144,6 +146,70 @@ def _longest_pattern(words: frozenset[str]) -> str:
     return f"{_first_of(sorted(tree))}(?=({_longest(tree)}))"
 
 
+_LINE_ENDS = "\\n\\r\u0085\u2028\u2029"
+
+
+def automaton(pattern: str) -> str:
+    """Form of a lower-case ECMAScript pattern for an engine without backtracking.
+
+    There ``\\b`` is ASCII already; ``\\s`` and the dot are spelled out.
+    """
+    if not pattern.isascii() or "(?" in pattern.replace("(?:", "") or re.search("[A-Z]", pattern):
+        raise ValueError(f"no plain lower-case pattern: {pattern}")
+    out, in_class = [], False
+    for token in re.findall(r"\\.|.", pattern, re.DOTALL):
+        if token == "\\s":
+            token = SPACE_MEMBERS if in_class else f"[{SPACE_MEMBERS}]"
+        elif token == "." and not in_class:
+            token = f"[^{_LINE_ENDS}]"
+        elif token in ("[", "]"):
+            in_class = token == "["
+        out.append(token)
+    return "".join(out)
+
+
+@lru_cache(maxsize=None)
+def _any_word(words: tuple[str, ...]) -> str:
+    plain = _minimal(w for w in words if "\\b" not in w)
+    return "|".join([*map(re.escape, plain), *(automaton(w) for w in words if "\\b" in w)])
+
+
+def any_word(words: Iterable[str]) -> str:
+    """A pattern for ``matches``: what ``has_word`` looks for in a lower-cased text."""
+    return _any_word(tuple(words))
+
+
+def any_pattern(patterns: Iterable[str]) -> str:
+    """A pattern for ``matches``: what ``has_pattern`` looks for."""
+    return "|".join(map(automaton, patterns))
+
+
+def matches(col: Column, patterns: Iterable[str], ignore_case: bool = False) -> Column:
+    """Which of the patterns match somewhere in ``col``, as bits; bit 0 is the first one.
+
+    Java tries the words of a pack one after the other at each position of a text. Arrow's
+    engine walks the text once per pack, however many words there are. ``ignore_case``
+    folds ASCII letters only. It takes a column of the row, not a variable of a lambda.
+    """
+    patterns = list(patterns)
+
+    @F.arrow_udf("long")
+    def bits(texts: pa.Array) -> pa.Array:
+        if ignore_case:
+            texts = pc.ascii_lower(texts)
+        found = pa.repeat(pa.scalar(0, pa.int64()), len(texts))
+        for i, pattern in enumerate(patterns):
+            found = pc.add(found, pc.multiply(pc.match_substring_regex(texts, pattern).cast(pa.int64()), 1 << i))
+        return found
+
+    return bits(col)
+
+
+def has_bit(bits: Column, i: int) -> Column:
+    """Whether pattern ``i`` of ``matches`` was found."""
+    return bits.bitwiseAND(F.lit(1 << i)) != 0
+
+
 def found_words(col: Column, packs: Iterable[Iterable[str]]) -> Column:
     """The longest word of any pack at each position of ``col``, one a line.
 

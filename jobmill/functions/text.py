@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -114,6 +116,11 @@ def _tidy_lines(col: Column) -> Column:
     return js_trim(col)
 
 
+#: printable ASCII without markup: what most fields hold. The members
+#: are spelled out, because Java looks up a class of single characters at once
+_PLAIN = "^[{}]*\\z".format(
+    "".join(re.sub(r"([\\\[\]^&-])", r"\\\1", chr(c)) for c in range(0x20, 0x7F) if chr(c) not in "<&")
+)
 #: anything that a clean-up may change, apart from spaces at the ends
 _MARKUP = f"[<&\\x00]|(?! ){SPACE}|  "
 
@@ -134,7 +141,9 @@ def strip_html(col: Column, dialect: str = "block") -> Column:
     # Most fields are plain text, which one test tells.
     return let(
         col,
-        lambda c: F.when(c.rlike(_MARKUP), _strip(c, dialect)).otherwise(clean_unicode(js_trim(c))),
+        lambda c: F.when(c.rlike(_PLAIN) & ~c.contains("  "), F.trim(c))
+        .when(c.rlike(_MARKUP), _strip(c, dialect))
+        .otherwise(clean_unicode(js_trim(c))),
     )
 
 

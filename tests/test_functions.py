@@ -5,7 +5,19 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from jobmill.functions import classify, dates, keys, location, places, regex, salary, similarity, text
+from jobmill.functions import (
+    classify,
+    dates,
+    keys,
+    location,
+    packs_levels,
+    packs_roles,
+    places,
+    regex,
+    salary,
+    similarity,
+    text,
+)
 from jobmill.functions.regex import ecma, has_pattern, has_word
 
 AS_OF = F.lit("2026-04-23 00:00:00").cast("timestamp")
@@ -224,3 +236,35 @@ def test_the_first_url_of_a_text(spark):
     firsts = values(spark, texts, text.first_of_all_urls(A))
     assert firsts == values(spark, texts, F.try_element_at(text.extract_all_urls(A), F.lit(1)))
     assert firsts[:4] == ["u&v", "https://a.b/c", "q", None]
+
+
+def test_packs_are_found_as_before(spark):
+    """The engine without backtracking finds what the Java patterns find."""
+    texts = [
+        "Software\u00a0Engineer", "full\nstack", "full\u2028stack", "full-stack web  development", "\u212aey \u017fre",
+        "SRE", "xsre", "C++ (intern)", "3 -\u30005 years experience", "U.S.", "U.S.A, x", "Sf", "us, x", "CA-San Jose-12",
+        "x, wa", "Perth,\u00a0WA", "caf\u00e9 \u00e9usa", "usa\u00e9", "12 locations", "", None,
+    ]
+    patterns = [*packs_roles.SOFTWARE_AFTER_ALL, *packs_roles.TECH_SIGNAL, *packs_levels.TOO_EXPERIENCED]
+    want = values(spark, texts, regex.has_pattern(A, patterns))
+    assert values(spark, texts, regex.has_bit(regex.matches(A, [regex.any_pattern(patterns)], True), 0)) == want
+    words = [*packs_roles.ROLE_SWE, "c++ (", r"\bsre\b"]
+    found = regex.matches(F.lower(A), ["a^", regex.any_word(words)])
+    assert values(spark, texts, regex.has_bit(found, 1)) == values(spark, texts, regex.has_word(F.lower(A), words))
+    usa = values(spark, texts, location.is_usa(A))
+    names = [c.lower() for c in location.US_CITIES] + location.US_SPECIAL
+    rules = regex.has_pattern(A, location.US_PATTERNS) | regex.has_word(F.lower(A), names)
+    known = [i for i, t in enumerate(texts) if t and "Perth" not in t]
+    assert [usa[i] for i in known] == [values(spark, texts, rules)[i] for i in known]
+    assert usa[15:16] + usa[-2:] == [False, True, True]
+    with pytest.raises(ValueError):
+        regex.automaton("a(?=b)")
+
+
+def test_role_and_level_packs_are_not_tried_by_java(spark):
+    """Ten packs at each position of a title took most of the time of the adapters."""
+    df = spark.createDataFrame([("x",)], "a string")
+    for rule in (classify.infer_roles(A), classify.infer_target_roles(A), classify.classify_experience(A, A),
+                 classify.passes_early_career(A, A), location.is_usa(A)):
+        plan = df.select(rule.alias("v"))._jdf.queryExecution().optimizedPlan().toString()
+        assert "RLIKE" not in plan.upper() and "regexp_extract_all" not in plan
