@@ -37,7 +37,7 @@ import json
 import os
 import re
 from collections.abc import Iterator
-from itertools import chain, pairwise
+from itertools import chain, compress, pairwise
 from typing import NamedTuple
 
 import numpy as np
@@ -119,7 +119,7 @@ def merges_in_order(vocabulary: dict) -> bool:
 
 
 class Encoder:
-    """Both tokenizers, and the bytes and the decimal name of every id."""
+    """Both tokenizers, the bytes of every id, and its decimal name before ``,``, ``|`` and ``;``."""
 
     def __init__(self, files: Tokenizers):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark deals out the cores
@@ -141,18 +141,33 @@ class Encoder:
         names = [self.b.id_to_piece(i) for i in range(self.b.vocab_size())]
         self.bytes_b = [piece_bytes(p, self.b.is_byte(i)) for i, p in enumerate(names)]
         self.sizes_a, self.sizes_b = (np.array([len(x) for x in own]) for own in (self.bytes_a, self.bytes_b))
-        self.names = [str(i) for i in range(max(len(self.bytes_a), len(names)))]
+        self.ids = max(len(self.bytes_a), len(names))
+        self.names = pa.array([f"{i}{mark}" for mark in ",|;" for i in range(self.ids)], pa.large_binary())
         self.cuts = cuts_at_spaces(names)
         self.unit = _LINE_UNIT if cuts_at_lines(names) else _UNIT
 
     def encode(self, units: list[str]) -> tuple[list[list[int]], list[list[int]]]:
         """Ids of A and B. B puts a space before what it gets: the unit's own if it has
         one; else a line feed keeps it apart, and both go."""
-        a = [self._ids_a(u) for u in units]
         b = self.b.encode([u[1:] if u[0] == " " else "\n" + u for u in units], num_threads=1)
-        return a, [y if u[0] == " " else y[2:] for u, y in zip(units, b, strict=True)]
-
-    def _ids_a(self, unit: str) -> list[int]:
+        return self._ids_a(units), [y if u[0] == " " else y[2:] for u, y in zip(units, b, strict=True)]
+
+    def _ids_a(self, units: list[str]) -> list[list[int]]:
+        """Ids of A. No word goes on from a character that is not white space to a space, so
+        units that begin and end so are encoded as one text, which is cut at their bytes."""
+        short = self.quick is not None
+        plain = [short and u[0] == " " and len(u) <= QUICK_CHARS and not u[-1].isspace() for u in units]
+        joined = list(compress(units, plain))
+        flat = self.quick.encode_ordinary("".join(joined)) if joined else []
+        ends = np.cumsum(self.sizes_a[np.array(flat, np.int64)])
+        bounds = np.cumsum([len(u.encode()) for u in joined])
+        at = np.searchsorted(ends, bounds)
+        if len(at) and (at[-1] >= len(ends) or not np.array_equal(ends[at], bounds)):
+            return [self._alone(u) for u in units]
+        cut = (flat[lo:hi] for lo, hi in pairwise([0, *(at + 1).tolist()]))
+        return [next(cut) if p else self._alone(u) for p, u in zip(plain, units, strict=True)]
+
+    def _alone(self, unit: str) -> list[int]:
         if self.quick is not None and len(unit) <= QUICK_CHARS:
             return self.quick.encode_ordinary(unit)
         return self.a.encode(unit, add_special_tokens=False).ids
@@ -180,7 +195,7 @@ class Units:
 
     def clear(self) -> None:
         self.known: dict[str, int] = {}
-        self.groups: list[str] = []  # of each unit, as text, if wanted
+        self.groups: list[bytes] = []  # of each unit, as text, if wanted
         self.bad: set[int] = set()  # whose tokens do not give back their bytes
         self.size = 0
         self.pair_of: dict[int, int] = {}  # numbers of pair keys
@@ -270,20 +285,27 @@ class Units:
         return np.column_stack([many_a, many_b, groups, links]), numbers
 
     def _write(self, ids_a, ids_b, ends_a, ends_b, ends: np.ndarray, groups: np.ndarray) -> None:
-        """The groups of each unit as text."""
-        name = self.encoder.names.__getitem__
-        names_a, names_b = (list(map(name, x.tolist())) for x in (ids_a, ids_b))
-        to_a, to_b = (np.searchsorted(x, ends, "right").tolist() for x in (ends_a, ends_b))
-        i = j = 0
-        texts = []
-        for m, n in zip(to_a, to_b, strict=True):
-            texts.append(f"{','.join(names_a[i:m])}|{','.join(names_b[j:n])}")
-            i, j = m, n
-        begin = 0
-        for n in groups.tolist():
-            self.groups.append(texts[begin] if n == 1 else ";".join(texts[begin : begin + n]))
-            begin += n
-        self.size += sum(map(len, texts))
+        """The groups of each unit as text: the names of all their ids, A's of a group before
+        B's, each with what follows it; one table has them all, so one take joins them."""
+        if not len(ids_a):  # no unit of the lot gives back its bytes
+            self.groups.extend([b""] * len(groups))
+            return
+        ids, last = self.encoder.ids, None
+        to_a, to_b = (np.searchsorted(x, ends, "right") for x in (ends_a, ends_b))
+        name = np.empty(len(ids_a) + len(ids_b), np.int64)
+        for own, to, other, mark in ((ids_a, to_a, np.concatenate([[0], to_b])[: len(to_b)], 1), (ids_b, to_b, to_a, 2)):
+            many = np.diff(to, prepend=0)
+            marks = np.zeros(len(own), np.int64)
+            marks[to - 1] = mark
+            place = np.arange(len(own)) + np.repeat(other, many)
+            name[place] = own + marks * ids
+            last = place[to - 1]
+        joined = self.encoder.names.take(pa.array(name))
+        edges, text = joined.buffers()[1:]
+        at = np.frombuffer(edges, np.int64)[np.concatenate([[0], last + 1])[np.concatenate([[0], np.cumsum(groups)])]].tolist()
+        text = text.to_pybytes()
+        self.groups.extend([text[lo : max(lo, hi - 1)] for lo, hi in pairwise(at)])
+        self.size += len(text)
 
 
 def _texts(block: Block) -> Iterator[str]:
@@ -554,7 +576,7 @@ def _looked_up(docs: DataFrame, keep: list[str], files: Broadcast, lookup: Broad
                         digests[row].update(b";")
                     else:
                         digests[row] = hashlib.sha256()
-                    digests[row].update(";".join([units.groups[n] for n in numbers]).encode())
+                    digests[row].update(b";".join([units.groups[n] for n in numbers]))
                 sums(parts, out)
                 if units.full():
                     units.clear()

@@ -143,6 +143,32 @@ def test_units_are_the_whole_text():
             assert (sum(a, []), sum(b, [])) == found[:2]
 
 
+def test_units_encoded_together_are_as_alone():
+    draw = random.Random(9)
+    calls = []
+
+    class Quick:
+        def encode_ordinary(self, text):
+            calls.append(text)
+            return ENCODER.quick.encode_ordinary(text)
+
+    for _ in range(300):
+        texts = ["".join(draw.choices(ODD, k=draw.randint(1, 12))) for _ in range(6)] + [prose(f"u{_}", 9), "x" * 300]
+        units = [u for text in texts for own in ENCODER.units(text) for u in own]
+        own = Encoder.__new__(Encoder)
+        own.__dict__.update(ENCODER.__dict__, quick=Quick())
+        calls.clear()
+        assert own.encode(units)[0] == [ENCODER.a.encode(u, add_special_tokens=False).ids for u in units]
+        apart = sum(u[0] != " " or u[-1].isspace() for u in units if len(u) <= alignment.QUICK_CHARS)
+        assert len(calls) == 1 + apart
+        learned = Units(ENCODER, texts=True)
+        learned.learn([(0, units)])
+        for unit, number in learned.known.items():
+            want, _ = brute_force([unit[1:]]) if unit[0] == " " and len(unit) > 1 else ([], None)
+            if want and number not in learned.bad:
+                assert hashlib.sha256(learned.groups[number]).hexdigest() == want[0][6]
+
+
 def test_odd_rows_clashes_and_none(spark):
     docs = clashing(frame(spark, odd_rows()), "n_a", "kept", "key", "Text2")
     found = align(docs, ["doc_id", "lang", "kept", "n_a", "Text2"], FILES)
