@@ -13,8 +13,9 @@ keep these shares whatever the context; bins as rare share ``SHARED`` embeddings
 their own. Tree, decisions and embeddings so grow with the corpus.
 
 Decisions that at least one of ``OFTEN`` words meets lie together at the root. All words of a
-batch take them in one matrix product, with a table of turns (1, -1, or 0 off the path) by the
-place where a word's path leaves them; only what lies below is gathered word by word.
+batch take them in one matrix product, of which the decisions on a word's path are picked, with
+turns (1, -1) by the place where the path leaves them; only what lies below is gathered word
+by word.
 
 The network is trained in numpy inside the tasks, once over all documents: every task
 starts from the same weights and learns from its own partition block by block. Each row of
@@ -223,6 +224,10 @@ class Network:
             rows[self.inner : self.nodes - 1] = draw.standard_normal((2 * SIDE * WIDTH, WIDTH)) * 0.25
             rows[self.nodes :, -1] = known.odds
         self.rows = rows
+        deepest = int(np.abs(known.turns).sum(axis=1).max(initial=0))
+        #: by exit: the often met decisions on its path, filled up with others, whose turn is 0
+        self.path = np.argsort(known.turns == 0, axis=1, kind="stable")[:, :deepest]
+        self.turns = np.take_along_axis(known.turns, self.path, axis=1)
 
     def neighbours(self, bins: np.ndarray, first: np.ndarray) -> np.ndarray:
         """A row per word: the embeddings of the words around it, 0 beyond its text."""
@@ -237,47 +242,58 @@ class Network:
         return np.stack(columns, axis=1)
 
     def hidden(self, around: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        joined = self.rows[around].reshape(len(around), -1)
+        joined = self.rows.take(around, axis=0).reshape(len(around), -1)
         out = np.tanh(joined @ self.rows[self.inner : self.nodes - 1] + self.rows[self.nodes - 1])
         out[:, -1] = 1
         return joined, out
 
-    def often(self, hidden: np.ndarray, groups: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Turns at the often met decisions, and the log odds of going there."""
-        turns = self.known.turns[self.known.exit[groups]]
-        return turns, turns * (hidden @ self.rows[len(self.rows) - turns.shape[1] :].T)
+    def often(self, hidden: np.ndarray, groups: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The often met decisions on the paths: where they stand in a table of words by
+        decisions, the turns there, and the log odds of going there."""
+        many = self.known.turns.shape[1]
+        exits = self.known.exit.take(groups)
+        at = self.path.take(exits, axis=0) + many * np.arange(len(groups))[:, None]
+        turns = self.turns.take(exits, axis=0)
+        return at, turns, turns * (hidden @ self.rows[len(self.rows) - many :].T).ravel().take(at)
 
     def seldom(self, hidden: np.ndarray, groups: np.ndarray):
         """The decisions below, one of each word at a time: rows of the decisions, sides, weights, log odds.
 
         The words come with the most such decisions first, so each step has a leading part of them.
         """
-        begin, counts = self.known.first[groups], self.known.below[groups]
+        begin, counts = self.known.first.take(groups), self.known.below.take(groups)
         left = np.searchsorted(-counts, -np.arange(counts[0] if len(counts) else 0))
         for step, words in enumerate(left):
             entry = begin[:words] + step
-            row = self.nodes + self.known.node[entry]
-            weights = self.rows[row]
-            yield row, self.known.side[entry], weights, np.einsum("ij,ij->i", weights, hidden[:words])
+            row = self.nodes + self.known.node.take(entry)
+            weights = self.rows.take(row, axis=0)
+            yield row, self.known.side.take(entry), weights, np.einsum("ij,ij->i", weights, hidden[:words])
 
     def longest_first(self, bins: np.ndarray) -> np.ndarray:
         """An order of words that ``seldom`` can take, words of one group side by side."""
-        groups = self.known.group[bins].astype(np.int64)
-        return np.argsort(groups - (self.known.below[groups] << 32), kind="stable")
+        groups = self.known.group.take(bins).astype(np.int64)
+        return np.argsort(groups - (self.known.below.take(groups) << 32), kind="stable")
 
     def log_probability(self, around: np.ndarray, bins: np.ndarray) -> np.ndarray:
         order = self.longest_first(bins)
-        _, hidden = self.hidden(around[order])
-        groups = self.known.group[bins[order]]
-        turns, right = self.often(hidden, groups)
+        _, hidden = self.hidden(around.take(order, axis=0))
+        bins = bins.take(order)
+        groups = self.known.group.take(bins)
+        _, turns, right = self.often(hidden, groups)
         lost = np.einsum("ij,ij->i", _lost(right), np.abs(turns))
         for _, side, _, odds in self.seldom(hidden, groups):
             lost[: len(odds)] += _lost(np.where(side == 1, odds, -odds))
         found = np.empty(len(bins))
-        found[order] = self.known.share[bins[order]] - lost
+        found[order] = self.known.share.take(bins) - lost
         return found
 
 
+def _put(table: np.ndarray, rows: np.ndarray, values: np.ndarray) -> None:
+    """Different rows of a table, each written as one value, which is quicker than by weight."""
+    whole = np.dtype((np.void, table.itemsize * table.shape[1]))
+    table.view(whole).ravel()[rows] = np.ascontiguousarray(values, table.dtype).view(whole).ravel()
+
+
 def _lost(odds: np.ndarray) -> np.ndarray:
     """Minus the log-probability of what has these log odds."""
     return np.maximum(-odds, 0) + np.log(1 + np.exp(-np.abs(odds)))
@@ -291,45 +307,57 @@ class Learner:
         self.squares = np.full_like(network.rows, 1e-6)
         self.met = np.zeros(len(network.rows), np.float64)
 
-    def _step(self, rows: np.ndarray | slice, slope: np.ndarray) -> None:
-        self.squares[rows] += slope * slope
-        self.network.rows[rows] -= RATE * slope / np.sqrt(self.squares[rows])
+    def _step(self, rows: np.ndarray, slope: np.ndarray) -> None:
+        squares = self.squares.take(rows, axis=0)
+        squares += slope * slope
+        _put(self.squares, rows, squares)
+        step = RATE * slope
+        step /= np.sqrt(squares, out=squares)
+        weights = self.network.rows.take(rows, axis=0)
+        weights -= step
+        _put(self.network.rows, rows, weights)
 
     def _scatter(self, rows: np.ndarray, slope: np.ndarray) -> None:
         """A step for each different row, along the sum of its slopes."""
         keys = np.sort(rows.astype(np.int64) << 32 | np.arange(len(rows)))
         ordered = keys >> 32
         begin = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
-        self.met[ordered[begin]] += np.diff(np.append(begin, len(ordered)))
-        self._step(ordered[begin], np.add.reduceat(slope[keys & 0xFFFFFFFF], begin, axis=0))
+        own = ordered[begin]
+        self.met[own] += np.diff(np.append(begin, len(ordered)))
+        pairs = slope.take(keys & 0xFFFFFFFF, axis=0).view(np.complex64)  # sums of two weights at a time
+        self._step(own, np.add.reduceat(pairs, begin, axis=0).view(np.float32))
 
     def learn(self, around: np.ndarray, bins: np.ndarray) -> None:
         net = self.network
         if not len(net.known.odds):
             return
         order = net.longest_first(bins)
-        around, groups = around[order], net.known.group[bins[order]]
+        around, groups = around.take(order, axis=0), net.known.group.take(bins.take(order))
         joined, hidden = net.hidden(around)
-        turns, right = net.often(hidden, groups)
-        top = slice(len(net.rows) - turns.shape[1], len(net.rows))
-        errors = -turns / (1 + np.exp(np.minimum(right, 30)))
+        at, turns, right = net.often(hidden, groups)
+        top = np.arange(len(net.rows) - net.known.turns.shape[1], len(net.rows))
+        errors = np.zeros((len(groups), len(top)), np.float32)
+        errors.ravel()[at] = -turns / (1 + np.exp(np.minimum(right, 30)))
         back = errors @ net.rows[top]
-        rows, slopes = [], []
+        entries = int(net.known.below.take(groups).sum())
+        rows, slopes, at = np.empty(entries, np.int64), np.empty((entries, WIDTH), np.float32), 0
         for row, side, weights, odds in net.seldom(hidden, groups):
             error = (1 / (1 + np.exp(-np.maximum(odds, -30))) - side)[:, None]
-            back[: len(row)] += error * weights
-            rows.append(row)
-            slopes.append(error * hidden[: len(row)])
+            own = slice(at, at + len(row))
+            rows[own], at = row, own.stop
+            np.multiply(error, hidden[: len(row)], out=slopes[own])
+            weights *= error
+            back[: len(row)] += weights
         self.met[top] += np.bincount(net.known.exit[groups], minlength=len(net.known.turns)) @ np.abs(net.known.turns)
         back *= 1 - hidden * hidden
         inner = net.rows[net.inner : net.nodes - 1]
         into = (back @ inner.T).reshape(-1, WIDTH)
-        if rows:
-            self._scatter(np.concatenate(rows), np.concatenate(slopes))
+        if entries:
+            self._scatter(rows, slopes)
         self._step(top, errors.T @ hidden)
         layer = np.concatenate([joined.T @ back, back.sum(axis=0, keepdims=True)])
         self.met[net.inner : net.nodes] += len(bins)
-        self._step(slice(net.inner, net.nodes), layer)
+        self._step(np.arange(net.inner, net.nodes), layer)
         self._scatter(around.ravel(), into)
 
 
@@ -347,7 +375,7 @@ def train(docs: DataFrame, vocabulary: Vocabulary, text: str = "text") -> Networ
             order = np.random.default_rng(len(bins)).permutation(len(bins))
             for lo in range(0, len(order), BATCH):
                 some = order[lo : lo + BATCH]
-                own.learn(around[some], bins[some])
+                own.learn(around.take(some, axis=0), bins.take(some))
 
         def give() -> Iterator[pa.RecordBatch]:
             for number in range(0, len(own.met), ROWS):
@@ -410,7 +438,7 @@ def score(docs: DataFrame, vocabulary: Vocabulary, network: Network, keep: list[
             order = own.longest_first(bins)
             for lo in range(0, len(bins), BATCH):
                 some = order[lo : lo + BATCH]
-                found[some] = own.log_probability(around[some], bins[some])
+                found[some] = own.log_probability(around.take(some, axis=0), bins.take(some))
             sums = np.zeros(block.rows)
             counts = np.diff(first)
             filled = counts > 0

@@ -157,6 +157,43 @@ def test_lm_scores_against_brute_force(spark):
         assert abs(_plain_score(network, lm._bins(block)[0]) - r["log_prob"]) < 1e-3 * r["n_words"]
 
 
+def test_lm_steps_against_plain_ones():
+    draw = np.random.default_rng(4)
+    counts = np.zeros(lm.WORD_BINS, np.int64)
+    counts[draw.choice(lm.WORD_BINS, 400, replace=False)] = draw.zipf(1.5, 400).clip(1, 9000)
+    bins = draw.choice(lm.WORD_BINS, 500, p=counts / counts.sum())
+    learner = lm.Learner(lm.Network(lm.Vocabulary.of(counts)))
+    network = learner.network
+    around = network.neighbours(bins, np.array([0, 200, 200, 500]))
+    known, rows = network.known, network.rows.astype(float)
+    slope, inner = np.zeros(rows.shape), slice(network.inner, network.nodes - 1)
+    met = np.zeros(len(rows))
+    for near, b in zip(around, bins, strict=True):
+        joined = rows[near].ravel()
+        hidden = np.tanh(joined @ rows[inner] + rows[network.nodes - 1])
+        hidden[-1] = 1
+        back = np.zeros(lm.WIDTH)
+        for at in range(known.first[known.group[b]], known.first[known.group[b] + 1]):
+            row = network.nodes + known.node[at]
+            error = 1 / (1 + math.exp(-rows[row] @ hidden)) - known.side[at]
+            back += error * rows[row]
+            slope[row] += error * hidden
+            met[row] += 1
+        back *= 1 - hidden * hidden
+        slope[inner] += np.outer(joined, back)
+        slope[network.nodes - 1] += back
+        np.add.at(slope, near, (rows[inner] @ back).reshape(-1, lm.WIDTH))
+        np.add.at(met, near, 1)
+    met[network.inner : network.nodes] = len(bins)
+    seen = met > 0
+    rows[seen] -= lm.RATE * slope[seen] / np.sqrt(1e-6 + slope[seen] ** 2)
+    learner.learn(around, bins)
+    firm = (np.abs(slope) > 1e-2) | ~seen[:, None]
+    assert np.allclose(network.rows[firm], rows[firm], atol=1e-4)
+    assert np.array_equal(learner.met, met)
+    assert known.turns.shape[1] > 4 and (known.below > 0).any()
+
+
 def test_lm_tells_equally_frequent_words_apart(spark):
     draw = random.Random(5)
     rows = []
