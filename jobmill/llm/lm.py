@@ -228,6 +228,7 @@ class Network:
         #: by exit: the often met decisions on its path, filled up with others, whose turn is 0
         self.path = np.argsort(known.turns == 0, axis=1, kind="stable")[:, :deepest]
         self.turns = np.take_along_axis(known.turns, self.path, axis=1)
+        self.on_path = np.abs(known.turns)
 
     def neighbours(self, bins: np.ndarray, first: np.ndarray) -> np.ndarray:
         """A row per word: the embeddings of the words around it, 0 beyond its text."""
@@ -279,8 +280,11 @@ class Network:
         _, hidden = self.hidden(around.take(order, axis=0))
         bins = bins.take(order)
         groups = self.known.group.take(bins)
-        _, turns, right = self.often(hidden, groups)
-        lost = np.einsum("ij,ij->i", _lost(right), np.abs(turns))
+        at, _, right = self.often(hidden, groups)
+        on_path = self.on_path.take(self.known.exit.take(groups), axis=0)
+        every = np.zeros_like(on_path)  # summed by decision, whatever the length of the path
+        every.ravel()[at] = _lost(right)
+        lost = np.einsum("ij,ij->i", every, on_path)
         for _, side, _, odds in self.seldom(hidden, groups):
             lost[: len(odds)] += _lost(np.where(side == 1, odds, -odds))
         found = np.empty(len(bins))
@@ -294,6 +298,17 @@ def _put(table: np.ndarray, rows: np.ndarray, values: np.ndarray) -> None:
     table.view(whole).ravel()[rows] = np.ascontiguousarray(values, table.dtype).view(whole).ravel()
 
 
+def _sums(values: np.ndarray, begin: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Sums of runs of rows. Two weights at a time is quicker; runs of more than four rows would
+    then be added up in another order than weight by weight, so these are summed again."""
+    sums = np.add.reduceat(values.view(np.complex64), begin, axis=0).view(np.float32)
+    many = np.flatnonzero(counts > 4)
+    if len(many):
+        own = values.take(ranges(begin[many], counts[many]), axis=0)
+        sums[many] = np.add.reduceat(own, np.cumsum(counts[many]) - counts[many], axis=0)
+    return sums
+
+
 def _lost(odds: np.ndarray) -> np.ndarray:
     """Minus the log-probability of what has these log odds."""
     return np.maximum(-odds, 0) + np.log(1 + np.exp(-np.abs(odds)))
@@ -322,10 +337,9 @@ class Learner:
         keys = np.sort(rows.astype(np.int64) << 32 | np.arange(len(rows)))
         ordered = keys >> 32
         begin = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
-        own = ordered[begin]
-        self.met[own] += np.diff(np.append(begin, len(ordered)))
-        pairs = slope.take(keys & 0xFFFFFFFF, axis=0).view(np.complex64)  # sums of two weights at a time
-        self._step(own, np.add.reduceat(pairs, begin, axis=0).view(np.float32))
+        own, counts = ordered[begin], np.diff(np.append(begin, len(ordered)))
+        self.met[own] += counts
+        self._step(own, _sums(slope.take(keys & 0xFFFFFFFF, axis=0), begin, counts))
 
     def learn(self, around: np.ndarray, bins: np.ndarray) -> None:
         net = self.network
@@ -348,7 +362,7 @@ class Learner:
             np.multiply(error, hidden[: len(row)], out=slopes[own])
             weights *= error
             back[: len(row)] += weights
-        self.met[top] += np.bincount(net.known.exit[groups], minlength=len(net.known.turns)) @ np.abs(net.known.turns)
+        self.met[top] += np.bincount(net.known.exit[groups], minlength=len(net.known.turns)) @ net.on_path
         back *= 1 - hidden * hidden
         inner = net.rows[net.inner : net.nodes - 1]
         into = (back @ inner.T).reshape(-1, WIDTH)
