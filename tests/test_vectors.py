@@ -3,6 +3,7 @@
 import hashlib
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -65,6 +66,43 @@ def test_a_task_hands_on_the_best_of_a_query_once(spark, monkeypatch):
             assert any(n == r["item_id"] and abs(sims[i, j] - r["similarity"]) < 1e-8 for j, n in enumerate(names))
 
 
+def test_few_pairs_are_compared_in_double_precision(monkeypatch):
+    """Single precision keeps most pairs away; ties, equal ids and vectors that are no unit count."""
+    rng = np.random.default_rng(8)
+    asked, items = (rng.normal(size=(n, 24)) for n in (60, 3000))
+    asked /= np.linalg.norm(asked, axis=1, keepdims=True)
+    items /= np.linalg.norm(items, axis=1, keepdims=True)
+    items[2000:2400] = asked[0] * 0.7 + items[2000] * 0.2
+    names, ids = np.arange(60) // 2, rng.permutation(3000) // 2
+    counted = []
+    products = vectors._products
+    monkeypatch.setattr(vectors, "_products", lambda a, i, b, j: counted.append(len(i)) or products(a, i, b, j))
+    monkeypatch.setattr(vectors, "ITEM_BLOCK_BYTES", 128 * 8 * 24)
+    block = vectors._Block(pd.DataFrame({"id": names, "vector": list(asked)}), 5, True, None)
+    for lo in range(0, 3000, 128):
+        cut = slice(lo, lo + 128)
+        block.add(0, ids[cut], np.zeros(len(ids[cut]), bool), items[cut])
+    block.cut()
+    query, sims, found, _ = block.parts[0]
+    unit = asked / np.linalg.norm(asked, axis=1, keepdims=True)
+    exact = np.round(unit @ items.T, vectors.DIGITS)
+    for name in range(30):
+        own = [(-exact[i, j], ids[j]) for i in (2 * name, 2 * name + 1) for j in range(3000) if ids[j] != name]
+        mine = [(-s, f) for q, s, f in zip(query, sims, found, strict=True) if q == 2 * name]
+        assert mine == sorted(own)[:5]
+    assert sum(counted) < 60 * 3000 / 10
+
+
+def test_no_task_gets_two_blocks(spark):
+    items, q = clustered(90, 12, 1, 0.0), clustered(40, 12, 2, 0.0)
+    parts = [vectors._usable(frame(spark, x), "id", "embedding", 12) for x in (q, items)]
+    found = vectors._search(*parts, 12, k=2, pivots=3)
+    tasks = 2 * spark.sparkContext.defaultParallelism
+    assert found.rdd.getNumPartitions() == tasks
+    counts = found.rdd.mapPartitions(lambda rows: [sum(1 for _ in rows)]).collect()
+    assert min(counts) > 0
+
+
 def test_pruning_skips_cells(spark):
     items = clustered(300, 12, 1, 0.0)
     cells = vectors._Cells(vectors._usable(frame(spark, items), "id", "embedding", 12), 3, 16, 12)
