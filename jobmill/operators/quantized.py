@@ -5,13 +5,14 @@ the nearest of at most 256 centroids: one byte a part instead of four bytes a co
 The centroids are fitted on at most ``FIT_ROWS`` vectors, those with the smallest hashes of
 their ids; every vector is indexed.
 
-A search scans the codes of all items. A query's products with the centroids of each part
-form a small table, so the similarity to an item is a sum of looked-up numbers. The best
-``shortlist`` items of each query by that sum are joined to their vectors and ranked by the
-exact similarity. So codes are read whole, but of the vectors only the short lists.
+A search scans the codes of all items. A code stands for its centroids in a row, and their
+product with a query is a guess at the similarity. The best ``shortlist`` items of each query
+by that guess are ranked by the exact similarity. So codes are read whole, but of the vectors
+a query reads those of its short list only.
 
-Queries and codes meet in blocks of bounded size, and a block pair emits its short lists
-only. An index is two tables (codes, centroids) that can be stored and extended.
+Codes stream past blocks of queries of bounded size, and a block emits its short lists only.
+A vector then travels to each block once, with the queries that have it on their list. An
+index is two tables (codes, centroids) that can be stored and extended.
 
 Vectors that are zero, hold no number or have another size are left out
 (``rejected_vectors`` names them). No items give no results; fewer items than ``shortlist``
@@ -25,19 +26,22 @@ from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import durable, ship
-from .vectors import DIGITS, _best, _unit, _usable
+from .vectors import (
+    PAIRS_AT_ONCE, QUERY_BLOCK_BYTES, _best, _Best, _Block, _deal, _ids, _products, _streamed, _unit, _unit_rows, _usable,
+)
 
 PART = 4
 CENTROIDS = 256
 FIT_ROWS = 16_384
 FIT_ROUNDS = 12
-#: rows of a block of codes, and bytes of the looked-up tables of a block of queries
-CODE_ROWS = 1 << 16
-TABLE_BYTES = 16 << 20
+#: codes that are spelled out at once, and bytes of a block of queries that scans them
+CODE_ROWS = 1 << 14
+TABLE_BYTES = 32 << 20
 #: short list per wanted result
 SHORTLIST = 10
 
@@ -122,60 +126,59 @@ def read_index(spark: SparkSession, path: str) -> CodeIndex:
     return CodeIndex([np.array(p) for p in parts], spark.read.parquet(f"{path}/codes"), dim)
 
 
-def _shortlists(queries: DataFrame, index: CodeIndex, size: int, skip_self: bool) -> DataFrame:
-    """``query_id, item_id, guess``: the best ``size`` items of each query by their codes."""
-    q_type, i_type = (x.schema["id"].dataType.simpleString() for x in (queries, index.codes))
-    width = len(index.centroids)
-    cuts = _parts(index.dim, index.centroids[0].shape[1])
-    centroids, query_rows = index.centroids, max(1, TABLE_BYTES // (8 * CENTROIDS * width))
-    counts = [max(1, -(-df.count() // rows)) for df, rows in ((queries, query_rows), (index.codes, CODE_ROWS))]
-
-    def dealt(df: DataFrame, own: str, other: str, mine: int, others: int) -> DataFrame:
-        block = F.pmod(F.xxhash64("id"), F.lit(mine)).cast("int").alias(own)
-        every = F.explode(F.sequence(F.lit(0), F.lit(others - 1))).alias(other)
-        return df.select("*", block).select("*", every)
-
-    def compare(qs: pd.DataFrame, its: pd.DataFrame) -> pd.DataFrame:
-        if qs.empty or its.empty:
-            return pd.DataFrame({"query_id": [], "item_id": [], "guess": []})
-        codes = np.frombuffer(b"".join(its["code"]), np.uint8).reshape(-1, width)
-        ids, item_ids, unit = qs["id"].to_numpy(), its["id"].to_numpy(), _unit(qs["vector"])
-        parts = []
-        for begin in range(0, len(ids), 64):
-            rows = slice(begin, begin + 64)
-            guess = np.zeros((len(ids[rows]), len(codes)))
-            for p, cut in enumerate(cuts):
-                guess += (unit[rows, cut] @ centroids[p].T)[:, codes[:, p]]
-            if skip_self:
-                guess[ids[rows][:, None] == item_ids[None, :]] = -np.inf
-            top = np.argpartition(-guess, size - 1, axis=1)[:, :size] if guess.shape[1] > size else None
-            top = np.tile(np.arange(guess.shape[1]), (len(guess), 1)) if top is None else top
-            found = np.take_along_axis(guess, top, axis=1).ravel()
-            frame = pd.DataFrame({"query_id": ids[rows].repeat(top.shape[1]), "item_id": item_ids[top.ravel()], "guess": found})
-            parts.append(frame[np.isfinite(found)])
-        return pd.concat(parts, ignore_index=True)
-
-    ship(queries.sparkSession)
-    left = dealt(queries, "q", "i", counts[0], counts[1])
-    right = dealt(index.codes, "i", "q", counts[1], counts[0])
-    pairs = left.groupBy("q", "i").cogroup(right.groupBy("q", "i"))
-    found = pairs.applyInPandas(compare, f"query_id {q_type}, item_id {i_type}, guess double")
-    return _best(found.withColumnRenamed("guess", "similarity"), size).select("query_id", "item_id")
-
-
-def _reranked(pairs: DataFrame, queries: DataFrame, items: DataFrame) -> DataFrame:
-    """Exact similarity of the pairs."""
-    left = pairs.join(queries.select(F.col("id").alias("query_id"), F.col("vector").alias("query")), "query_id")
-    both = left.join(items.select(F.col("id").alias("item_id"), "vector"), "item_id")
-
-    def exact(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in frames:
-            if len(pdf):
-                products = np.einsum("ij,ij->i", _unit(pdf["query"]), _unit(pdf["vector"]))
-                yield pdf[["query_id", "item_id"]].assign(similarity=np.round(products, DIGITS))
+class _Scan(_Block):
+    """Queries that are compared with what codes stand for."""
 
-    kinds = [pairs.schema[c].dataType.simpleString() for c in ("query_id", "item_id")]
-    return both.mapInPandas(exact, f"query_id {kinds[0]}, item_id {kinds[1]}, similarity double")
+    def take(self, cell: int, part: pa.RecordBatch) -> None:
+        for lo in range(0, part.num_rows, CODE_ROWS):
+            super().take(cell, part.slice(lo, CODE_ROWS))
+
+
+def _shortlists(queries: DataFrame, index: CodeIndex, size: int, skip_self: bool) -> DataFrame:
+    """``query_id, item_id``: the best ``size`` items of each query by their codes."""
+    dim, centroids = index.dim, index.centroids
+    cuts = _parts(dim, centroids[0].shape[1])
+
+    def spelled(part: pa.RecordBatch) -> np.ndarray:
+        codes = np.frombuffer(b"".join(part.column("code").to_pylist()), np.uint8).reshape(-1, len(cuts))
+        return np.concatenate([m[codes[:, p]] for p, m in enumerate(centroids)], axis=1)
+
+    deal = _deal(queries, dim, size, TABLE_BYTES)
+    codes = index.codes.filter("id IS NOT NULL").select(F.col("id").alias("item_id"), F.lit(0).alias("cell"), "code")
+    found = _streamed(queries, codes, deal, dim, lambda rows: _Scan(rows, size, skip_self, spelled))
+    whole = found if deal.groups == 1 else _best(found, size)  # a block cuts what one group gives
+    return whole.select("query_id", "item_id")
+
+
+class _Ranked(_Best):
+    """Queries that are compared with the items that ask for them by id (``asked``)."""
+
+    def __init__(self, rows: pd.DataFrame, k: int):
+        super().__init__(rows, k)
+        self.order = self.ids.argsort(kind="stable")
+        self.sorted = self.ids[self.order]
+
+    def take(self, cell: int, part: pa.RecordBatch) -> None:
+        ids, blank = _ids(part.column("item_id"))
+        vectors = _unit_rows(part, len(self.unit[0]))
+        asked, _ = _ids(part.column("asked").flatten())
+        item = np.repeat(np.arange(len(ids)), part.column("asked").value_lengths().to_numpy())
+        for lo in range(0, len(asked), PAIRS_AT_ONCE):
+            cut = slice(lo, lo + PAIRS_AT_ONCE)
+            begin, end = (np.searchsorted(self.sorted, asked[cut], side) for side in ("left", "right"))
+            times = end - begin  # rows that share an id are all compared
+            ends = times.cumsum()
+            place = np.arange(ends[-1]) + np.repeat(begin - ends + times, times)
+            rows, own = self.order[place], np.repeat(item[cut], times)
+            self.hold(rows, _products(self.unit, rows, vectors, own), ids[own], blank[own])
+
+
+def _reranked(pairs: DataFrame, queries: DataFrame, items: DataFrame, dim: int, k: int) -> DataFrame:
+    """The best ``k`` pairs of each query by exact similarity."""
+    deal = _deal(queries, dim, k, QUERY_BLOCK_BYTES, scan=False)
+    asked = pairs.groupBy(deal.block("query_id").alias("q_block"), "item_id").agg(F.collect_list("query_id").alias("asked"))
+    known = items.select(F.col("id").alias("item_id"), "vector", F.lit(0).alias("cell"))
+    return _best(_streamed(queries, asked.join(known, "item_id"), deal, dim, lambda rows: _Ranked(rows, k)), k)
 
 
 def quantized_topk(
@@ -200,8 +203,9 @@ def quantized_topk(
         kinds = [x.schema["id"].dataType.simpleString() for x in (asked, known)]
         schema = f"query_id {kinds[0]}, item_id {kinds[1]}, similarity double, rank int"
         return queries.sparkSession.createDataFrame([], schema)
+    asked = asked.filter("id IS NOT NULL")
     pairs = _shortlists(asked, index, max(k, shortlist or SHORTLIST * k), skip_self)
-    return _best(_reranked(pairs, asked, known), k)
+    return _reranked(pairs, asked, known, dim, k)
 
 
 def search_quality(exact: DataFrame, found: DataFrame, items: int, k: int, shortlist: int | None = None) -> DataFrame:

@@ -40,6 +40,40 @@ def test_a_short_list_of_all_items_is_exact(spark, monkeypatch):
         assert [r["item_id"] for r in sorted((r for r in got if r["query_id"] == i), key=lambda r: r["rank"])] == want[i]
 
 
+def test_short_lists_hold_the_best_codes(spark):
+    """Codes that tie go to the smaller id, and a list is cut once for all items."""
+    items = clustered(400, 8, 9, 0.6)
+    df = frame(spark, items)
+    index = q.build_index(df, 8)
+    asked = df.filter("id % 40 = 3").select("id", F.col("embedding").alias("vector"))
+    got = q._shortlists(asked, index, 7, True).collect()
+    codes = {r["id"]: r["code"] for r in index.codes.collect()}
+    spelled = np.stack([np.concatenate([c[b] for c, b in zip(index.centroids, codes[i], strict=True)]) for i in range(400)])
+    unit = items.astype(np.float64) / np.linalg.norm(items.astype(np.float64), axis=1, keepdims=True)
+    guess = np.round(unit @ spelled.T, 9)
+    for i in range(3, 400, 40):
+        want = sorted((j for j in range(400) if j != i), key=lambda j: (-guess[i, j], j))[:7]
+        assert sorted(r["item_id"] for r in got if r["query_id"] == i) == sorted(want)
+
+
+def test_rows_that_share_an_id_are_all_ranked(spark):
+    rows = [("a", [1.0, 0.0]), ("a", [0.0, 1.0]), ("b", [1.0, 0.1]), ("b", [0.2, 1.0]), (None, [1.0, 0.0])]
+    df = spark.createDataFrame(rows, "id string, embedding array<float>")
+    got = q.quantized_topk(df, df, 20, 2, skip_self=True).collect()
+    pairs = {(r["query_id"], r["item_id"]) for r in got}
+    assert pairs == {("a", "b"), ("b", "a")} and len(got) == 32  # four pairs of rows, listed as often and found as often
+
+
+def test_a_vector_travels_to_a_block_once(spark):
+    """However many queries have an item on their list, its vector is not joined to each of them."""
+    df = frame(spark, clustered(300, 8, 2, 0.0)).select("id", F.col("embedding").alias("vector"))
+    pairs = spark.createDataFrame([(i, j) for i in range(300) for j in range(4)], "query_id bigint, item_id bigint")
+    ranked = q._reranked(pairs, df, df, 8, 3)
+    assert ranked.count() == 900
+    plan = ranked._jdf.queryExecution().optimizedPlan().toString()
+    assert "collect_list(query_id" in plan and plan.count("Join ") == 1
+
+
 def test_index_is_stored_and_extended(spark, tmp_path):
     items = clustered(200, 10, 5, 0.0)  # the last part of a vector has two components
     index = q.build_index(frame(spark, items[:150]), 10)
