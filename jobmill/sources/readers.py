@@ -9,7 +9,6 @@ from __future__ import annotations
 import json
 from collections.abc import Iterator, Sequence
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -258,6 +257,9 @@ def nested_objects(text: Column, required: Sequence[Sequence[str]], type_name: s
 
     Each entry of ``required`` lists alternative names. With ``type_name`` the object's
     ``@type`` must be, or contain, it. The depth is open, so no fixed schema can walk it.
+
+    Whole pages travel here, so they go to Python a hundred at a time: an Arrow batch holds up
+    to 64 MB of them, of which both sides of each task keep several copies.
     """
     wanted = [list(names) for names in required]
 
@@ -281,18 +283,14 @@ def nested_objects(text: Column, required: Sequence[Sequence[str]], type_name: s
                     yield current
                 stack.extend(reversed(list(current.values())))
 
-    @F.pandas_udf("array<string>")
-    def find(texts: pd.Series) -> pd.Series:
-        def one(value):
-            try:
-                root = json.loads(value) if value else None
-            except ValueError:
-                return []
-            return [json.dumps(o, ensure_ascii=False) for o in walk(root)]
-
-        return texts.map(one)
+    def find(value: str | None) -> list[str]:
+        try:
+            root = json.loads(value) if value else None
+        except ValueError:
+            return []
+        return [json.dumps(o, ensure_ascii=False) for o in walk(root)]
 
-    return find(text)
+    return F.udf(find, "array<string>", useArrow=False)(text)
 
 
 # -- Choosing and joining payloads -------------------------------------------------------

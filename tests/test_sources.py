@@ -87,6 +87,19 @@ def test_challenge_pages_and_deep_state(spark):
     assert [(r["title"], r["url"]) for r in rows] == [("Data Engineer", "https://www.simplyhired.com/j/1")]
 
 
+def test_whole_pages_are_not_collected_into_arrow_batches(spark):
+    """Objects at any depth are found a few pages at a time, however large the pages are."""
+    pad, nested = "x" * 50_000, {"@type": ["Thing", "Job"], "t": "a", "in": [{"t": "b"}, {"@type": "Job", "t": "c \u00e9\U0001f600"}]}
+    texts = [json.dumps({"pad": pad, "list": [[{"u": nested}], 7]}), "{broken", "", None, "[]"] * 30
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, text string")
+    found = df.select("i", readers.nested_objects(F.col("text"), [["no", "t"]], "Job").alias("o"))
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "BatchEvalPython" in plan and "ArrowEvalPython" not in plan
+    rows = {r["i"]: [json.loads(o) for o in r["o"]] for r in found.collect()}
+    for i in range(len(texts)):
+        assert rows[i] == ([nested, nested["in"][1]] if i % 5 == 0 else [])
+
+
 def test_workday_links_and_gates(spark):
     jobs = [
         {"title": "Data Engineer", "externalPath": "/job/a_R1", "locationsText": "Austin, TX"},
