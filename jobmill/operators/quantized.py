@@ -143,7 +143,7 @@ def _shortlists(queries: DataFrame, index: CodeIndex, size: int, skip_self: bool
         codes = np.frombuffer(b"".join(part.column("code").to_pylist()), np.uint8).reshape(-1, len(cuts))
         return np.concatenate([m[codes[:, p]] for p, m in enumerate(centroids)], axis=1)
 
-    deal = _deal(queries, dim, size, TABLE_BYTES)
+    deal = _deal(queries, dim, 2 * size, TABLE_BYTES)  # codes are small, results are not
     codes = index.codes.filter("id IS NOT NULL").select(F.col("id").alias("item_id"), F.lit(0).alias("cell"), "code")
     found = _streamed(queries, codes, deal, dim, lambda rows: _Scan(rows, size, skip_self, spelled))
     whole = found if deal.groups == 1 else _best(found, size)  # a block cuts what one group gives
